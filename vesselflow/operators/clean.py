@@ -110,10 +110,10 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
     )
     hours = F.timestamp_diff("SECOND", F.col("prev_Timestamp"), F.col("Timestamp")) / F.lit(3600.0)
     dist = acos_distance_nm("prev_Latitude", "prev_Longitude", "Latitude", "Longitude", p)
-    df = df.withColumn("_hours", hours).withColumn(
-        "implied_speed_kn", F.when(F.col("_hours") > 0, dist / F.col("_hours"))
+    df = df.withColumn("_hours", hours)
+    df = df.withColumn("implied_speed_kn", F.when(F.col("_hours") > 0, dist / F.col("_hours"))).drop(
+        "_hours", "prev_Latitude", "prev_Longitude", "prev_Timestamp"
     )
-    df = df.drop("_hours", "prev_Latitude", "prev_Longitude", "prev_Timestamp")
     return df.drop(chunk) if tmp else df
 
 

@@ -79,19 +79,21 @@ def _subcell_keys(df: DataFrame, block_lat: str, block_deg: float, max_dist_nm:
     h, w = _subcell_sizes(F.col(block_lat), block_deg, max_dist_nm, p)
     y = F.col("Latitude") / F.lit(h)
     x = F.col("Longitude") / F.col("_sub_w")
-    return (
-        df.withColumn("_sub_w", w)
-        .withColumn("sub_lat", F.floor(y).cast("long"))
-        .withColumn("sub_lon", F.floor(x).cast("long"))
-        .withColumn("_sub_dy", F.when(y - F.col("sub_lat") >= 0.5, 1).otherwise(-1))
-        .withColumn("_sub_dx", F.when(x - F.col("sub_lon") >= 0.5, 1).otherwise(-1))
-        .drop("_sub_w")
+    df = df.withColumn("_sub_w", w).withColumns(
+        {"sub_lat": F.floor(y).cast("long"), "sub_lon": F.floor(x).cast("long")}
     )
+    return df.withColumns(
+        {
+            "_sub_dy": F.when(y - F.col("sub_lat") >= 0.5, 1).otherwise(-1),
+            "_sub_dx": F.when(x - F.col("sub_lon") >= 0.5, 1).otherwise(-1),
+        }
+    ).drop("_sub_w")
 
 
 def _side(df: DataFrame, suffix: str, extra: tuple[str, ...]) -> DataFrame:
-    cols = [F.col(c).alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c in df.columns]
-    missing = [F.lit(None).cast("double").alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c not in df.columns]
+    have = set(df.columns)
+    cols = [F.col(c).alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c in have]
+    missing = [F.lit(None).cast("double").alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c not in have]
     return df.select(*cols, *missing, *[F.col(c) for c in extra])
 
 
@@ -104,11 +106,9 @@ def _explode_neighbours(df: DataFrame) -> DataFrame:
         F.struct(la.alias("y"), (lo + dx).alias("x")),
         F.struct((la + dy).alias("y"), (lo + dx).alias("x")),
     )
-    return (
-        df.withColumn("_cell", F.explode(cells))
-        .withColumn("sub_lat", F.col("_cell.y"))
-        .withColumn("sub_lon", F.col("_cell.x"))
-        .drop("_cell", "_sub_dy", "_sub_dx")
+    keep = [c for c in df.columns if c not in ("sub_lat", "sub_lon", "_sub_dy", "_sub_dx")]
+    return df.select(*keep, F.explode(cells).alias("_cell")).select(
+        *keep, F.col("_cell.y").alias("sub_lat"), F.col("_cell.x").alias("sub_lon")
     )
 
 
@@ -173,7 +173,7 @@ def with_cpa(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     pairs = pairs.withColumn("vessel_distance_nm", dist)
     ve, vn = relative_velocity("SOG_A", "COG_A", "SOG_B", "COG_B")
     pe, pn = relative_position("Latitude_A", "Longitude_A", "Latitude_B", "Longitude_B", p)
-    pairs = pairs.withColumn("_ve", ve).withColumn("_vn", vn).withColumn("_pe", pe).withColumn("_pn", pn)
+    pairs = pairs.withColumns({"_ve": ve, "_vn": vn, "_pe": pe, "_pn": pn})
     pe, pn, ve, vn = F.col("_pe"), F.col("_pn"), F.col("_ve"), F.col("_vn")
     pairs = pairs.withColumn("tcpa_hours", tcpa_hours(pe, pn, ve, vn, p))
     dcpa = dcpa_nm(pe, pn, ve, vn, F.col("tcpa_hours"), F.col("vessel_distance_nm"), p)
@@ -271,7 +271,9 @@ def validate_proximity(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     events are returned unchanged (the original failsafe), decided lazily
     with an EXISTS subquery instead of a driver-side count.
     """
-    ok = (F.col("n_pings_A") >= p.min_pings_per_minute) & (F.col("n_pings_B") >= p.min_pings_per_minute)
+    # One predicate over both sides: it cannot be split and pushed below the
+    # pair join, so the subquery and the main plan share the same shuffles.
+    ok = F.least(F.col("n_pings_A"), F.col("n_pings_B")) >= p.min_pings_per_minute
     any_ok = events.filter(ok).exists()
     return events.filter(ok | ~any_ok).drop("n_pings_A", "n_pings_B")
 
@@ -285,14 +287,13 @@ def best_event_per_pair(events: DataFrame) -> DataFrame:
     aggregate: partial aggregation runs before the shuffle, so a pair with
     very many events costs one row per map task.
     """
-    rest = [c for c in events.columns if c not in ("MMSI_A", "MMSI_B", "DCPA", "vessel_distance_nm", "Timestamp", "Timestamp_B")]
+    cols = events.columns
     order = ["DCPA", "vessel_distance_nm", "Timestamp", "Timestamp_B"]
+    rest = [c for c in cols if c not in ["MMSI_A", "MMSI_B"] + order]
     best = events.groupBy("MMSI_A", "MMSI_B").agg(
         F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
     )
-    return best.select("MMSI_A", "MMSI_B", *[F.col(f"_best.{c}").alias(c) for c in order + rest]).select(
-        *events.columns
-    )
+    return best.select(*[F.col(c) if c in ("MMSI_A", "MMSI_B") else F.col(f"_best.{c}").alias(c) for c in cols])
 
 
 # --- F4 -----------------------------------------------------------------------

@@ -56,7 +56,5 @@ def with_previous(
     both = body.unionByName(markers, allowMissingColumns=True)
     # markers sort first inside their chunk (True > False with desc)
     w = Window.partitionBy(*keys, chunk).orderBy(F.col(_MARK).desc(), *[F.col(c) for c in order])
-    out = both
-    for c in values:
-        out = out.withColumn(prefix + c, F.lag(c).over(w))
+    out = both.withColumns({prefix + c: F.lag(c).over(w) for c in values})
     return out.filter(~F.col(_MARK)).drop(_MARK)

@@ -15,8 +15,7 @@ arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vesselflow.params import DEFAULT, Params
 from vesselflow.sources.schema import AIS_FIELDS
@@ -25,57 +24,53 @@ START = "2021-12-13 00:00:00"
 N_VESSELS = 16
 
 
-def _track(eid: Column, v: Column) -> tuple[Column, Column]:
-    lat_base = F.when(v == 13, 56.5).when(v == 12, 55.55).otherwise(55.2)
-    lon_base = F.when(v == 12, 13.06).when(v.between(7, 11), 14.49).otherwise(14.24)
-    lat = lat_base + F.lit(0.02) * F.abs(
-        ((eid + F.lit(97.0) * v) / (F.lit(600.0) + F.lit(37.0) * v)) % F.lit(2.0) - F.lit(1.0)
+EVENTS_READ_SCHEMA = "event_id BIGINT, value DOUBLE, props STRING"
+
+
+def _spark_exprs(p: Params, as_text: bool) -> dict[str, str]:
+    """Spark SQL expressions for the given columns (doubles as ``D`` literals)."""
+    v = "(event_id % 16)"
+    lat = (
+        f"CASE WHEN {v} = 13 THEN 56.5D WHEN {v} = 12 THEN 55.55D ELSE 55.2D END"
+        f" + 0.02D * abs(((event_id + 97.0D * {v}) / (600.0D + 37.0D * {v})) % 2.0D - 1.0D)"
     )
-    lon = lon_base + F.lit(0.02) * F.abs(
-        ((eid + F.lit(31.0) * v) / (F.lit(450.0) + F.lit(53.0) * v)) % F.lit(2.0) - F.lit(1.0)
+    lon = (
+        f"CASE WHEN {v} = 12 THEN 13.06D WHEN {v} BETWEEN 7 AND 11 THEN 14.49D ELSE 14.24D END"
+        f" + 0.02D * abs(((event_id + 31.0D * {v}) / (450.0D + 53.0D * {v})) % 2.0D - 1.0D)"
     )
-    return lat, lon
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    ts = f"timestampadd(SECOND, event_id, TIMESTAMP_NTZ'{START}')"
+    fmt = p.ts_format.replace("'", "''")
+    return {
+        "Timestamp": f"date_format({ts}, '{fmt}')" if as_text else ts,
+        "TypeOfMobile": "CASE WHEN event_id % 29 = 0 THEN 'Class B' WHEN event_id % 31 = 0 THEN 'Base Station' ELSE 'Class A' END",
+        "MMSI": f"CASE WHEN event_id % 101 = 0 THEN 111000000 + {v} WHEN event_id % 103 = 0 THEN 222222222"
+        f" WHEN event_id % 107 = 0 THEN 123456789 WHEN event_id % 109 = 0 THEN NULL ELSE 219000000 + {v} END",
+        "Latitude": f"CASE WHEN event_id % 113 = 0 THEN 91.0D ELSE ({lat}) + CASE WHEN event_id % 61 = 0 THEN 0.3D ELSE 0.0D END END",
+        "Longitude": f"({lon})",
+        "NavigationalStatus": "CASE WHEN event_id % 41 = 0 THEN 'At anchor' WHEN event_id % 43 = 0 THEN NULL ELSE 'Under way using engine' END",
+        "SOG": "CASE WHEN event_id % 47 = 0 THEN 0.5D ELSE 2.0D + value * 0.05D END",
+        "COG": f"CASE WHEN event_id % 53 = 0 THEN NULL WHEN {v} % 3 = 0 THEN 40.0D + {k} * 0.02D ELSE {k} * 3.6D END",
+        "Heading": f"CASE WHEN event_id % 59 = 0 THEN NULL ELSE {k} * 3.6D END",
+        "Name": f"concat('VESSEL ', CAST({v} AS STRING))",
+        "ShipType": f"CASE WHEN {v} = 15 THEN 'Pilot' WHEN {v} = 14 THEN NULL ELSE 'Cargo' END",
+    }
 
 
 def raw_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, as_text: bool = False) -> DataFrame:
     """The 26-column raw ping table. ``Timestamp`` is TIMESTAMP_NTZ, as a
     typed (Parquet) AIS source delivers it; ``as_text=True`` gives the CSV
-    text form instead."""
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "value", "props")
-    eid = F.col("event_id")
-    v = eid % N_VESSELS
-    k = F.get_json_object("props", "$.k").cast("long")
-    lat, lon = _track(eid, v)
-    ts = F.timestamp_add("SECOND", eid, F.expr(f"TIMESTAMP_NTZ'{START}'"))
-    cols = {
-        "Timestamp": F.date_format(ts, p.ts_format) if as_text else ts,
-        "TypeOfMobile": F.when(eid % 29 == 0, "Class B").when(eid % 31 == 0, "Base Station").otherwise("Class A"),
-        "MMSI": F.when(eid % 101 == 0, F.lit(111000000) + v)
-        .when(eid % 103 == 0, F.lit(222222222))
-        .when(eid % 107 == 0, F.lit(123456789))
-        .when(eid % 109 == 0, F.lit(None))
-        .otherwise(F.lit(219000000) + v)
-        .cast("long"),
-        "Latitude": F.when(eid % 113 == 0, F.lit(91.0)).otherwise(
-            lat + F.when(eid % 61 == 0, F.lit(0.3)).otherwise(F.lit(0.0))
-        ),
-        "Longitude": lon,
-        "NavigationalStatus": F.when(eid % 41 == 0, "At anchor")
-        .when(eid % 43 == 0, F.lit(None))
-        .otherwise("Under way using engine"),
-        "SOG": F.when(eid % 47 == 0, F.lit(0.5)).otherwise(F.lit(2.0) + F.col("value") * F.lit(0.05)),
-        "COG": F.when(eid % 53 == 0, F.lit(None))
-        .when(v % 3 == 0, F.lit(40.0) + k * F.lit(0.02))
-        .otherwise(k * F.lit(3.6)),
-        "Heading": F.when(eid % 59 == 0, F.lit(None)).otherwise(k * F.lit(3.6)),
-        "Name": F.concat(F.lit("VESSEL "), v.cast("string")),
-        "ShipType": F.when(v == 15, "Pilot").when(v == 14, F.lit(None)).otherwise("Cargo"),
-    }
-    out = [
-        (cols[n] if n in cols else F.lit(None)).cast(t).alias(n) if n != "Timestamp" else cols[n].alias(n)
-        for n, t in AIS_FIELDS
-    ]
-    return ev.select(*out)
+    text form instead. One projection over ``events`` (read with a fixed
+    schema, so no footer inference)."""
+    ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    given = _spark_exprs(p, as_text)
+    out = []
+    for n, t in AIS_FIELDS:
+        if n == "Timestamp":
+            out.append(f"{given[n]} AS `{n}`")
+        else:
+            out.append(f"CAST({given.get(n, 'NULL')} AS {t.simpleString()}) AS `{n}`")
+    return ev.selectExpr(*out)
 
 
 def _d(x: float) -> str:
