@@ -45,14 +45,22 @@ def parse_timestamp(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- C2 / C3 ------------------------------------------------------------------
+def mobile_type_ok(p: Params = DEFAULT) -> Column:
+    return F.col("TypeOfMobile").isin(list(p.mobile_types))
+
+
+def class_a_ok(p: Params = DEFAULT) -> Column:
+    return F.col("TypeOfMobile") == p.vessel_class
+
+
 def filter_mobile_type(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Class A or Class B transponders only."""
-    return df.filter(F.col("TypeOfMobile").isin(list(p.mobile_types)))
+    return df.filter(mobile_type_ok(p))
 
 
 def filter_class_a(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Class A only."""
-    return df.filter(F.col("TypeOfMobile") == p.vessel_class)
+    return df.filter(class_a_ok(p))
 
 
 # --- C4 -----------------------------------------------------------------------
@@ -78,8 +86,8 @@ def filter_valid_mmsi(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- C5 -----------------------------------------------------------------------
-def filter_valid_coordinates(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    return df.filter(
+def coordinates_ok(p: Params = DEFAULT) -> Column:
+    return (
         F.col("Latitude").between(-90.0, 90.0)
         & F.col("Longitude").between(-180.0, 180.0)
         & F.col("Latitude").isNotNull()
@@ -87,6 +95,10 @@ def filter_valid_coordinates(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     )
 
 
+def filter_valid_coordinates(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    return df.filter(coordinates_ok(p))
+
+
 # --- W1 -----------------------------------------------------------------------
 def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = None) -> DataFrame:
     """Adds ``implied_speed_kn``: distance from the vessel's previous ping over
@@ -117,12 +129,13 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
     return df.drop(chunk) if tmp else df
 
 
+def plausible_speed(p: Params = DEFAULT) -> Column:
+    return F.col("implied_speed_kn").isNull() | (F.col("implied_speed_kn") <= p.max_sog)
+
+
 def filter_gps_jumps(df: DataFrame, p: Params = DEFAULT, chunk: str | None = None) -> DataFrame:
     """Drop pings whose implied speed from the previous ping exceeds ``max_sog``."""
-    df = with_implied_speed(df, p, chunk)
-    return df.filter(
-        F.col("implied_speed_kn").isNull() | (F.col("implied_speed_kn") <= p.max_sog)
-    ).drop("implied_speed_kn")
+    return with_implied_speed(df, p, chunk).filter(plausible_speed(p)).drop("implied_speed_kn")
 
 
 # --- C6 -----------------------------------------------------------------------
@@ -130,13 +143,19 @@ def distance_from_center_nm(p: Params = DEFAULT) -> Column:
     return acos_distance_nm(F.lit(p.center_lat), F.lit(p.center_lon), "Latitude", "Longitude", p)
 
 
+def region_ok(p: Params = DEFAULT) -> Column:
+    lat_lo, lat_hi, lon_lo, lon_hi = p.box
+    return (
+        F.col("Latitude").between(lat_lo, lat_hi)
+        & F.col("Longitude").between(lon_lo, lon_hi)
+        & (distance_from_center_nm(p) <= p.radius_nm)
+    )
+
+
 def filter_region(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Inside the lat/lon box AND within ``radius_nm`` of the centre.
     Both apply; the box is tighter than the circle east-west and north-south."""
-    lat_lo, lat_hi, lon_lo, lon_hi = p.box
-    return df.filter(
-        F.col("Latitude").between(lat_lo, lat_hi) & F.col("Longitude").between(lon_lo, lon_hi)
-    ).filter(distance_from_center_nm(p) <= p.radius_nm)
+    return df.filter(region_ok(p))
 
 
 # --- C7 -----------------------------------------------------------------------
@@ -150,61 +169,66 @@ def in_port_zone(p: Params = DEFAULT) -> Column:
     )
 
 
-def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Drop pings inside any port box (bounds inclusive)."""
-    keep = reduce(
+def outside_ports(p: Params = DEFAULT) -> Column:
+    return reduce(
         lambda a, b: a & b,
         [
             ~(F.col("Latitude").between(la, lb) & F.col("Longitude").between(oa, ob))
             for _, la, lb, oa, ob in p.port_zones
         ],
     )
-    return df.filter(keep)
+
+
+def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Drop pings inside any port box (bounds inclusive)."""
+    return df.filter(outside_ports(p))
 
 
 # --- C8 -----------------------------------------------------------------------
+def ship_type_ok(p: Params = DEFAULT) -> Column:
+    st = F.col("ShipType")
+    return ~st.isin(list(p.excluded_ship_types)) & st.isNotNull() & (st != "")
+
+
 def filter_ship_types(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Ship type known and not an excluded kind (NULL is dropped)."""
-    st = F.col("ShipType")
-    return df.filter(~st.isin(list(p.excluded_ship_types)) & st.isNotNull() & (st != ""))
+    return df.filter(ship_type_ok(p))
 
 
 # --- C9 -----------------------------------------------------------------------
+def moving_ok(p: Params = DEFAULT) -> Column:
+    return (F.col("SOG") > p.min_sog) & ~F.col("NavigationalStatus").isin(list(p.stationary_statuses))
+
+
 def filter_moving(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """SOG above ``min_sog`` and status not stationary (NULL status dropped)."""
-    return df.filter(
-        (F.col("SOG") > p.min_sog) & ~F.col("NavigationalStatus").isin(list(p.stationary_statuses))
-    )
+    return df.filter(moving_ok(p))
 
 
 # --- C10 ----------------------------------------------------------------------
 def clean_until_coordinates(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """C1 -> C5."""
-    return (
-        df.transform(parse_timestamp, p)
-        .transform(filter_mobile_type, p)
-        .transform(filter_class_a, p)
-        .transform(filter_valid_mmsi, p)
-        .transform(filter_valid_coordinates, p)
+    """C1 -> C5 (the four row filters after parsing run as one predicate)."""
+    return parse_timestamp(df, p).filter(
+        mobile_type_ok(p) & class_a_ok(p) & mmsi_valid(F.col("MMSI"), p) & coordinates_ok(p)
     )
 
 
 def clean_pings(df: DataFrame, p: Params = DEFAULT, keep_bucket: bool = False) -> DataFrame:
     """The full chain C1..C5, W1, C6..C9 on raw pings.
 
-    Returns the input columns with ``Timestamp`` as TIMESTAMP_NTZ. With
-    ``keep_bucket`` the minute column used to split the jump filter is kept as
-    ``TimeBucket``; rows then stay hash-partitioned by (MMSI, TimeBucket),
+    Returns the input columns with ``Timestamp`` as TIMESTAMP_NTZ. Filters
+    within a phase are ANDed into one predicate (same rows, fewer plan
+    nodes); the jump filter still sees every valid Class A ping, as the
+    region, port, type and motion filters only apply after it. With
+    ``keep_bucket`` the minute column used to split the jump filter is kept
+    as ``TimeBucket``; rows then stay hash-partitioned by (MMSI, TimeBucket),
     which later per-vessel-minute windows reuse without another shuffle.
     """
     base = clean_until_coordinates(df, p).withColumn("TimeBucket", minute_bucket("Timestamp"))
-    out = (
-        base.transform(filter_gps_jumps, p, "TimeBucket")
-        .transform(filter_region, p)
-        .transform(filter_port_zones, p)
-        .transform(filter_ship_types, p)
-        .transform(filter_moving, p)
-    )
+    after = with_implied_speed(base, p, "TimeBucket")
+    out = after.filter(
+        plausible_speed(p) & region_ok(p) & outside_ports(p) & ship_type_ok(p) & moving_ok(p)
+    ).drop("implied_speed_kn")
     return out if keep_bucket else out.drop("TimeBucket")
 
 

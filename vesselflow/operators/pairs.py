@@ -75,39 +75,49 @@ def _subcell_sizes(block_lat_idx: Column, block_deg: float, max_dist_nm: float,
     return h, w
 
 
-def _subcell_keys(df: DataFrame, block_lat: str, block_deg: float, max_dist_nm: float, p: Params) -> DataFrame:
-    h, w = _subcell_sizes(F.col(block_lat), block_deg, max_dist_nm, p)
+def _subcell_columns(block_lat: Column, block_deg: float, max_dist_nm: float, p: Params) -> dict[str, Column]:
+    """Sub-cell keys and the direction of the nearer neighbour on each axis."""
+    h, w = _subcell_sizes(block_lat, block_deg, max_dist_nm, p)
     y = F.col("Latitude") / F.lit(h)
-    x = F.col("Longitude") / F.col("_sub_w")
-    df = df.withColumn("_sub_w", w).withColumns(
-        {"sub_lat": F.floor(y).cast("long"), "sub_lon": F.floor(x).cast("long")}
-    )
-    return df.withColumns(
-        {
-            "_sub_dy": F.when(y - F.col("sub_lat") >= 0.5, 1).otherwise(-1),
-            "_sub_dx": F.when(x - F.col("sub_lon") >= 0.5, 1).otherwise(-1),
-        }
-    ).drop("_sub_w")
+    x = F.col("Longitude") / w
+    fy, fx = F.floor(y), F.floor(x)
+    return {
+        "sub_lat": fy.cast("long"),
+        "sub_lon": fx.cast("long"),
+        "_sub_dy": F.when(y - fy >= 0.5, 1).otherwise(-1),
+        "_sub_dx": F.when(x - fx >= 0.5, 1).otherwise(-1),
+    }
 
 
-def _side(df: DataFrame, suffix: str, extra: tuple[str, ...]) -> DataFrame:
+def _subcell_keys(df: DataFrame, block_lat: str, block_deg: float, max_dist_nm: float, p: Params) -> DataFrame:
+    return df.withColumns(_subcell_columns(F.col(block_lat), block_deg, max_dist_nm, p))
+
+
+def _side(df: DataFrame, suffix: str, extra: tuple[str, ...], carry: tuple[str, ...] = ()) -> DataFrame:
     have = set(df.columns)
     cols = [F.col(c).alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c in have]
     missing = [F.lit(None).cast("double").alias(f"{c}_{suffix}") for c in SIDE_COLUMNS if c not in have]
-    return df.select(*cols, *missing, *[F.col(c) for c in extra])
+    carried = [F.col(c).alias(f"{c}_{suffix}") for c in carry]
+    return df.select(*cols, *missing, *carried, *[F.col(c) for c in extra])
 
 
-def _explode_neighbours(df: DataFrame) -> DataFrame:
-    """Left side: own sub-cell plus the nearer neighbour on each axis (4 rows)."""
+def _neighbour_cells() -> Column:
+    """Own sub-cell plus the nearer neighbour on each axis (4 cells)."""
     la, lo, dy, dx = F.col("sub_lat"), F.col("sub_lon"), F.col("_sub_dy"), F.col("_sub_dx")
-    cells = F.array(
-        F.struct(la.alias("y"), lo.alias("x")),
-        F.struct((la + dy).alias("y"), lo.alias("x")),
-        F.struct(la.alias("y"), (lo + dx).alias("x")),
-        F.struct((la + dy).alias("y"), (lo + dx).alias("x")),
+    return F.explode(
+        F.array(
+            F.struct(la.alias("y"), lo.alias("x")),
+            F.struct((la + dy).alias("y"), lo.alias("x")),
+            F.struct(la.alias("y"), (lo + dx).alias("x")),
+            F.struct((la + dy).alias("y"), (lo + dx).alias("x")),
+        )
     )
+
+
+def _explode_neighbours(df: DataFrame) -> DataFrame:
+    """Left side: one row per neighbour cell, replacing the sub-cell keys."""
     keep = [c for c in df.columns if c not in ("sub_lat", "sub_lon", "_sub_dy", "_sub_dx")]
-    return df.select(*keep, F.explode(cells).alias("_cell")).select(
+    return df.select(*keep, _neighbour_cells().alias("_cell")).select(
         *keep, F.col("_cell.y").alias("sub_lat"), F.col("_cell.x").alias("sub_lon")
     )
 
@@ -116,33 +126,29 @@ def candidate_pairs(indexed: DataFrame, p: Params = DEFAULT, carry: tuple[str, .
     """Ping pairs of different vessels (``MMSI_A < MMSI_B``) in the same
     minute and 0.5 degree cell.
 
-    ``indexed`` needs ``TimeBucket``; grid columns are added when absent.
-    With ``p.pair_join == "subgrid"`` only pairs that can be within
-    ``p.max_distance_nm`` are produced (exactly those the close-event filter
-    can keep). ``carry`` lists extra per-ping columns to bring along, suffixed.
-    Output columns: ``<col>_A``, ``<col>_B`` for the side columns and carried
-    ones, plus ``TimeBucket``, ``grid_lat``, ``grid_lon``.
+    ``indexed`` needs ``TimeBucket``. With ``p.pair_join == "subgrid"`` only
+    pairs that can be within ``p.max_distance_nm`` are produced (exactly
+    those the close-event filter can keep). ``carry`` lists extra per-ping
+    columns to bring along, suffixed. Output columns: ``<col>_A``,
+    ``<col>_B`` for the side columns and carried ones, plus ``TimeBucket``,
+    ``grid_lat``, ``grid_lon``.
     """
-    if "grid_lat" not in indexed.columns:
-        indexed = add_grid_index(indexed, p)
+    grid_lat = F.floor(F.col("Latitude") / F.lit(p.grid_deg)).cast("long")
+    keyed = {"grid_lat": grid_lat, "grid_lon": F.floor(F.col("Longitude") / F.lit(p.grid_deg)).cast("long")}
     keys = ("TimeBucket", "grid_lat", "grid_lon")
-    sub = ()
+    sub: tuple[str, ...] = ()
     if p.pair_join == "subgrid":
-        indexed = _subcell_keys(indexed, "grid_lat", p.grid_deg, p.max_distance_nm, p)
+        keyed.update(_subcell_columns(grid_lat, p.grid_deg, p.max_distance_nm, p))
         sub = ("sub_lat", "sub_lon")
     elif p.pair_join != "plain":
         raise ValueError(f"unknown pair_join {p.pair_join!r}")
-
-    a = _side(indexed, "A", keys + sub + (("_sub_dy", "_sub_dx") if sub else ()) + carry)
-    b = _side(indexed, "B", keys + sub + carry)
-    for c in carry:
-        a = a.withColumnRenamed(c, f"{c}_A")
-        b = b.withColumnRenamed(c, f"{c}_B")
+    indexed = indexed.withColumns(keyed)
+    a = _side(indexed, "A", keys + sub + (("_sub_dy", "_sub_dx") if sub else ()), carry)
+    b = _side(indexed, "B", keys + sub, carry)
     if sub:
         a = _explode_neighbours(a)
-    join_keys = list(keys + sub)
-    pairs = a.join(b, on=join_keys, how="inner").filter(F.col("MMSI_A") < F.col("MMSI_B"))
-    return pairs.drop(*sub)
+    pairs = a.join(b, on=list(keys + sub), how="inner").filter(F.col("MMSI_A") < F.col("MMSI_B"))
+    return pairs.drop(*sub) if sub else pairs
 
 
 def candidate_pair_counts(indexed: DataFrame, p: Params = DEFAULT) -> DataFrame:

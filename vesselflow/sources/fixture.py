@@ -63,6 +63,12 @@ def raw_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, as_text: bo
     text form instead. One projection over ``events`` (read with a fixed
     schema, so no footer inference)."""
     ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    # A small table can arrive as one file with one row group, i.e. one scan
+    # task. Spread it over the cores then; a large input already has more
+    # splits than cores and is left alone (no extra shuffle at scale).
+    cores = spark.sparkContext.defaultParallelism
+    if ev.rdd.getNumPartitions() < cores:
+        ev = ev.repartition(cores)
     given = _spark_exprs(p, as_text)
     out = []
     for n, t in AIS_FIELDS:
