@@ -32,3 +32,17 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession) is None:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared directory for checkpoints")
     return df.checkpoint(eager=True)
+
+
+def materialize_if_configured(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` when the session names a checkpoint directory, else
+    return it unchanged (same rows either way; only the execution differs).
+
+    Used for tables a plan reads several times (the cleaned pings feed both
+    sides of the pair join, the look-back and the trajectory joins): they are
+    computed once and read back, instead of re-running their windows per
+    consumer, and a lost executor does not send the job back to the scan.
+    """
+    if checkpoint_dir(df.sparkSession) is None:
+        return df
+    return df.checkpoint(eager=True)

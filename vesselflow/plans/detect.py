@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from vesselflow.operators import clean as C
 from vesselflow.operators import pairs as P
 from vesselflow.params import DEFAULT, Params
+from vesselflow.plans.checkpoint import materialize_if_configured
 
 
 def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -14,9 +15,22 @@ def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return C.clean_pings(raw, p, keep_bucket=True)
 
 
+def shared_clean(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Cleaned pings + ``TimeBucket`` + per-vessel-minute ``n_pings``,
+    materialised once (``materialize_if_configured``) for plans that read
+    them several times. The count window runs on the partitioning the jump
+    filter left behind, before the checkpoint."""
+    return materialize_if_configured(P.with_minute_counts(clean_bucketed(raw, p)))
+
+
+def pings_of(clean_b: DataFrame) -> DataFrame:
+    """The ping columns of a cleaned table (helper columns dropped)."""
+    return clean_b.drop("TimeBucket", "n_pings")
+
+
 def close_pairs(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """J1 -> M1, M4-M7 with per-vessel-minute counts carried along."""
-    idx = P.with_minute_counts(clean_b)
+    idx = clean_b if "n_pings" in clean_b.columns else P.with_minute_counts(clean_b)
     return P.with_cpa(P.candidate_pairs(idx, p, carry=("n_pings",)), p)
 
 
@@ -36,4 +50,4 @@ def detect(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def detect_from_raw(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    return detect(clean_bucketed(raw, p), p)
+    return detect(shared_clean(raw, p), p)

@@ -63,16 +63,21 @@ def _clean_b(spark, sf_dir, p=DEFAULT):
     return D.clean_bucketed(_raw(spark, sf_dir, p), p)
 
 
+def _shared(spark, sf_dir, p=DEFAULT):
+    """Cleaned pings read several times by one plan: materialised once."""
+    return D.shared_clean(_raw(spark, sf_dir, p), p)
+
+
 def _clean(spark, sf_dir, p=DEFAULT):
     return C.clean_pings(_raw(spark, sf_dir, p), p)
 
 
 def _events(spark, sf_dir, p=DEFAULT):
-    return D.detect(_clean_b(spark, sf_dir, p), p)
+    return D.detect(_shared(spark, sf_dir, p), p)
 
 
 def _validated(spark, sf_dir, p=DEFAULT):
-    return D.validated_events(_clean_b(spark, sf_dir, p), p)
+    return D.validated_events(_shared(spark, sf_dir, p), p)
 
 
 # --- sources and cleaning -------------------------------------------------------
@@ -184,7 +189,7 @@ def q_candidate_pairs_per_minute(spark, sf_dir):
 
 # --- pairs --------------------------------------------------------------------------
 def _near_pairs(spark, sf_dir, p=DEFAULT):
-    pr = D.close_pairs(_clean_b(spark, sf_dir, p), p)
+    pr = D.close_pairs(_shared(spark, sf_dir, p), p)
     return pr.filter((F.col("vessel_distance_nm") > 0) & (F.col("vessel_distance_nm") <= p.max_distance_nm))
 
 
@@ -227,7 +232,7 @@ def q_pair_tcpa_dcpa(spark, sf_dir):
 @query("close_events")
 def q_close_events(spark, sf_dir):
     """F1 + F2."""
-    ev = D.close_events(_clean_b(spark, sf_dir)).drop("n_pings_A", "n_pings_B")
+    ev = D.close_events(_shared(spark, sf_dir)).drop("n_pings_A", "n_pings_B")
     return rounded(ev)
 
 
@@ -252,7 +257,7 @@ def q_convoy_filters(spark, sf_dir):
 @query("fine_pairs")
 def q_fine_pairs(spark, sf_dir):
     """Fine-cell pair rules."""
-    return rounded(P.fine_pairs(_clean_b(spark, sf_dir)))
+    return rounded(P.fine_pairs(_shared(spark, sf_dir)))
 
 
 # --- verification ---------------------------------------------------------------
@@ -269,16 +274,16 @@ def q_short_encounters(spark, sf_dir):
 @query("course_steadiness")
 def q_course_steadiness(spark, sf_dir):
     """A4 for every validated pair, look-back from its first event."""
-    clean_b = _clean_b(spark, sf_dir)
+    clean_b = _shared(spark, sf_dir)
     pairs = V.pair_duration(D.validated_events(clean_b)).select("MMSI_A", "MMSI_B", "first_ts")
-    return rounded(V.course_steadiness(pairs, clean_b.drop("TimeBucket")))
+    return rounded(V.course_steadiness(pairs, D.pings_of(clean_b)))
 
 
 @query("verified_pairs")
 def q_verified_pairs(spark, sf_dir):
     """V3: the whole verification chain on the validated events."""
-    clean_b = _clean_b(spark, sf_dir)
-    return rounded(V.verified_pairs(D.validated_events(clean_b), clean_b.drop("TimeBucket")))
+    clean_b = _shared(spark, sf_dir)
+    return rounded(V.verified_pairs(D.validated_events(clean_b), D.pings_of(clean_b)))
 
 
 # --- selection, trajectories, reports ------------------------------------------------
@@ -294,21 +299,21 @@ def q_five_closest_pairs(spark, sf_dir):
 
 @query("event_trajectories")
 def q_event_trajectories(spark, sf_dir):
-    clean_b = _clean_b(spark, sf_dir)
-    return rounded(T.event_trajectories(D.detect(clean_b), clean_b.drop("TimeBucket")))
+    clean_b = _shared(spark, sf_dir)
+    return rounded(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b)))
 
 
 @query("trajectory_endpoints")
 def q_trajectory_endpoints(spark, sf_dir):
-    clean_b = _clean_b(spark, sf_dir)
+    clean_b = _shared(spark, sf_dir)
     ev = D.detect(clean_b)
-    return rounded(T.trajectory_endpoints(T.event_trajectories(ev, clean_b.drop("TimeBucket")), ev))
+    return rounded(T.trajectory_endpoints(T.event_trajectories(ev, D.pings_of(clean_b)), ev))
 
 
 @query("trajectory_wkt")
 def q_trajectory_wkt(spark, sf_dir):
-    clean_b = _clean_b(spark, sf_dir)
-    return T.trajectory_segments(T.event_trajectories(D.detect(clean_b), clean_b.drop("TimeBucket")))
+    clean_b = _shared(spark, sf_dir)
+    return T.trajectory_segments(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b)))
 
 
 @query("event_bearings")
@@ -330,7 +335,7 @@ def q_event_report_text(spark, sf_dir):
 def q_stage_counts(spark, sf_dir):
     """A5: rows after each stage (raw, clean, candidates, close, validated, final)."""
     raw = _raw(spark, sf_dir)
-    clean_b = D.clean_bucketed(raw)
+    clean_b = D.shared_clean(raw)
     cand = P.candidate_pair_counts(clean_b)
     close = D.close_events(clean_b)
     valid = D.validated_events(clean_b)
