@@ -203,6 +203,7 @@ def test_best_event_tie_break(spark):
 def test_known_crossing_detected_and_prioritised(spark):
     raw = pings_df(spark, crossing())
     events = D.detect_from_raw(raw)
+    assert tuple(events.columns) == P.EVENT_COLUMNS
     rows = events.collect()
     assert [(r.MMSI_A, r.MMSI_B) for r in rows] == [(219021240, 232018267)]
     e = rows[0]

@@ -40,9 +40,6 @@ SIDE_COLUMNS = (
     "ShipType",
     "Length",
 )
-# short names used in event tables
-_OUT_NAME = {"Latitude": "Lat", "Longitude": "Lon", "Heading": "HDG"}
-
 _MARGIN = 1.01  # slack over the exact bound, far above floating-point noise
 
 
