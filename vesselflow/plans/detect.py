@@ -44,6 +44,12 @@ def validated_events(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return P.validate_proximity(close_events(clean_b, p), p)
 
 
+def shared_validated(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Validated events materialised once, for plans that read them several
+    times (duration + details, selection + top-k, tracks + end points)."""
+    return materialize_if_configured(validated_events(clean_b, p))
+
+
 def detect(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """I1, I2 -> J1 -> M -> F1/F2 -> A2 -> W2, one event per pair."""
     return P.best_event_per_pair(validated_events(clean_b, p))

@@ -24,7 +24,7 @@ from vesselflow.operators import trajectory as T
 from vesselflow.operators import verify as V
 from vesselflow.plans import detect as D
 from vesselflow.params import DEFAULT
-from vesselflow.plans.checkpoint import checkpoint_dir
+from vesselflow.plans.checkpoint import checkpoint_dir, materialize_if_configured
 from vesselflow.sources import csv as S
 from vesselflow.sources.fixture import raw_pings
 
@@ -80,6 +80,11 @@ def _validated(spark, sf_dir, p=DEFAULT):
     return D.validated_events(_shared(spark, sf_dir, p), p)
 
 
+def _events_shared(spark, sf_dir, p=DEFAULT):
+    """Best event per pair on top of materialised validated events."""
+    return P.best_event_per_pair(D.shared_validated(_shared(spark, sf_dir, p), p))
+
+
 # --- sources and cleaning -------------------------------------------------------
 @query("csv_roundtrip_scan")
 def q_csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,13 +288,13 @@ def q_course_steadiness(spark, sf_dir):
 def q_verified_pairs(spark, sf_dir):
     """V3: the whole verification chain on the validated events."""
     clean_b = _shared(spark, sf_dir)
-    return rounded(V.verified_pairs(D.validated_events(clean_b), D.pings_of(clean_b)))
+    return rounded(V.verified_pairs(D.shared_validated(clean_b), D.pings_of(clean_b)))
 
 
 # --- selection, trajectories, reports ------------------------------------------------
 @query("priority_pairs")
 def q_priority_pairs(spark, sf_dir):
-    return rounded(T.priority_events(_events(spark, sf_dir)))
+    return rounded(T.priority_events(_events_shared(spark, sf_dir)))
 
 
 @query("five_closest_pairs")
@@ -306,7 +311,7 @@ def q_event_trajectories(spark, sf_dir):
 @query("trajectory_endpoints")
 def q_trajectory_endpoints(spark, sf_dir):
     clean_b = _shared(spark, sf_dir)
-    ev = D.detect(clean_b)
+    ev = P.best_event_per_pair(D.shared_validated(clean_b))
     return rounded(T.trajectory_endpoints(T.event_trajectories(ev, D.pings_of(clean_b)), ev))
 
 
@@ -337,9 +342,9 @@ def q_stage_counts(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     clean_b = D.shared_clean(raw)
     cand = P.candidate_pair_counts(clean_b)
-    close = D.close_events(clean_b)
-    valid = D.validated_events(clean_b)
-    final = D.detect(clean_b)
+    close = materialize_if_configured(D.close_events(clean_b))
+    valid = materialize_if_configured(P.validate_proximity(close))
+    final = P.best_event_per_pair(valid)
     counted = R.stage_counts([("raw", raw), ("clean", clean_b)])
     summed = R.stage_sums([("candidates", cand, "candidate_pairs")])
     rest = R.stage_counts([("close", close), ("validated", valid), ("final", final)])
