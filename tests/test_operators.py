@@ -233,6 +233,12 @@ def test_trajectory_window_inclusive(spark):
     assert ends.n_points == 4 and (ends.end_ts - T0).seconds == 1200
     segs = T.trajectory_segments(tr).filter("vessel = 'A'").count()
     assert segs == 3
+    # Within each partition every track is one time-ordered run
+    runs = T.ordered_tracks(tr).rdd.glom().collect()
+    for part in runs:
+        for a, b in zip(part, part[1:]):
+            if (a.vessel, a.MMSI) == (b.vessel, b.MMSI):
+                assert a.Timestamp <= b.Timestamp
 
 
 def test_verification_on_hand_made_events(spark):

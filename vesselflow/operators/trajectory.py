@@ -90,6 +90,16 @@ def event_trajectories(events: DataFrame, clean: DataFrame, p: Params = DEFAULT)
     return j.select(*EVENT_KEY, "vessel", *TRAJ_COLUMNS)
 
 
+# --- T3 -----------------------------------------------------------------------
+def ordered_tracks(traj: DataFrame) -> DataFrame:
+    """Tracks in time order, each (event, vessel) track whole in one
+    partition and sorted inside it (no global sort; a track is bounded by its
+    +/- window). Writers and per-partition consumers then see every track as
+    one ordered run of rows."""
+    keys = EVENT_KEY + ["vessel"]
+    return traj.repartition(*keys).sortWithinPartitions(*keys, "Timestamp", "Latitude", "Longitude")
+
+
 # --- E3 -----------------------------------------------------------------------
 def trajectory_segments(traj: DataFrame) -> DataFrame:
     """Each track as ordered line segments with WKT text.

@@ -56,7 +56,7 @@ def run_on(raw: DataFrame, out_dir: str, p: Params = DEFAULT, fmt: str = "parque
     selected = T.priority_events(stored_events, p)
     write_table(selected, f"{out}/selected", fmt)
     tracks = T.event_trajectories(selected, pings, p)
-    write_table(tracks, f"{out}/trajectories", fmt)
+    write_table(T.ordered_tracks(tracks), f"{out}/trajectories", fmt)
     write_table(T.trajectory_segments(tracks), f"{out}/segments", fmt)
     write_table(T.trajectory_endpoints(tracks, selected), f"{out}/endpoints", fmt)
     write_table(R.report_text(stored_events), f"{out}/report", "csv")
