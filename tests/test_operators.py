@@ -283,3 +283,33 @@ def test_geo_functions(spark):
     ).first()
     assert abs(r.acos - r.hav) < 1e-6
     assert 89.0 < r.brg < 90.0
+
+
+def test_lon_scale_option_changes_only_east_offset(spark):
+    # B due east of A: flat scale overstates the east offset by 1/cos(lat)
+    df = spark.createDataFrame(
+        [(55.2, 14.2, 55.2, 14.2005, 10.0, 0.0, 10.0, 0.0)],
+        "Latitude_A double, Longitude_A double, Latitude_B double, Longitude_B double,"
+        " SOG_A double, COG_A double, SOG_B double, COG_B double",
+    )
+    flat = P.with_cpa(df).first()
+    cos = P.with_cpa(df, DEFAULT.with_(lon_scale="cos_mid")).first()
+    # parallel courses, equal speed: no relative motion -> DCPA = current distance
+    assert flat.dcpa == cos.dcpa == flat.vessel_distance_nm
+    moving = df.withColumn("SOG_B", F.lit(12.0)).withColumn("COG_B", F.lit(270.0))
+    f2, c2 = P.with_cpa(moving).first(), P.with_cpa(moving, DEFAULT.with_(lon_scale="cos_mid")).first()
+    ratio = f2.tcpa_hours / c2.tcpa_hours
+    assert abs(ratio - 1 / math.cos(math.radians(55.2))) < 1e-9
+
+
+def test_jump_filter_runs_before_region_filter(spark):
+    # the second ping sits far outside the region; it is still the "previous
+    # ping" of the third, whose implied speed from it is a jump
+    rows = [
+        ping(219000001, 0, 55.2, 14.2),
+        ping(219000001, 600, 58.0, 14.2),  # outside the region, plausible over 10 min? no: 168 nm
+        ping(219000001, 1200, 55.2, 14.2),
+        ping(219000001, 1800, 55.201, 14.2),
+    ]
+    out = C.clean_pings(pings_df(spark, rows)).orderBy("Timestamp").collect()
+    assert [(r.Timestamp - T0).seconds for r in out] == [0, 1800]
