@@ -313,3 +313,29 @@ def test_jump_filter_runs_before_region_filter(spark):
     ]
     out = C.clean_pings(pings_df(spark, rows)).orderBy("Timestamp").collect()
     assert [(r.Timestamp - T0).seconds for r in out] == [0, 1800]
+
+
+@pytest.mark.parametrize("lat0,lon0", [(55.5, 14.5), (74.99, 20.0), (-60.0, -0.0004)])
+def test_subgrid_join_exact_on_dense_clusters(spark, lat0, lon0):
+    """Many vessels packed around a 0.5 degree corner (and at high latitude,
+    where longitude bins widen): the sub-grid join finds exactly the pairs the
+    plain join finds within the distance limit."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for v in range(40):
+        for k in range(6):
+            lat = lat0 + rng.normal(0, 0.0006)
+            lon = lon0 + rng.normal(0, 0.0006 / max(0.2, math.cos(math.radians(lat0))))
+            rows.append((219000000 + v, T0 + dt.timedelta(seconds=int(rng.integers(0, 60))), lat, lon))
+    df = spark.createDataFrame(rows, "MMSI long, Timestamp timestamp_ntz, Latitude double, Longitude double")
+    df = df.withColumn("TimeBucket", minute_bucket("Timestamp")).withColumns(
+        {"SOG": F.lit(5.0), "COG": F.lit(0.0), "Heading": F.lit(0.0), "Name": F.lit("x"), "ShipType": F.lit("Cargo")}
+    )
+    near = (F.col("vessel_distance_nm") > 0) & (F.col("vessel_distance_nm") <= DEFAULT.max_distance_nm)
+    cols = ["MMSI_A", "MMSI_B", "Timestamp_A", "Timestamp_B", "Latitude_A", "Latitude_B"]
+    sub = P.with_cpa(P.candidate_pairs(df, DEFAULT)).filter(near).select(*cols)
+    plain = P.with_cpa(P.candidate_pairs(df, DEFAULT.with_(pair_join="plain"))).filter(near).select(*cols)
+    n = plain.count()
+    assert n > 50
+    assert sub.count() == n
+    assert sub.exceptAll(plain).count() == 0 and plain.exceptAll(sub).count() == 0

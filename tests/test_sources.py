@@ -54,3 +54,13 @@ def test_permissive_bad_values_become_null(spark, tmp_path):
     assert rows[0]["MMSI"] is None and rows[0]["Latitude"] == 55.2
     # the impossible date is dropped by C1 instead of failing under ANSI mode
     assert C.parse_timestamp(df).count() == 1
+
+
+def test_all_days_glob_reads_every_day_file(spark, tmp_path):
+    header = ",".join(["# Timestamp"] + list(AIS_COLUMNS[1:]))
+    for day in (1, 2, 13):
+        row = [f"{day:02d}/12/2021 00:00:01", "Class A", "219000001", "55.2", "14.2"] + [""] * 21
+        (tmp_path / f"aisdk-2021-12-{day:02d}.csv").write_text(header + "\n" + ",".join(row) + "\n")
+    (tmp_path / "other.csv").write_text(header + "\n")
+    assert S.load_pings(spark, str(tmp_path), "all").count() == 3
+    assert S.load_pings(spark, str(tmp_path), 2).count() == 1
