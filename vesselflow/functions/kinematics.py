@@ -1,55 +1,71 @@
-"""Closest-point-of-approach kinematics as ``Column`` expressions.
+"""Closest-point-of-approach kinematics as column expressions.
 
 Units: positions in nautical miles, speeds in knots, TCPA in hours.
+Arguments are column names or numbers; ``*_sql`` forms return SQL text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from vesselflow.functions.geo import _c
+from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.params import DEFAULT, Params
 
 
-def relative_velocity(sog_a, cog_a, sog_b, cog_b) -> tuple[Column, Column]:
+def relative_velocity_sql(sog_a, cog_a, sog_b, cog_b) -> tuple[str, str]:
     """(east, north) velocity of b relative to a."""
-    east = _c(sog_b) * F.sin(F.radians(_c(cog_b))) - _c(sog_a) * F.sin(F.radians(_c(cog_a)))
-    north = _c(sog_b) * F.cos(F.radians(_c(cog_b))) - _c(sog_a) * F.cos(F.radians(_c(cog_a)))
+    a, b, ca, cb = ref(sog_a), ref(sog_b), ref(cog_a), ref(cog_b)
+    east = f"({b} * sin(radians({cb})) - {a} * sin(radians({ca})))"
+    north = f"({b} * cos(radians({cb})) - {a} * cos(radians({ca})))"
     return east, north
 
 
-def relative_position(lat_a, lon_a, lat_b, lon_b, p: Params = DEFAULT) -> tuple[Column, Column]:
+def relative_velocity(sog_a, cog_a, sog_b, cog_b) -> tuple[Column, Column]:
+    e, n = relative_velocity_sql(sog_a, cog_a, sog_b, cog_b)
+    return col(e), col(n)
+
+
+def relative_position_sql(lat_a, lon_a, lat_b, lon_b, p: Params = DEFAULT) -> tuple[str, str]:
     """(east, north) offset of b from a.
 
     ``lon_scale="flat"`` uses one degree = 60 nm on both axes, as the original
     does; ``"cos_mid"`` scales the east offset by cos(mean latitude).
     """
-    east = (_c(lon_b) - _c(lon_a)) * F.lit(p.nm_per_deg)
+    east = f"({ref(lon_b)} - {ref(lon_a)}) * {num(p.nm_per_deg)}"
     if p.lon_scale == "cos_mid":
-        east = east * F.cos(F.radians((_c(lat_a) + _c(lat_b)) / 2))
-    north = (_c(lat_b) - _c(lat_a)) * F.lit(p.nm_per_deg)
-    return east, north
+        east = f"{east} * cos(radians(({ref(lat_a)} + {ref(lat_b)}) / {num(2)}))"
+    north = f"({ref(lat_b)} - {ref(lat_a)}) * {num(p.nm_per_deg)}"
+    return f"({east})", f"({north})"
 
 
-def _moving(vel_e, vel_n, p: Params) -> Column:
-    return vel_e * vel_e + vel_n * vel_n > F.lit(p.rel_speed_sq_floor)
+def relative_position(lat_a, lon_a, lat_b, lon_b, p: Params = DEFAULT) -> tuple[Column, Column]:
+    e, n = relative_position_sql(lat_a, lon_a, lat_b, lon_b, p)
+    return col(e), col(n)
+
+
+def _moving_sql(vel_e, vel_n, p: Params) -> str:
+    ve, vn = ref(vel_e), ref(vel_n)
+    return f"{ve} * {ve} + {vn} * {vn} > {num(p.rel_speed_sq_floor)}"
 
 
 def tcpa_hours(pos_e, pos_n, vel_e, vel_n, p: Params = DEFAULT) -> Column:
     """Time of closest approach in hours; 0 when the squared relative speed
     is not above the floor (or unknown, e.g. a NULL course)."""
-    v2 = vel_e * vel_e + vel_n * vel_n
-    return F.when(_moving(vel_e, vel_n, p), -(pos_e * vel_e + pos_n * vel_n) / v2).otherwise(F.lit(0.0))
+    pe, pn, ve, vn = ref(pos_e), ref(pos_n), ref(vel_e), ref(vel_n)
+    return col(
+        f"CASE WHEN {_moving_sql(vel_e, vel_n, p)} THEN -({pe} * {ve} + {pn} * {vn}) / ({ve} * {ve} + {vn} * {vn})"
+        f" ELSE {num(0)} END"
+    )
 
 
 def dcpa_nm(pos_e, pos_n, vel_e, vel_n, tcpa, distance, p: Params = DEFAULT) -> Column:
     """Distance at closest approach; the current distance when not moving
     relative to each other (same test as ``tcpa_hours``)."""
-    return F.when(
-        _moving(vel_e, vel_n, p),
-        F.sqrt(F.pow(pos_e + vel_e * tcpa, 2) + F.pow(pos_n + vel_n * tcpa, 2)),
-    ).otherwise(_c(distance))
+    pe, pn, ve, vn, t = ref(pos_e), ref(pos_n), ref(vel_e), ref(vel_n), ref(tcpa)
+    return col(
+        f"CASE WHEN {_moving_sql(vel_e, vel_n, p)} THEN sqrt(pow({pe} + {ve} * {t}, 2) + pow({pn} + {vn} * {t}, 2))"
+        f" ELSE {ref(distance)} END"
+    )
 
 
 def fine_pair_dcpa(lat1, lon1, lat2, lon2, sog1, cog1, sog2, cog2, p: Params = DEFAULT) -> Column:
@@ -59,21 +75,24 @@ def fine_pair_dcpa(lat1, lon1, lat2, lon2, sog1, cog1, sog2, cog2, p: Params = D
     velocity is 1-2, so a closing pair gets a negative time and its current
     distance. ``"corrected"`` uses velocity 2-1. NULL course gives NULL.
     """
-    dy = (_c(lat2) - _c(lat1)) * F.lit(p.nm_per_deg)
-    dx = (_c(lon2) - _c(lon1)) * F.lit(p.nm_per_deg) * F.cos(F.radians((_c(lat1) + _c(lat2)) / 2))
-    vx1 = _c(sog1) * F.sin(F.radians(_c(cog1)))
-    vy1 = _c(sog1) * F.cos(F.radians(_c(cog1)))
-    vx2 = _c(sog2) * F.sin(F.radians(_c(cog2)))
-    vy2 = _c(sog2) * F.cos(F.radians(_c(cog2)))
+    dy = f"(({ref(lat2)} - {ref(lat1)}) * {num(p.nm_per_deg)})"
+    dx = (
+        f"(({ref(lon2)} - {ref(lon1)}) * {num(p.nm_per_deg)}"
+        f" * cos(radians(({ref(lat1)} + {ref(lat2)}) / {num(2)})))"
+    )
+    vx1 = f"{ref(sog1)} * sin(radians({ref(cog1)}))"
+    vy1 = f"{ref(sog1)} * cos(radians({ref(cog1)}))"
+    vx2 = f"{ref(sog2)} * sin(radians({ref(cog2)}))"
+    vy2 = f"{ref(sog2)} * cos(radians({ref(cog2)}))"
     if p.fallback_sign == "corrected":
-        dvx, dvy = vx2 - vx1, vy2 - vy1
+        dvx, dvy = f"({vx2} - {vx1})", f"({vy2} - {vy1})"
     else:
-        dvx, dvy = vx1 - vx2, vy1 - vy2
-    s = F.pow(dvx, 2) + F.pow(dvy, 2)
-    now = F.sqrt(F.pow(dx, 2) + F.pow(dy, 2))
-    t = -(dx * dvx + dy * dvy) / s
-    return (
-        F.when(s < F.lit(p.fallback_speed_sq_floor), now)
-        .when(t < F.lit(0.0), now)
-        .otherwise(F.sqrt(F.pow(dx + dvx * t, 2) + F.pow(dy + dvy * t, 2)))
+        dvx, dvy = f"({vx1} - {vx2})", f"({vy1} - {vy2})"
+    s = f"(pow({dvx}, 2) + pow({dvy}, 2))"
+    now = f"sqrt(pow({dx}, 2) + pow({dy}, 2))"
+    t = f"(-({dx} * {dvx} + {dy} * {dvy}) / {s})"
+    return col(
+        f"CASE WHEN {s} < {num(p.fallback_speed_sq_floor)} THEN {now}"
+        f" WHEN {t} < {num(0)} THEN {now}"
+        f" ELSE sqrt(pow({dx} + {dvx} * {t}, 2) + pow({dy} + {dvy} * {t}, 2)) END"
     )

@@ -7,13 +7,12 @@ applies them in the original order. Each filter is also usable alone.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
-from vesselflow.functions.geo import acos_distance_nm
+from vesselflow.functions.geo import acos_distance_sql
+from vesselflow.functions.sqltext import col, num, ref, strings
 from vesselflow.operators.index import minute_bucket
 from vesselflow.operators.sequence import with_previous
 from vesselflow.params import DEFAULT, Params
@@ -45,12 +44,13 @@ def parse_timestamp(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- C2 / C3 ------------------------------------------------------------------
+# Predicates are written as SQL text (one JVM call each, see functions.sqltext).
 def mobile_type_ok(p: Params = DEFAULT) -> Column:
-    return F.col("TypeOfMobile").isin(list(p.mobile_types))
+    return col(f"`TypeOfMobile` IN ({strings(p.mobile_types)})")
 
 
 def class_a_ok(p: Params = DEFAULT) -> Column:
-    return F.col("TypeOfMobile") == p.vessel_class
+    return col(f"`TypeOfMobile` = {strings([p.vessel_class])}")
 
 
 def filter_mobile_type(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -64,34 +64,36 @@ def filter_class_a(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- C4 -----------------------------------------------------------------------
-def mmsi_in_range(mmsi: Column, p: Params = DEFAULT) -> Column:
-    """Nine-digit range and not in an excluded block (no pattern rules)."""
-    ok = mmsi.isNotNull() & mmsi.between(p.mmsi_min, p.mmsi_max)
+def _mmsi_in_range_sql(mmsi: str, p: Params) -> str:
+    m = ref(mmsi)
+    sql = f"{m} IS NOT NULL AND {m} BETWEEN {p.mmsi_min} AND {p.mmsi_max}"
     for lo, hi in p.excluded_mmsi_ranges:
-        ok = ok & ~mmsi.between(lo, hi)
-    return ok
+        sql += f" AND NOT ({m} BETWEEN {lo} AND {hi})"
+    return f"({sql})"
+
+
+def mmsi_in_range(mmsi: str = "MMSI", p: Params = DEFAULT) -> Column:
+    """Nine-digit range and not in an excluded block (no pattern rules)."""
+    return col(_mmsi_in_range_sql(mmsi, p))
 
 
-def mmsi_valid(mmsi: Column, p: Params = DEFAULT) -> Column:
+def mmsi_valid(mmsi: str = "MMSI", p: Params = DEFAULT) -> Column:
     """C4 predicate: range rules + no repeated-digit pattern + not the test id."""
-    return (
-        mmsi_in_range(mmsi, p)
-        & ((mmsi % F.lit(p.repeated_digit_mmsi)) != 0)
-        & (mmsi != F.lit(p.test_mmsi))
+    m = ref(mmsi)
+    return col(
+        f"{_mmsi_in_range_sql(mmsi, p)} AND {m} % {p.repeated_digit_mmsi} <> 0 AND {m} <> {p.test_mmsi}"
     )
 
 
 def filter_valid_mmsi(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    return df.filter(mmsi_valid(F.col("MMSI"), p))
+    return df.filter(mmsi_valid("MMSI", p))
 
 
 # --- C5 -----------------------------------------------------------------------
 def coordinates_ok(p: Params = DEFAULT) -> Column:
-    return (
-        F.col("Latitude").between(-90.0, 90.0)
-        & F.col("Longitude").between(-180.0, 180.0)
-        & F.col("Latitude").isNotNull()
-        & F.col("Longitude").isNotNull()
+    return col(
+        f"`Latitude` BETWEEN {num(-90)} AND {num(90)} AND `Longitude` BETWEEN {num(-180)} AND {num(180)}"
+        " AND `Latitude` IS NOT NULL AND `Longitude` IS NOT NULL"
     )
 
 
@@ -120,17 +122,17 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
         values=["Latitude", "Longitude", "Timestamp"],
         prefix="prev_",
     )
-    hours = F.timestamp_diff("SECOND", F.col("prev_Timestamp"), F.col("Timestamp")) / F.lit(3600.0)
-    dist = acos_distance_nm("prev_Latitude", "prev_Longitude", "Latitude", "Longitude", p)
+    hours = col(f"timestampdiff(SECOND, `prev_Timestamp`, `Timestamp`) / {num(3600)}")
+    dist = acos_distance_sql("prev_Latitude", "prev_Longitude", "Latitude", "Longitude", p)
     df = df.withColumn("_hours", hours)
-    df = df.withColumn("implied_speed_kn", F.when(F.col("_hours") > 0, dist / F.col("_hours"))).drop(
+    df = df.withColumn("implied_speed_kn", col(f"CASE WHEN `_hours` > 0 THEN {dist} / `_hours` END")).drop(
         "_hours", "prev_Latitude", "prev_Longitude", "prev_Timestamp"
     )
     return df.drop(chunk) if tmp else df
 
 
 def plausible_speed(p: Params = DEFAULT) -> Column:
-    return F.col("implied_speed_kn").isNull() | (F.col("implied_speed_kn") <= p.max_sog)
+    return col(f"(`implied_speed_kn` IS NULL OR `implied_speed_kn` <= {num(p.max_sog)})")
 
 
 def filter_gps_jumps(df: DataFrame, p: Params = DEFAULT, chunk: str | None = None) -> DataFrame:
@@ -140,15 +142,15 @@ def filter_gps_jumps(df: DataFrame, p: Params = DEFAULT, chunk: str | None = Non
 
 # --- C6 -----------------------------------------------------------------------
 def distance_from_center_nm(p: Params = DEFAULT) -> Column:
-    return acos_distance_nm(F.lit(p.center_lat), F.lit(p.center_lon), "Latitude", "Longitude", p)
+    return col(acos_distance_sql(p.center_lat, p.center_lon, "Latitude", "Longitude", p))
 
 
 def region_ok(p: Params = DEFAULT) -> Column:
     lat_lo, lat_hi, lon_lo, lon_hi = p.box
-    return (
-        F.col("Latitude").between(lat_lo, lat_hi)
-        & F.col("Longitude").between(lon_lo, lon_hi)
-        & (distance_from_center_nm(p) <= p.radius_nm)
+    dist = acos_distance_sql(p.center_lat, p.center_lon, "Latitude", "Longitude", p)
+    return col(
+        f"(`Latitude` BETWEEN {num(lat_lo)} AND {num(lat_hi)} AND `Longitude` BETWEEN {num(lon_lo)} AND {num(lon_hi)}"
+        f" AND {dist} <= {num(p.radius_nm)})"
     )
 
 
@@ -159,24 +161,16 @@ def filter_region(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- C7 -----------------------------------------------------------------------
+def _port_box_sql(la, lb, oa, ob) -> str:
+    return f"(`Latitude` BETWEEN {num(la)} AND {num(lb)} AND `Longitude` BETWEEN {num(oa)} AND {num(ob)})"
+
+
 def in_port_zone(p: Params = DEFAULT) -> Column:
-    return reduce(
-        lambda a, b: a | b,
-        [
-            F.col("Latitude").between(la, lb) & F.col("Longitude").between(oa, ob)
-            for _, la, lb, oa, ob in p.port_zones
-        ],
-    )
+    return col("(" + " OR ".join(_port_box_sql(la, lb, oa, ob) for _, la, lb, oa, ob in p.port_zones) + ")")
 
 
 def outside_ports(p: Params = DEFAULT) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [
-            ~(F.col("Latitude").between(la, lb) & F.col("Longitude").between(oa, ob))
-            for _, la, lb, oa, ob in p.port_zones
-        ],
-    )
+    return col("(" + " AND ".join(f"NOT {_port_box_sql(la, lb, oa, ob)}" for _, la, lb, oa, ob in p.port_zones) + ")")
 
 
 def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -186,8 +180,9 @@ def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 # --- C8 -----------------------------------------------------------------------
 def ship_type_ok(p: Params = DEFAULT) -> Column:
-    st = F.col("ShipType")
-    return ~st.isin(list(p.excluded_ship_types)) & st.isNotNull() & (st != "")
+    return col(
+        f"(NOT (`ShipType` IN ({strings(p.excluded_ship_types)})) AND `ShipType` IS NOT NULL AND `ShipType` <> '')"
+    )
 
 
 def filter_ship_types(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -197,7 +192,7 @@ def filter_ship_types(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 # --- C9 -----------------------------------------------------------------------
 def moving_ok(p: Params = DEFAULT) -> Column:
-    return (F.col("SOG") > p.min_sog) & ~F.col("NavigationalStatus").isin(list(p.stationary_statuses))
+    return col(f"(`SOG` > {num(p.min_sog)} AND NOT (`NavigationalStatus` IN ({strings(p.stationary_statuses)})))")
 
 
 def filter_moving(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -209,7 +204,7 @@ def filter_moving(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 def clean_until_coordinates(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """C1 -> C5 (the four row filters after parsing run as one predicate)."""
     return parse_timestamp(df, p).filter(
-        mobile_type_ok(p) & class_a_ok(p) & mmsi_valid(F.col("MMSI"), p) & coordinates_ok(p)
+        mobile_type_ok(p) & class_a_ok(p) & mmsi_valid("MMSI", p) & coordinates_ok(p)
     )
 
 

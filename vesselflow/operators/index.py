@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vesselflow.functions.geo import _c
 from vesselflow.params import DEFAULT, Params
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+def _c(x) -> Column:
+    return x if isinstance(x, Column) else F.col(x)
+
+
 def minute_bucket(ts) -> Column:
     """Truncate a TIMESTAMP_NTZ to the minute without a time-zone round trip."""
     t = _c(ts)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesselflow.functions.geo import acos_distance_nm, haversine_distance_nm
+from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.functions.kinematics import dcpa_nm, fine_pair_dcpa, relative_position, relative_velocity, tcpa_hours
 from vesselflow.operators.index import add_fine_index, add_grid_index
 from vesselflow.params import DEFAULT, Params
@@ -60,34 +61,32 @@ def with_minute_counts(indexed: DataFrame) -> DataFrame:
 
 
 # --- J1 -----------------------------------------------------------------------
-def _subcell_sizes(block_lat_idx: Column, block_deg: float, max_dist_nm: float, p: Params):
-    """(lat bin deg as float, lon bin deg as Column) for a distance bound."""
+def _subcell_columns(block_lat: str, block_deg: float, max_dist_nm: float, p: Params) -> dict[str, Column]:
+    """Sub-cell keys and the direction of the nearer neighbour on each axis.
+
+    Latitude bins are twice the largest latitude gap of a pair within
+    ``max_dist_nm``; longitude bins twice the largest longitude gap at the
+    highest |latitude| of the block row (one bin when that reaches a pole).
+    """
     ang = max_dist_nm / p.earth_radius_nm  # radians
     h = 2.0 * math.degrees(ang) * _MARGIN
-    lo = block_lat_idx.cast("double") * F.lit(block_deg)
-    maxabs = F.least(F.lit(90.0), F.greatest(F.abs(lo), F.abs(lo + F.lit(block_deg))))
-    s = F.lit(math.sin(ang / 2.0)) / F.cos(F.radians(maxabs))
-    half_w = F.when(s >= 1.0, F.lit(180.0)).otherwise(F.degrees(F.lit(2.0) * F.asin(s)))
-    w = F.least(F.lit(360.0), F.lit(2.0 * _MARGIN) * half_w)
-    return h, w
-
-
-def _subcell_columns(block_lat: Column, block_deg: float, max_dist_nm: float, p: Params) -> dict[str, Column]:
-    """Sub-cell keys and the direction of the nearer neighbour on each axis."""
-    h, w = _subcell_sizes(block_lat, block_deg, max_dist_nm, p)
-    y = F.col("Latitude") / F.lit(h)
-    x = F.col("Longitude") / w
-    fy, fx = F.floor(y), F.floor(x)
+    lo = f"(CAST({ref(block_lat)} AS DOUBLE) * {num(block_deg)})"
+    maxabs = f"least({num(90)}, greatest(abs({lo}), abs({lo} + {num(block_deg)})))"
+    s = f"({num(math.sin(ang / 2.0))} / cos(radians({maxabs})))"
+    half_w = f"CASE WHEN {s} >= {num(1)} THEN {num(180)} ELSE degrees({num(2)} * asin({s})) END"
+    w = f"least({num(360)}, {num(2.0 * _MARGIN)} * ({half_w}))"
+    y = f"(`Latitude` / {num(h)})"
+    x = f"(`Longitude` / {w})"
     return {
-        "sub_lat": fy.cast("long"),
-        "sub_lon": fx.cast("long"),
-        "_sub_dy": F.when(y - fy >= 0.5, 1).otherwise(-1),
-        "_sub_dx": F.when(x - fx >= 0.5, 1).otherwise(-1),
+        "sub_lat": col(f"CAST(floor({y}) AS BIGINT)"),
+        "sub_lon": col(f"CAST(floor({x}) AS BIGINT)"),
+        "_sub_dy": col(f"CASE WHEN {y} - floor({y}) >= 0.5 THEN 1 ELSE -1 END"),
+        "_sub_dx": col(f"CASE WHEN {x} - floor({x}) >= 0.5 THEN 1 ELSE -1 END"),
     }
 
 
 def _subcell_keys(df: DataFrame, block_lat: str, block_deg: float, max_dist_nm: float, p: Params) -> DataFrame:
-    return df.withColumns(_subcell_columns(F.col(block_lat), block_deg, max_dist_nm, p))
+    return df.withColumns(_subcell_columns(block_lat, block_deg, max_dist_nm, p))
 
 
 def _side(df: DataFrame, suffix: str, extra: tuple[str, ...], carry: tuple[str, ...] = ()) -> DataFrame:
@@ -130,16 +129,19 @@ def candidate_pairs(indexed: DataFrame, p: Params = DEFAULT, carry: tuple[str, .
     ``<col>_B`` for the side columns and carried ones, plus ``TimeBucket``,
     ``grid_lat``, ``grid_lon``.
     """
-    grid_lat = F.floor(F.col("Latitude") / F.lit(p.grid_deg)).cast("long")
-    keyed = {"grid_lat": grid_lat, "grid_lon": F.floor(F.col("Longitude") / F.lit(p.grid_deg)).cast("long")}
+    keyed = {
+        "grid_lat": F.floor(F.col("Latitude") / F.lit(p.grid_deg)).cast("long"),
+        "grid_lon": F.floor(F.col("Longitude") / F.lit(p.grid_deg)).cast("long"),
+    }
     keys = ("TimeBucket", "grid_lat", "grid_lon")
     sub: tuple[str, ...] = ()
     if p.pair_join == "subgrid":
-        keyed.update(_subcell_columns(grid_lat, p.grid_deg, p.max_distance_nm, p))
         sub = ("sub_lat", "sub_lon")
     elif p.pair_join != "plain":
         raise ValueError(f"unknown pair_join {p.pair_join!r}")
     indexed = indexed.withColumns(keyed)
+    if sub:
+        indexed = _subcell_keys(indexed, "grid_lat", p.grid_deg, p.max_distance_nm, p)
     a = _side(indexed, "A", keys + sub + (("_sub_dy", "_sub_dx") if sub else ()), carry)
     b = _side(indexed, "B", keys + sub, carry)
     if sub:
@@ -177,9 +179,8 @@ def with_cpa(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     ve, vn = relative_velocity("SOG_A", "COG_A", "SOG_B", "COG_B")
     pe, pn = relative_position("Latitude_A", "Longitude_A", "Latitude_B", "Longitude_B", p)
     pairs = pairs.withColumns({"_ve": ve, "_vn": vn, "_pe": pe, "_pn": pn})
-    pe, pn, ve, vn = F.col("_pe"), F.col("_pn"), F.col("_ve"), F.col("_vn")
-    pairs = pairs.withColumn("tcpa_hours", tcpa_hours(pe, pn, ve, vn, p))
-    dcpa = dcpa_nm(pe, pn, ve, vn, F.col("tcpa_hours"), F.col("vessel_distance_nm"), p)
+    pairs = pairs.withColumn("tcpa_hours", tcpa_hours("_pe", "_pn", "_ve", "_vn", p))
+    dcpa = dcpa_nm("_pe", "_pn", "_ve", "_vn", "tcpa_hours", "vessel_distance_nm", p)
     return pairs.withColumn("dcpa", dcpa).drop("_ve", "_vn", "_pe", "_pn")
 
 

@@ -15,9 +15,11 @@ marker table is bounded by the number of chunks (time span), not by rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vesselflow.functions.sqltext import col, ref
+
 _MARK = "_seq_marker"
 _LAST = "_seq_last"
 
@@ -46,15 +48,19 @@ def with_previous(
     # columns taken from that row with max_by. All buffers are fixed-width, so
     # this is a hash aggregate with map-side combine (a struct max would fall
     # back to a sort-based aggregate).
-    aggs = [F.max(lead).alias(lead)] + [F.max_by(c, lead).alias(c) for c in carried if c != lead]
+    aggs = [col(f"max({ref(lead)})").alias(lead)] + [
+        col(f"max_by({ref(c)}, {ref(lead)})").alias(c) for c in carried if c != lead
+    ]
     last = df.groupBy(*keys, chunk).agg(*aggs)
-    w_chunks = Window.partitionBy(*keys).orderBy(chunk)
+    by_key = ", ".join(ref(k) for k in keys)
+    w_chunks = f"OVER (PARTITION BY {by_key} ORDER BY {ref(chunk)})"
     markers = last.select(
-        *keys, chunk, *[F.lag(c).over(w_chunks).alias(c) for c in carried], F.lit(True).alias(_MARK)
+        *keys, chunk, *[col(f"lag({ref(c)}) {w_chunks}").alias(c) for c in carried], F.lit(True).alias(_MARK)
     ).filter(F.col(lead).isNotNull())
     body = df.withColumn(_MARK, F.lit(False))
     both = body.unionByName(markers, allowMissingColumns=True)
     # markers sort first inside their chunk (True > False with desc)
-    w = Window.partitionBy(*keys, chunk).orderBy(F.col(_MARK).desc(), *[F.col(c) for c in order])
-    out = both.withColumns({prefix + c: F.lag(c).over(w) for c in values})
+    ordering = ", ".join([f"{ref(_MARK)} DESC"] + [ref(c) for c in order])
+    w = f"OVER (PARTITION BY {by_key}, {ref(chunk)} ORDER BY {ordering})"
+    out = both.withColumns({prefix + c: col(f"lag({ref(c)}) {w}") for c in values})
     return out.filter(~F.col(_MARK)).drop(_MARK)

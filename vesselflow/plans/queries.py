@@ -25,6 +25,7 @@ from vesselflow.operators import verify as V
 from vesselflow.plans import detect as D
 from vesselflow.params import DEFAULT
 from vesselflow.plans.checkpoint import checkpoint_dir, materialize_if_configured
+from vesselflow.functions.sqltext import ref
 from vesselflow.sources import csv as S
 from vesselflow.sources.fixture import raw_pings
 
@@ -43,9 +44,10 @@ def query(name: str):
 
 
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
-    return df.select(
+    """Round every DOUBLE column (one projection, written as SQL text)."""
+    return df.selectExpr(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
+            f"round({ref(f.name)}, {int(digits)}) AS {ref(f.name)}" if isinstance(f.dataType, DoubleType) else ref(f.name)
             for f in df.schema.fields
         ]
     )
@@ -113,12 +115,11 @@ def q_clean_mmsi(spark, sf_dir):
 @query("mmsi_flags")
 def q_mmsi_flags(spark, sf_dir):
     """C4b next to C4 for every parsed ping."""
-    m = F.col("MMSI")
     return _parsed(spark, sf_dir).select(
         "MMSI",
         "Timestamp",
-        F.coalesce(C.mmsi_in_range(m), F.lit(False)).alias("mmsi_in_range"),
-        F.coalesce(C.mmsi_valid(m), F.lit(False)).alias("mmsi_valid"),
+        F.coalesce(C.mmsi_in_range("MMSI"), F.lit(False)).alias("mmsi_in_range"),
+        F.coalesce(C.mmsi_valid("MMSI"), F.lit(False)).alias("mmsi_valid"),
     )
 
 
