@@ -339,3 +339,34 @@ def test_subgrid_join_exact_on_dense_clusters(spark, lat0, lon0):
     assert n > 50
     assert sub.count() == n
     assert sub.exceptAll(plain).count() == 0 and plain.exceptAll(sub).count() == 0
+
+
+def test_report_text_layout(spark):
+    from vesselflow.operators import report as R
+
+    ev = spark.createDataFrame(
+        [(219021240, 232018267, "KARIN HOEJ", "MV SCOT CARRIER", T0, 55.223427, 14.24463, 0.0291, 0.0123, 0.0371,
+          12.34, 15.67, "Cargo", "Cargo")],
+        "MMSI_A long, MMSI_B long, Name_A string, Name_B string, first_ts timestamp_ntz, Lat_A double,"
+        " Lon_A double, vessel_distance_nm double, DCPA double, TCPA double, SOG_A double, SOG_B double,"
+        " ShipType_A string, ShipType_B string",
+    )
+    got = R.report_text(ev).first().report
+    rule = "─" * 70
+    want = f"""
+{rule}
+COLLISION EVENT DETAILS
+{rule}
+Vessel A:        KARIN HOEJ (MMSI: 219021240)
+Vessel B:        MV SCOT CARRIER (MMSI: 232018267)
+Timestamp:       {T0} UTC
+Location:        {55.223427:.6f}°N, {14.24463:.6f}°E
+Distance:        {0.0291 * 1852:.1f} meters
+DCPA:            {0.0123 * 1852:.1f} meters
+TCPA:            {0.0371 * 60:.1f} minutes
+SOG A / B:       {12.34:.1f} / {15.67:.1f} knots
+Ship Type A/B:   Cargo / Cargo
+
+{rule}
+"""
+    assert got == want
