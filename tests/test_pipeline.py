@@ -34,3 +34,23 @@ def test_end_to_end_job_on_csv(spark, tmp_path):
     assert spark.read.parquet(str(out / "endpoints")).count() == 2
     assert spark.read.parquet(str(out / "segments")).count() == tracks.count() - 2
     assert spark.read.option("header", True).csv(str(out / "report")).count() >= 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import pytest
+
+    from vesselflow.__main__ import main, parse_args
+
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    cross = pings_df(spark, crossing()).selectExpr(
+        *[f"date_format(Timestamp, 'dd/MM/yyyy HH:mm:ss') AS Timestamp" if c == "Timestamp" else f"`{c}`"
+          for c in AIS_COLUMNS]
+    ).toPandas()
+    cross["MMSI"] = cross["MMSI"].astype("Int64")
+    cross.rename(columns={"Timestamp": "# Timestamp"}).to_csv(src / "aisdk-2021-12-13.csv", index=False)
+    assert main(["--data-dir", str(src), "--out", str(out), "-d", "13"], spark) == 0
+    text = capsys.readouterr().out
+    assert "KARIN HOEJ (MMSI 219021240) x MV SCOT CARRIER (MMSI 232018267)" in text
+    with pytest.raises(SystemExit):
+        parse_args(["--data-dir", "x", "--out", "y", "-d", "40"])
