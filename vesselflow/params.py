@@ -48,6 +48,10 @@ METRES_PER_NM = 1852.0
 
 @dataclass(frozen=True)
 class Params:
+    # Defaults below are fixed values too: the original pipeline's thresholds,
+    # so results match it unless a caller overrides them. Fields after
+    # "options" are this library's own choices.
+
     # region of interest
     center_lat: float = 55.225
     center_lon: float = 14.245
@@ -75,7 +79,7 @@ class Params:
 
     # pairing and closest approach
     grid_deg: float = 0.5
-    fine_cell_deg: float = 0.005
+    fine_cell_deg: float = 0.005  # our choice: square cell standing in for a hexagon index
     dcpa_limit_nm: float = 0.03
     max_distance_nm: float = 0.054
     tcpa_floor_h: float = -1.0
