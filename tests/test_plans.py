@@ -38,3 +38,15 @@ def test_parquet_scan_gets_pushed_filters_and_pruned_schema(spark, tmp_path):
     assert "GreaterThanOrEqual(MMSI,100000000)" in p
     read = p[p.index("ReadSchema"):].split("\n")[0]
     assert "Heading" not in read and "ShipType" not in read
+
+
+def _exchanges(spark, df) -> int:
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return sum(1 for line in text.splitlines() if line.startswith("Arguments: ") and "partitioning(" in line.lower())
+
+
+def test_minute_counts_reuse_the_jump_filter_partitioning(spark):
+    from vesselflow.operators import pairs as P
+
+    clean_b = D.clean_bucketed(_raw(spark, SF_SMALL))
+    assert _exchanges(spark, P.with_minute_counts(clean_b)) == _exchanges(spark, clean_b)
