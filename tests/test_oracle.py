@@ -12,6 +12,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows_of  # noqa: E402
 
 NAMES = sorted(E.queries())
+SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -26,11 +28,15 @@ def test_every_query_has_oracle_or_is_text():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sp = E.queries()[name](spark, SF_SMALL).toPandas()
+    df = E.queries()[name](spark, SF_SMALL)
+    sp = df.toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(sp) > 0
         return
+    rel = con.sql(sql)
+    spark_types = {f.name: SQL_TYPE.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     dk = con.execute(sql).df()
     c1, r1 = rows_of(sp)
     c2, r2 = rows_of(dk)
