@@ -15,12 +15,20 @@ def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return C.clean_pings(raw, p, keep_bucket=True)
 
 
+# Columns the detection, verification and trajectory steps read from the
+# cleaned pings; the shared stage keeps only these (a materialised table
+# cannot prune columns when it is read back).
+SHARED_COLUMNS = (*P.SIDE_COLUMNS, "TimeBucket", "n_pings")
+
+
 def shared_clean(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Cleaned pings + ``TimeBucket`` + per-vessel-minute ``n_pings``,
-    materialised once (``materialize_if_configured``) for plans that read
-    them several times. The count window runs on the partitioning the jump
-    filter left behind, before the checkpoint."""
-    return materialize_if_configured(P.with_minute_counts(clean_bucketed(raw, p)))
+    projected to ``SHARED_COLUMNS`` and materialised once
+    (``materialize_if_configured``) for plans that read them several times.
+    The count window runs on the partitioning the jump filter left behind,
+    before the checkpoint."""
+    counted = P.with_minute_counts(clean_bucketed(raw, p))
+    return materialize_if_configured(counted.select(*[c for c in SHARED_COLUMNS if c in counted.columns]))
 
 
 def pings_of(clean_b: DataFrame) -> DataFrame:

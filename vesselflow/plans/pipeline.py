@@ -45,7 +45,7 @@ def run_on(raw: DataFrame, out_dir: str, p: Params = DEFAULT, fmt: str = "parque
     """Run the whole job on a raw ping table; returns rows per stage."""
     out = out_dir.rstrip("/")
     raw, o_raw = _observed(validate_schema(raw), "raw")
-    clean = materialize_if_configured(P.with_minute_counts(D.clean_bucketed(raw, p)))
+    clean = D.shared_clean(raw, p)
     valid = materialize_if_configured(P.validate_proximity(D.close_events(clean, p), p))
     events = P.best_event_per_pair(valid)
     pings = D.pings_of(clean)
