@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     s = b.getOrCreate()
