@@ -370,3 +370,16 @@ Ship Type A/B:   Cargo / Cargo
 {rule}
 """
     assert got == want
+
+
+def test_port_zones_join_form_equals_predicate_form(spark):
+    from vesselflow.params import PORT_ZONES
+
+    rng = np.random.default_rng(5)
+    rows = [ping(219000000 + i, i, float(55.45 + rng.random() * 0.3), float(12.85 + rng.random() * 0.3)) for i in range(300)]
+    rows += [ping(219000999, 0, 55.5, 12.9), ping(219000998, 0, None, 12.9)]
+    df = pings_df(spark, rows)
+    by_predicate = df.transform(C.filter_port_zones)
+    by_join = C.drop_in_zones(df, PORT_ZONES)
+    assert by_predicate.count() == by_join.count() < len(rows)
+    assert by_predicate.exceptAll(by_join).count() == 0

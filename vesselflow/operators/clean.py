@@ -173,9 +173,36 @@ def outside_ports(p: Params = DEFAULT) -> Column:
     return col("(" + " AND ".join(f"NOT {_port_box_sql(la, lb, oa, ob)}" for _, la, lb, oa, ob in p.port_zones) + ")")
 
 
+ZONE_PREDICATE_LIMIT = 64
+
+
 def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Drop pings inside any port box (bounds inclusive)."""
-    return df.filter(outside_ports(p))
+    """Drop pings inside any port box (bounds inclusive).
+
+    A short zone list is one OR-free predicate per box (compiled inline). A
+    long list (more than ``ZONE_PREDICATE_LIMIT`` boxes) would make a huge
+    generated predicate, so it becomes a left-anti join against the zone
+    table with the inclusive range test; the table is the parameter list
+    itself, so broadcasting it has a known size.
+    """
+    if len(p.port_zones) <= ZONE_PREDICATE_LIMIT:
+        return df.filter(outside_ports(p))
+    return drop_in_zones(df, p.port_zones)
+
+
+def drop_in_zones(df: DataFrame, zones) -> DataFrame:
+    """Left-anti join of pings against (name, lat_min, lat_max, lon_min, lon_max) boxes."""
+    z = df.sparkSession.createDataFrame(
+        [(n, float(a), float(b), float(c), float(d)) for n, a, b, c, d in zones],
+        "zone string, lat_min double, lat_max double, lon_min double, lon_max double",
+    )
+    inside = (
+        F.col("Latitude").between(z["lat_min"], z["lat_max"])
+        & F.col("Longitude").between(z["lon_min"], z["lon_max"])
+    )
+    # an unknown test (NULL coordinate) removes the row, as NOT(NULL) does in
+    # the predicate form
+    return df.join(F.broadcast(z), F.coalesce(inside, F.lit(True)), "left_anti")
 
 
 # --- C8 -----------------------------------------------------------------------
