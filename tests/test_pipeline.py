@@ -52,5 +52,7 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["--data-dir", str(src), "--out", str(out), "-d", "13"], spark) == 0
     text = capsys.readouterr().out
     assert "KARIN HOEJ (MMSI 219021240) x MV SCOT CARRIER (MMSI 232018267)" in text
+    assert main(["--data-dir", str(src), "--out", str(tmp_path / "out_csv"), "-d", "13", "--format", "csv"], spark) == 0
+    assert "KARIN HOEJ (MMSI 219021240)" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         parse_args(["--data-dir", "x", "--out", "y", "-d", "40"])

@@ -41,7 +41,10 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName("vesselflow").getOrCreate()
     counts = run(spark, a.data_dir, a.out, a.day, DEFAULT, a.format)
     print("rows per stage: " + ", ".join(f"{k}={v}" for k, v in counts.items()))
-    events = spark.read.format(a.format).option("header", True).load(f"{a.out.rstrip('/')}/events")
+    reader = spark.read.format(a.format)
+    if a.format == "csv":  # the events table is small; read its numbers back as numbers
+        reader = reader.option("header", True).option("inferSchema", True)
+    events = reader.load(f"{a.out.rstrip('/')}/events")
     top = result_table(events).orderBy("vessel_distance_nm", "MMSI_A", "MMSI_B").limit(DEFAULT.top_k)
     for i, r in enumerate(top.collect(), 1):
         print(
