@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
+    """The session's checkpoint directory (the context's, else ``spark.checkpoint.dir``)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

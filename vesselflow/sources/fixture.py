@@ -66,9 +66,12 @@ def raw_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, as_text: bo
     # A small table can arrive as one file with one row group, i.e. one scan
     # task. Spread it over the cores then; a large input already has more
     # splits than cores and is left alone (no extra shuffle at scale).
-    cores = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < cores:
-        ev = ev.repartition(cores)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if ev.rdd.getNumPartitions() < cores:
+            ev = ev.repartition(cores)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session): keep the scan as is
+        pass
     given = _spark_exprs(p, as_text)
     out = []
     for n, t in AIS_FIELDS:
