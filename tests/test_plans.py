@@ -50,3 +50,18 @@ def test_minute_counts_reuse_the_jump_filter_partitioning(spark):
 
     clean_b = D.clean_bucketed(_raw(spark, SF_SMALL))
     assert _exchanges(spark, P.with_minute_counts(clean_b)) == _exchanges(spark, clean_b)
+
+
+def test_interval_joins_key_on_vessel_and_time_slot(spark):
+    from vesselflow.operators import trajectory as T
+    from vesselflow.operators import verify as V
+
+    clean_b = D.clean_bucketed(_raw(spark, SF_SMALL))
+    ev = D.detect(clean_b)
+    pings = D.pings_of(clean_b)
+    for df in (T.event_trajectories(ev, pings), V.course_steadiness(ev.select("MMSI_A", "MMSI_B", "first_ts"), pings)):
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        keys = [l for l in text.splitlines() if l.startswith(("Left keys", "Right keys"))]
+        assert any("MMSI" in k and "_slot" in k for k in keys)
+        # no join on the vessel id alone (a vessel's whole history in one task)
+        assert not any(k.split(": ", 1)[1].startswith("[MMSI") and "," not in k.split(": ", 1)[1] for k in keys)
