@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, line_runs
+from vesselflow.llm import exact_dedup, line_runs, quality_ledger
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -61,3 +61,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rows = line_runs.dedup_lines(docs, line_runs.input_batches(docs))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_quality_ledger")
+def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = quality_ledger.ledger(documents(spark, sf_dir))
+    base = ~quality_ledger.passes(quality_ledger.BASE, F.col("failed"))
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
+        (~base & quality_ledger.passes(quality_ledger.POLICY, F.col("failed"))).alias("kept"), "failed",
+    )
