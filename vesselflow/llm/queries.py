@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, line_runs, quality_ledger
+from vesselflow.llm import exact_dedup, line_runs, packing, quality_ledger, token_counts, token_files, viterbi
+from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -71,3 +73,33 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
         (~base & quality_ledger.passes(quality_ledger.POLICY, F.col("failed"))).alias("kept"), "failed",
     )
+
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stage_path(spark, "token-files")
+    token_files.write_tokens(documents(spark, sf_dir), WORD_BPE, out, end_id=2)
+    return token_files.digest(spark, out)
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), WORD_BPE, end_id=1)
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op1_piece_encoding")
+def op1_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = viterbi.round_trip(documents(spark, sf_dir), PIECES)
+    return rows.select("doc_id", "n_pieces", "pieces_crc32", F.col("same").alias("round_trip"))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.with_counts(documents(spark, sf_dir).select("doc_id", "text"), PIECES)
+    return rows.select("doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
