@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, line_runs, packing, quality_ledger, token_counts, token_files, viterbi
+from vesselflow.llm import exact_dedup, line_runs, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
 from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,22 @@ def op1_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_counts.with_counts(documents(spark, sf_dir).select("doc_id", "text"), PIECES)
     return rows.select("doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Trained without the held-out rows."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.train(docs, labels.where(~held_out()))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    score = toxicity.scored(docs, toxicity_model(spark, docs, sf_dir))
+    return docs.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    )
