@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, line_runs, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
+from vesselflow.llm import exact_dedup, line_runs, order_minhash, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
 from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int")
     )
+
+
+@query("op5_order_minhash")
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(documents(spark, sf_dir))
