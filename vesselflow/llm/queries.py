@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, line_runs, order_minhash, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
+from vesselflow.llm import exact_dedup, licenses, line_runs, order_minhash, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
 from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_order_minhash")
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rows = licenses.scan(docs, licenses.train(docs))
+    return rows.select("doc_id", F.array_join("families", ",").alias("families"), "n_known", "n_unknown")
