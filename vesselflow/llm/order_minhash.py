@@ -116,23 +116,35 @@ def edits(a: list[int], b: list[int], limit: int) -> int | None:
     goal = n - m
     if abs(goal) > limit:
         return None
-
-    def slide(i: int, k: int) -> int:
-        while i < m and i + k < n and a[i] == b[i + k]:
-            i += 1
-        return i
-
-    reach = {0: slide(0, 0)}
+    a, b = [*a, -1], [*b, -2]  # ends that equal nothing
+    far = -m - n - 2
+    at = limit + 2  # the place of diagonal 0; two more on each side are never reached
+    reach = [far] * (2 * at + 1)
+    i = 0
+    while a[i] == b[i]:
+        i += 1
+    reach[at] = i
     for e in range(limit + 1):
-        if reach.get(goal, -1) >= m:
+        if reach[at + goal] >= m:
             return e
-        new = {}
         room = limit - e - 1
-        for k in range(max(-e - 1, goal - room, -m), min(e + 1, goal + room, n) + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
-            if i >= 0:
-                i = min(i, m, n - k)
-                new[k] = slide(i, k)
+        lo, hi = max(-e - 1, goal - room, -m), min(e + 1, goal + room, n)
+        new = [far] * (2 * at + 1)
+        for k in range(lo, hi + 1):
+            i, under, over = reach[at + k] + 1, reach[at + k - 1], reach[at + k + 1] + 1
+            if under > i:
+                i = under
+            if over > i:
+                i = over
+            if i < 0 or i + k < 0:
+                continue
+            if i > m:
+                i = m
+            if i + k > n:
+                i = n - k
+            while a[i] == b[i + k]:
+                i += 1
+            new[at + k] = i
         reach = new
     return None
 

@@ -6,7 +6,7 @@ ledger. ``ablations`` tells for each rule of a policy how many documents fail it
 without it, from one aggregation over distinct masks.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null text has no words. Each row is judged by itself: repeated rows get equal
-results, empty tables give empty ones. Texts are worked on whole; memory is a multiple of a chunk (1 MB) or of the
+results, empty tables give empty ones. Texts are worked on whole; memory is a multiple of a chunk (512 KB) or of the
 longest text.
 """
 

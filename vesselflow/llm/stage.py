@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -54,8 +55,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of one Arrow batch: whole texts are large rows, and a worker holds a batch and its results.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed or on PYTHONPATH."""
+    """Make ready for Python workers: bound Arrow batches, unless the session has smaller ones, and let workers import
+    this package where it is not installed or on PYTHONPATH."""
+    for name, most in ARROW_BATCH.items():
+        now = re.match(r"\d+", spark.conf.get(name, None) or "")
+        if not now or not 0 < int(now[0]) <= most:
+            spark.conf.set(name, str(most))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or "site-packages" in root:
         return

@@ -22,7 +22,7 @@ from vesselflow.llm.stage import ship, whole_text
 from vesselflow.llm.textbatch import chunks, utf8
 
 #: Labelled rows that the classifier is fitted on, about (the bound of its sample).
-TRAIN_DOCS = 12_000
+TRAIN_DOCS = 8000
 SIZES = (3, 4, 5, 6)
 BITS = 18
 THRESHOLD = 0.7
@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> tuple[
     sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(drawn), "doc_id")
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        rows = rows.sort_by("doc_id")
         weights, bias = fit(rows["text"].combine_chunks(), rows["toxic"].to_numpy())
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
