@@ -5,8 +5,7 @@ text and never tokenises twice, and files follow each other in ascending order o
 coded, the ascending metadata columns delta coded (the dictionary is off for them); row groups and pages have set
 sizes, and the page indexes let a reader take single documents, or the metadata columns alone.
 
-Null text counts as empty: such a document is its end id alone. Rows that share an id stay side by side, in order
-of token count and checksum. A null id comes first. Empty tables give an empty data set. Other columns are not read.
+Null text counts as empty: such a document is its end id alone. Rows that share an id stay side by side. A null id comes first. Empty tables give an empty data set. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -53,7 +52,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = 2, files: i
     ship(docs.sparkSession)
     rows = docs.select("doc_id", whole_text().alias("text"))
     n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.length("text"), "text")
+    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     ids = ordered.select("doc_id", F.arrow_udf(_ids(path, end_id), "array<int>")("text").alias("ids"))
     ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids").write.options(**LAYOUT).parquet(out)
 

@@ -8,13 +8,15 @@ ids are one ``join``. A piece that isn't cached goes to the library. Tokenizers
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Pieces in one generation of a worker's cache; two generations are held, about 200 bytes a piece.
-GENERATION = 250_000
+GENERATION = 400_000
 #: Longer pieces are not cached.
 MAX_CACHED_BYTES = 256
 
@@ -53,30 +55,36 @@ class WordIds(dict):
         with open(path, encoding="utf-8") as f:
             self.by_piece = _drops_blanks(json.load(f))
         self.old: dict[bytes, bytes] = {}
-        # the byte alphabet, as the library writes it, of the two bytes of U+00C0..U+017F
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # Letters that NFC leaves alone and that lower to one letter of the same range, with the byte alphabet of the
+        # library; a run of them, and a run of ASCII marks after it (no apostrophe), are pre-tokens of their own.
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        latin = [chr(c) for c in range(0xC0, 0x180) if c != 0x130]
+        latin = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(c.lower()) == 1]
         self.latin = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in latin}
+        self.plain = re.compile(f"([A-Za-z{''.join(latin)}]+)([!-&(-/:-@\\[-`{{-~]*)")
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _letters(self, text: str) -> bytes:
-        """A run of lower-case Latin letters is one pre-token: the model alone gives its ids."""
-        return np.array([t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.latin))], self.dtype).tobytes()
+    def _letters(self, low: str) -> bytes:
+        """The ids of a run of lower-case letters, one pre-token: the model alone gives them."""
+        key = low.encode()
+        ids = self.get(key) or self.old.get(key)
+        if ids is None:
+            ids = array(self.code, [t.id for t in self.model.tokenize(low if low.isascii() else low.translate(self.latin))]).tobytes()
+        return ids
 
-    def _piece(self, piece: bytes) -> bytes:
-        text = piece.decode()
-        body, tail = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
-        low = body.lower()
-        if body.isalpha() and max(low) < "ƀ" and "İ" not in body and all(c < "\u0080" or ord(c) in self.latin for c in low):
-            return self._letters(low) + (self[tail.encode()] if tail and body else b"")
-        return self._whole(text)
+    def _piece(self, text: str) -> bytes:
+        plain = self.plain.fullmatch(text)
+        if not plain:
+            return self._whole(text)
+        letters, marks = plain.groups()
+        return self._letters(letters.lower()) + (self[marks.encode()] if marks else b"")
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self._piece(piece)
+            ids = self._piece(piece.decode())
         if len(piece) <= MAX_CACHED_BYTES:
             if len(self) >= GENERATION:
                 self.old = dict(self)
@@ -95,6 +103,6 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def texts_of(array: pa.Array) -> list[bytes]:
+def texts_of(texts: pa.Array) -> list[bytes]:
     """The UTF-8 of each text; null as empty."""
-    return [x or b"" for x in array.cast(pa.binary() if pa.types.is_string(array.type) else pa.large_binary()).to_pylist()]
+    return [x or b"" for x in texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary()).to_pylist()]
