@@ -14,6 +14,7 @@ the rows are equal too. Empty tables give empty results. Other columns are not r
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ MAX_LEN = 2048
 #: (2 bytes a token below 65,536 ids) are what a task holds.
 GROUP_DOCS = 512
 _GROUP_BITS = 24
-_CUT = "array<struct<start: bigint, length: bigint, crc: bigint, ids: binary>>"
+_CUT = "doc_id bigint, doc_tokens bigint, own bigint, start bigint, length bigint, crc bigint, ids binary"
+_CUT_NAMES = [x.split()[0] for x in _CUT.split(", ")]
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -113,20 +115,19 @@ def pack(lengths: list[int], size: int = MAX_LEN) -> list[list[tuple[int, int, i
 
 
 def _cuts(path: str, end_id: int, size: int):
-    def cut(array: pa.Array) -> pa.Array:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path)
         end, wide = np.array([end_id], words.dtype).tobytes(), np.dtype("<u4")
-        out = []
-        for text in texts_of(array):
-            ids = np.frombuffer(words.encode(text) + end, words.dtype)
-            full = len(ids) // size * size
-            rows = [{"start": k, "length": size, "crc": zlib.crc32(ids[k : k + size].astype(wide)), "ids": None} for k in range(0, full, size)]
-            if full < len(ids):
-                rest = ids[full:].astype(wide)
-                rows.append({"start": full, "length": len(rest), "crc": zlib.crc32(rest), "ids": ids[full:].tobytes()})
-            out.append(rows)
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())]))
-        return pa.array(out, kind)
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                ids = np.frombuffer(words.encode(text) + end, words.dtype)
+                n, full, own = len(ids), len(ids) // size * size, zlib.crc32(ids)
+                rows += [(doc, n, own, k, size, zlib.crc32(ids[k : k + size].astype(wide)), None) for k in range(0, full, size)]
+                if full < n:
+                    rows.append((doc, n, own, full, n - full, zlib.crc32(ids[full:].astype(wide)), ids[full:].tobytes()))
+            kinds = [pa.int64()] * 6 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=_CUT_NAMES)
 
     return cut
 
@@ -150,8 +151,7 @@ def _pack_group(bytes_per_id: int, size: int):
                 offset += length
         done = (r for r in rows if r[5] is None)
         out += [(d, s, n, c, t, first + len(sequences) + k, 0) for k, (d, s, n, c, t, _) in enumerate(done)]
-        columns = [x.split()[0] for x in _PIECE.split(", ")]
-        return pa.table([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=columns)
+        return pa.table([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=[x.split()[0] for x in _PIECE.split(", ")])
 
     return run
 
@@ -161,9 +161,6 @@ def packed(docs: DataFrame, path: str, end_id: int = 1, size: int = MAX_LEN, gro
     ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence."""
     ship(docs.sparkSession)
     groups = min(-(-docs.count() // group_docs) or 1, 1 << _GROUP_BITS)
-    cuts = docs.select("doc_id", F.arrow_udf(_cuts(path, end_id, size), _CUT)(whole_text()).alias("cuts"))
-    last = F.element_at("cuts", -1)
-    tokens = last["start"] + last["length"]
-    group = F.pmod(F.xxhash64("doc_id", last["crc"]), F.lit(groups))
-    pieces = cuts.select("doc_id", tokens.alias("doc_tokens"), group.alias("group"), F.explode("cuts").alias("c")).select("doc_id", "doc_tokens", "group", "c.*")
+    cuts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(_cuts(path, end_id, size), _CUT)
+    pieces = cuts.withColumn("group", F.pmod(F.xxhash64("doc_id", "own"), F.lit(groups))).drop("own")
     return pieces.groupBy("group").applyInArrow(_pack_group(word_ids(path).dtype.itemsize, size), _PIECE)
