@@ -31,5 +31,10 @@ def strings(values) -> str:
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
+def one_of(name: str, values) -> str:
+    """``name IN (values)``; an empty list holds nothing, not even NULL."""
+    return f"({ref(name)} IN ({strings(values)}))" if values else "FALSE"
+
+
 def col(sql: str) -> Column:
     return F.expr(sql)

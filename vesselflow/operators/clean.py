@@ -7,26 +7,37 @@ applies them in the original order. Each filter is also usable alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from vesselflow.functions.geo import acos_distance_sql
-from vesselflow.functions.sqltext import col, num, ref, strings
-from vesselflow.operators.index import minute_bucket
+from vesselflow.functions.sqltext import col, one_of, num, ref, strings
+from vesselflow.operators.index import HOUR, hour_bucket, minute_bucket
 from vesselflow.operators.sequence import with_previous
 from vesselflow.params import DEFAULT, Params
-from vesselflow.sources.schema import AIS_COLUMNS
 
-def parse_timestamp_text(col: Column, fmt: str = "dd/MM/yyyy HH:mm:ss") -> Column:
+#: Fixed-width parts of a timestamp format, in ISO order.
+_PARTS = ("yyyy", "MM", "dd", "HH", "mm", "ss")
+
+
+def parse_timestamp_text(text: Column, fmt: str = "dd/MM/yyyy HH:mm:ss") -> Column:
     """Timestamp text -> TIMESTAMP_NTZ, NULL when it does not parse.
 
-    ``try_to_timestamp`` returns NULL instead of failing under ANSI mode. It
-    reads the wall clock in the session zone and the cast back to NTZ
-    returns the same wall clock (exact in UTC; in a zone with daylight
-    saving, a time inside the spring-forward gap moves by the gap).
+    The fixed-width parts of ``fmt`` (each of yyyy, MM, dd, HH, mm, ss once) are
+    put in ISO order and cast without a time zone, so the result is the same wall
+    clock in any session zone.
     """
-    return F.try_to_timestamp(F.trim(col), F.lit(fmt)).cast("timestamp_ntz")
+    if any(fmt.count(part) != 1 for part in _PARTS) or re.search("[A-Za-z]", re.sub("|".join(_PARTS), "", fmt)):
+        raise ValueError(f"timestamp format {fmt!r}: expected each of {', '.join(_PARTS)} once")
+    found = re.split("(" + "|".join(_PARTS) + ")", fmt)
+    pattern = "^" + "".join(f"(\\d{{{len(x)}}})" if x in _PARTS else re.escape(x) for x in found) + "$"
+    y, mo, d, h, mi, s = (f"${1 + [x for x in found if x in _PARTS].index(part)}" for part in _PARTS)
+    trimmed = F.trim(text)
+    iso = F.regexp_replace(trimmed, F.lit(pattern), F.lit(f"{y}-{mo}-{d}T{h}:{mi}:{s}"))
+    return F.when(trimmed.rlike(pattern), iso.try_cast("timestamp_ntz"))
 
 
 # --- C1 -----------------------------------------------------------------------
@@ -46,7 +57,7 @@ def parse_timestamp(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 # --- C2 / C3 ------------------------------------------------------------------
 # Predicates are written as SQL text (one JVM call each, see functions.sqltext).
 def mobile_type_ok(p: Params = DEFAULT) -> Column:
-    return col(f"`TypeOfMobile` IN ({strings(p.mobile_types)})")
+    return col(one_of("TypeOfMobile", p.mobile_types))
 
 
 def class_a_ok(p: Params = DEFAULT) -> Column:
@@ -107,13 +118,13 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
     the time between them (NULL for its first ping or a zero/negative gap).
 
     Previous ping = previous row by (Timestamp, Latitude, Longitude) within
-    MMSI, found by ``with_previous`` split by minute so no vessel lands in one
-    task. ``chunk`` names an existing minute column to reuse.
+    MMSI, found by ``with_previous`` split by hour so no vessel lands in one
+    task. ``chunk`` names an existing hour column to reuse.
     """
     tmp = chunk is None
     if tmp:
-        chunk = "_minute"
-        df = df.withColumn(chunk, minute_bucket("Timestamp"))
+        chunk = HOUR
+        df = df.withColumn(chunk, hour_bucket("Timestamp"))
     df = with_previous(
         df,
         keys=["MMSI"],
@@ -165,50 +176,20 @@ def _port_box_sql(la, lb, oa, ob) -> str:
     return f"(`Latitude` BETWEEN {num(la)} AND {num(lb)} AND `Longitude` BETWEEN {num(oa)} AND {num(ob)})"
 
 
-def in_port_zone(p: Params = DEFAULT) -> Column:
-    return col("(" + " OR ".join(_port_box_sql(la, lb, oa, ob) for _, la, lb, oa, ob in p.port_zones) + ")")
-
-
 def outside_ports(p: Params = DEFAULT) -> Column:
-    return col("(" + " AND ".join(f"NOT {_port_box_sql(la, lb, oa, ob)}" for _, la, lb, oa, ob in p.port_zones) + ")")
-
-
-ZONE_PREDICATE_LIMIT = 64
+    """Outside every box; TRUE for an empty list."""
+    return col("(" + (" AND ".join(f"NOT {_port_box_sql(la, lb, oa, ob)}" for _, la, lb, oa, ob in p.port_zones) or "TRUE") + ")")
 
 
 def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Drop pings inside any port box (bounds inclusive).
-
-    A short zone list is one OR-free predicate per box (compiled inline). A
-    long list (more than ``ZONE_PREDICATE_LIMIT`` boxes) would make a huge
-    generated predicate, so it becomes a left-anti join against the zone
-    table with the inclusive range test; the table is the parameter list
-    itself, so broadcasting it has a known size.
-    """
-    if len(p.port_zones) <= ZONE_PREDICATE_LIMIT:
-        return df.filter(outside_ports(p))
-    return drop_in_zones(df, p.port_zones)
-
-
-def drop_in_zones(df: DataFrame, zones) -> DataFrame:
-    """Left-anti join of pings against (name, lat_min, lat_max, lon_min, lon_max) boxes."""
-    z = df.sparkSession.createDataFrame(
-        [(n, float(a), float(b), float(c), float(d)) for n, a, b, c, d in zones],
-        "zone string, lat_min double, lat_max double, lon_min double, lon_max double",
-    )
-    inside = (
-        F.col("Latitude").between(z["lat_min"], z["lat_max"])
-        & F.col("Longitude").between(z["lon_min"], z["lon_max"])
-    )
-    # an unknown test (NULL coordinate) removes the row, as NOT(NULL) does in
-    # the predicate form
-    return df.join(F.broadcast(z), F.coalesce(inside, F.lit(True)), "left_anti")
+    """Drop pings inside any port box (bounds inclusive), one test per box."""
+    return df.filter(outside_ports(p))
 
 
 # --- C8 -----------------------------------------------------------------------
 def ship_type_ok(p: Params = DEFAULT) -> Column:
     return col(
-        f"(NOT (`ShipType` IN ({strings(p.excluded_ship_types)})) AND `ShipType` IS NOT NULL AND `ShipType` <> '')"
+        f"(NOT {one_of('ShipType', p.excluded_ship_types)} AND `ShipType` IS NOT NULL AND `ShipType` <> '')"
     )
 
 
@@ -219,7 +200,7 @@ def filter_ship_types(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 # --- C9 -----------------------------------------------------------------------
 def moving_ok(p: Params = DEFAULT) -> Column:
-    return col(f"(`SOG` > {num(p.min_sog)} AND NOT (`NavigationalStatus` IN ({strings(p.stationary_statuses)})))")
+    return col(f"(`SOG` > {num(p.min_sog)} AND NOT {one_of('NavigationalStatus', p.stationary_statuses)})")
 
 
 def filter_moving(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -242,17 +223,16 @@ def clean_pings(df: DataFrame, p: Params = DEFAULT, keep_bucket: bool = False) -
     within a phase are ANDed into one predicate (same rows, fewer plan
     nodes); the jump filter still sees every valid Class A ping, as the
     region, port, type and motion filters only apply after it. With
-    ``keep_bucket`` the minute column used to split the jump filter is kept
-    as ``TimeBucket``; rows then stay hash-partitioned by (MMSI, TimeBucket),
-    which later per-vessel-minute windows reuse without another shuffle.
+    ``keep_bucket`` the minute is kept as ``TimeBucket`` and the hour that
+    splits the jump filter as ``HOUR``; rows then stay hash-partitioned by
+    (MMSI, hour), which per-vessel-minute windows that include the hour reuse
+    without another shuffle.
     """
-    base = clean_until_coordinates(df, p).withColumn("TimeBucket", minute_bucket("Timestamp"))
-    after = with_implied_speed(base, p, "TimeBucket")
+    base = clean_until_coordinates(df, p).withColumns(
+        {"TimeBucket": minute_bucket("Timestamp"), HOUR: hour_bucket("Timestamp")}
+    )
+    after = with_implied_speed(base, p, HOUR)
     out = after.filter(
         plausible_speed(p) & region_ok(p) & outside_ports(p) & ship_type_ok(p) & moving_ok(p)
     ).drop("implied_speed_kn")
-    return out if keep_bucket else out.drop("TimeBucket")
-
-
-def ais_columns(df: DataFrame) -> list[str]:
-    return [c for c in AIS_COLUMNS if c in df.columns]
+    return out if keep_bucket else out.drop("TimeBucket", HOUR)

@@ -30,6 +30,15 @@ def window_bucket(ts, minutes: int) -> Column:
     return F.floor(epoch_minutes(ts) / F.lit(minutes)).cast("long")
 
 
+#: Helper column that splits per-vessel work; hidden from results.
+HOUR = "_hour"
+
+
+def hour_bucket(ts) -> Column:
+    """Whole hours since 1970-01-01 (long)."""
+    return window_bucket(ts, 60)
+
+
 def cell_index(x, size_deg: float) -> Column:
     return F.floor(_c(x) / F.lit(size_deg)).cast("long")
 
@@ -39,10 +48,6 @@ def cell_label(lat_idx: Column, lon_idx: Column) -> Column:
     return F.concat(lat_idx.cast("string"), F.lit("_"), lon_idx.cast("string"))
 
 
-def add_time_index(df: DataFrame, ts: str = "Timestamp") -> DataFrame:
-    return df.withColumn("TimeBucket", minute_bucket(ts))
-
-
 def add_grid_index(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Adds ``grid_lat``/``grid_lon`` (bigint keys used for joining) and the
     ``GridCell`` label."""

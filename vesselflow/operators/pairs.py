@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vesselflow.functions.geo import acos_distance_nm, haversine_distance_nm
 from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.functions.kinematics import dcpa_nm, fine_pair_dcpa, relative_position, relative_velocity, tcpa_hours
-from vesselflow.operators.index import add_fine_index, add_grid_index
+from vesselflow.operators.index import HOUR, add_fine_index, add_grid_index
 from vesselflow.params import DEFAULT, Params
 
 SIDE_COLUMNS = (
@@ -47,16 +47,21 @@ _MARGIN = 1.01  # slack over the exact bound, far above floating-point noise
 # --- A1 -----------------------------------------------------------------------
 def pings_per_vessel_minute(indexed: DataFrame) -> DataFrame:
     """A1: ``MMSI, TimeBucket, count``."""
-    return indexed.groupBy("MMSI", "TimeBucket").agg(F.count(F.lit(1)).alias("count"))
+    return indexed.groupBy(*_minute_keys(indexed)).agg(F.count(F.lit(1)).alias("count")).drop(HOUR)
+
+
+def _minute_keys(indexed: DataFrame) -> list[str]:
+    """(MMSI, minute), with the hour where the rows are still partitioned by (MMSI, hour)."""
+    return ["MMSI", *([HOUR] if HOUR in indexed.columns else []), "TimeBucket"]
 
 
 def with_minute_counts(indexed: DataFrame) -> DataFrame:
     """Pings of the same vessel in the same minute, as column ``n_pings``.
 
-    A window on (MMSI, TimeBucket); after ``clean_pings(keep_bucket=True)``
-    the rows are already partitioned that way, so no shuffle is added.
+    A window on (MMSI, hour, TimeBucket); after ``clean_pings(keep_bucket=True)``
+    the rows are already partitioned by (MMSI, hour), so no shuffle is added.
     """
-    w = Window.partitionBy("MMSI", "TimeBucket")
+    w = Window.partitionBy(*_minute_keys(indexed))
     return indexed.withColumn("n_pings", F.count(F.lit(1)).over(w))
 
 
@@ -155,7 +160,7 @@ def candidate_pair_counts(indexed: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.sum("n_m").alias("n"), F.sum(F.col("n_m") * F.col("n_m")).alias("n2")
     )
     return (
-        per_cell.withColumn("pairs", ((F.col("n") * F.col("n") - F.col("n2")) / 2).cast("long"))
+        per_cell.withColumn("pairs", F.expr("(n * n - n2) div 2"))
         .groupBy("TimeBucket")
         .agg(F.sum("pairs").cast("long").alias("candidate_pairs"))
         .filter(F.col("candidate_pairs") > 0)
@@ -263,11 +268,12 @@ def validate_proximity(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A2: keep events whose two vessels each have at least
     ``min_pings_per_minute`` pings in the event minute (columns ``n_pings_A``,
     ``n_pings_B`` from ``with_minute_counts``). If that keeps nothing, all
-    events are returned unchanged (the original failsafe), decided lazily
-    with an EXISTS subquery instead of a driver-side count.
+    events are returned unchanged (the original failsafe), decided with an
+    EXISTS subquery. The events are read twice: pass a stored table. With
+    ``p.validate`` off, all events are kept.
     """
-    # One predicate over both sides: it cannot be split and pushed below the
-    # pair join, so the subquery and the main plan share the same shuffles.
+    if not p.validate:
+        return events.drop("n_pings_A", "n_pings_B")
     ok = F.least(F.col("n_pings_A"), F.col("n_pings_B")) >= p.min_pings_per_minute
     any_ok = events.filter(ok).exists()
     return events.filter(ok | ~any_ok).drop("n_pings_A", "n_pings_B")
@@ -278,9 +284,9 @@ def best_event_per_pair(events: DataFrame) -> DataFrame:
     """One event per (MMSI_A, MMSI_B), the smallest DCPA.
 
     Ties are broken by distance, then side A time, then side B time, so the
-    pick is deterministic. Implemented as ``min(struct(...))`` in a hash
-    aggregate: partial aggregation runs before the shuffle, so a pair with
-    very many events costs one row per map task.
+    pick is deterministic. A ``min(struct(...))`` aggregate: Spark sorts for it
+    (a struct buffer isn't fixed-width), but partial aggregation runs before the
+    shuffle, so a pair with very many events costs one row per map task.
     """
     cols = events.columns
     order = ["DCPA", "vessel_distance_nm", "Timestamp", "Timestamp_B"]

@@ -3,10 +3,11 @@
 ``lag(x) OVER (PARTITION BY key ORDER BY ts)`` sends every row of a key to a
 single task. A vessel id (or a spoofed one) can carry a large share of all
 pings, so instead rows are partitioned by ``(key, chunk)`` where ``chunk`` is
-a coarse, order-preserving bucket of ``ts`` (the minute). The last row of
-each chunk is found with a partial aggregate (one small row per chunk), moved
-to the next non-empty chunk of the same key with a lag over that small table,
-and unioned in as a marker row ahead of the chunk's real rows. One window over
+a coarse, order-preserving bucket of ``ts`` (the hour). The last row of each
+chunk in the full order is found with a partial aggregate (one row per chunk
+and task; a struct maximum, so Spark sorts for it), moved to the next
+non-empty chunk of the same key with a lag over that table, and unioned in as
+a marker row ahead of the chunk's real rows. One window over
 ``(key, chunk)`` then yields the exact previous row for every real row.
 
 The big input is shuffled once, by ``(key, chunk)``; the per-key work on the
@@ -36,22 +37,17 @@ def with_previous(
     previous row of the same ``keys`` in ``order``.
 
     ``chunk`` must be non-decreasing along ``order`` within a key (e.g. the
-    minute of the timestamp that leads ``order``), and ``order[0]`` must not be
-    NULL. Inside a chunk rows follow ``order``; the row carried across a chunk
-    edge is one with the largest ``order[0]`` (rows tied on it at a chunk's end
-    are interchangeable, as in any lag over a non-unique order). The first row
-    of a key gets NULLs.
+    hour of the timestamp that leads ``order``), and ``order[0]`` must not be
+    NULL. Inside a chunk and across chunk edges rows follow the whole
+    ``order``, so rows that tie on the timestamp give the same answer in any
+    input order (rows equal in all of ``order`` and ``values`` are alike). The
+    first row of a key gets NULLs.
     """
     carried = list(dict.fromkeys(order + values))
     lead = order[0]
-    # Last row of each chunk: max of the leading order column, and the other
-    # columns taken from that row with max_by. All buffers are fixed-width, so
-    # this is a hash aggregate with map-side combine (a struct max would fall
-    # back to a sort-based aggregate).
-    aggs = [col(f"max({ref(lead)})").alias(lead)] + [
-        col(f"max_by({ref(c)}, {ref(lead)})").alias(c) for c in carried if c != lead
-    ]
-    last = df.groupBy(*keys, chunk).agg(*aggs)
+    parts = ", ".join(ref(c) for c in carried)
+    last = df.groupBy(*keys, chunk).agg(col(f"max(struct({parts}))").alias(_LAST))
+    last = last.select(*keys, chunk, f"{_LAST}.*")
     by_key = ", ".join(ref(k) for k in keys)
     w_chunks = f"OVER (PARTITION BY {by_key} ORDER BY {ref(chunk)})"
     markers = last.select(

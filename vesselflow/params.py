@@ -84,6 +84,7 @@ class Params:
     max_distance_nm: float = 0.054
     tcpa_floor_h: float = -1.0
     rel_speed_sq_floor: float = 0.01
+    validate: bool = True
     min_pings_per_minute: int = 2
 
     # convoy filters (off unless asked for)
