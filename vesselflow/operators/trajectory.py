@@ -4,10 +4,10 @@ the closest pairs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vesselflow.operators.index import minute_bucket, window_bucket
+from vesselflow.operators.index import HOUR, hour_bucket, window_bucket
 from vesselflow.operators.sequence import with_previous
 from vesselflow.params import DEFAULT, Params
 
@@ -100,35 +100,49 @@ def ordered_tracks(traj: DataFrame) -> DataFrame:
     return traj.repartition(*keys).sortWithinPartitions(*keys, "Timestamp", "Latitude", "Longitude")
 
 
+def numbered_tracks(traj: DataFrame) -> DataFrame:
+    """T3 with the place of each ping in its track (``seq``, from 1)."""
+    keys = EVENT_KEY + ["vessel"]
+    w = Window.partitionBy(*keys).orderBy("Timestamp", "Latitude", "Longitude", "SOG", "COG")
+    return traj.withColumn("seq", F.row_number().over(w))
+
+
 # --- E3 -----------------------------------------------------------------------
 def trajectory_segments(traj: DataFrame) -> DataFrame:
     """Each track as ordered line segments with WKT text.
 
     A polyline is the chain of segments from each ping to the next one of
-    the same (event, vessel). Segments are rows, so no track is gathered
-    into one array; the previous-ping look-up is split by minute
-    (``with_previous``) so a long or dense track is spread over tasks.
+    the same (event, vessel); a track of one ping is one POINT row with the
+    same start and end time. Segments are rows, so no track is gathered into
+    one array; the previous-ping look-up is split by hour
+    (``with_previous``). Reads ``traj`` more than once: pass a stored table.
     """
     keys = EVENT_KEY + ["vessel"]
-    t = traj.withColumn("_minute", minute_bucket("Timestamp"))
+    t = traj.withColumn(HOUR, hour_bucket("Timestamp"))
     t = with_previous(
-        t, keys=keys, chunk="_minute", order=["Timestamp", "Latitude", "Longitude"],
+        t, keys=keys, chunk=HOUR, order=["Timestamp", "Latitude", "Longitude"],
         values=["Timestamp", "Latitude", "Longitude"], prefix="from_",
     )
-    t = t.filter(F.col("from_Timestamp").isNotNull())
-    wkt = F.format_string(
+    single = traj.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1").drop("_n")
+    points = traj.join(single, keys, "left_semi").withColumns(
+        {f"from_{c}": F.col(c) for c in ("Timestamp", "Latitude", "Longitude")}
+    )
+    at = F.format_string("POINT (%s %s)", F.col("Longitude").cast("string"), F.col("Latitude").cast("string"))
+    line = F.format_string(
         "LINESTRING (%s %s, %s %s)",
         F.col("from_Longitude").cast("string"),
         F.col("from_Latitude").cast("string"),
         F.col("Longitude").cast("string"),
         F.col("Latitude").cast("string"),
     )
+    t = t.filter(F.col("from_Timestamp").isNotNull()).drop(HOUR).withColumn("wkt", line)
+    t = t.unionByName(points.withColumn("wkt", at))
     return t.select(
         *keys,
         "MMSI",
         F.col("from_Timestamp").alias("from_ts"),
         F.col("Timestamp").alias("to_ts"),
-        wkt.alias("wkt"),
+        "wkt",
     )
 
 
@@ -137,7 +151,7 @@ def trajectory_endpoints(traj: DataFrame, events: DataFrame) -> DataFrame:
     """First and last point of each vessel's track plus the event point.
 
     ``min``/``max`` of ``struct(Timestamp, lat, lon)`` per (event, vessel):
-    partial aggregation, no sort, one small row per group.
+    partial aggregation before the shuffle (Spark sorts for a struct buffer).
     """
     keys = EVENT_KEY + ["vessel"]
     pt = F.struct("Timestamp", "Latitude", "Longitude")

@@ -1,52 +1,48 @@
-"""Reliable materialisation for multi-stage runs.
+"""Stored intermediate tables for multi-stage runs.
 
-Lineage is cut with ``DataFrame.checkpoint()`` into the shared directory the
-cluster names in ``spark.checkpoint.dir`` (never a node-local folder, and
-never ``localCheckpoint``), so a lost executor only costs recomputing its
-tasks, not the whole upstream plan.
+A table that a plan reads several times is written once as Parquet below the
+shared folder that ``spark.checkpoint.dir`` names and read back: lineage ends
+there, readers prune columns and push filters, and a lost executor costs only
+its own tasks. Never a node-local folder, never ``localCheckpoint``.
 """
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+_STORED: list[str] = []
+
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The session's checkpoint directory (the context's, else ``spark.checkpoint.dir``)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    return None
+def stage_dir(spark: SparkSession) -> str:
+    """The session's shared folder. Where none is named, a local session gets a
+    temporary one; any other master is refused, and so is a folder of its driver."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="vf-stage-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` (eagerly) into the configured checkpoint directory.
-
-    Raises if no checkpoint directory is configured: the caller (or the
-    cluster config) must name a shared one.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared directory for checkpoints")
-    return df.checkpoint(eager=True)
-
-
-def materialize_if_configured(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` when the session names a checkpoint directory, else
-    return it unchanged (same rows either way; only the execution differs).
-
-    Used for tables a plan reads several times (the cleaned pings feed both
-    sides of the pair join, the look-back and the trajectory joins): they are
-    computed once and read back, instead of re-running their windows per
-    consumer, and a lost executor does not send the job back to the scan.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
+    """``df``, written now and read back from the shared folder."""
+    path = f"{stage_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all tables that ``materialize`` stored in this process; DataFrames over them end."""
+    while _STORED:
+        delete_path(spark, _STORED.pop())

@@ -1,4 +1,5 @@
-"""End-to-end chains built from the operators (all lazy, no actions)."""
+"""End-to-end chains built from the operators. Tables that a plan reads several
+times are stored once (``materialize``), which runs a job."""
 
 from __future__ import annotations
 
@@ -6,8 +7,9 @@ from pyspark.sql import DataFrame
 
 from vesselflow.operators import clean as C
 from vesselflow.operators import pairs as P
+from vesselflow.operators.index import HOUR
 from vesselflow.params import DEFAULT, Params
-from vesselflow.plans.checkpoint import materialize_if_configured
+from vesselflow.plans.checkpoint import materialize
 
 
 def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -16,24 +18,22 @@ def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # Columns the detection, verification and trajectory steps read from the
-# cleaned pings; the shared stage keeps only these (a materialised table
-# cannot prune columns when it is read back).
+# cleaned pings; the shared stage keeps only these.
 SHARED_COLUMNS = (*P.SIDE_COLUMNS, "TimeBucket", "n_pings")
 
 
 def shared_clean(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Cleaned pings + ``TimeBucket`` + per-vessel-minute ``n_pings``,
-    projected to ``SHARED_COLUMNS`` and materialised once
-    (``materialize_if_configured``) for plans that read them several times.
-    The count window runs on the partitioning the jump filter left behind,
-    before the checkpoint."""
+    projected to ``SHARED_COLUMNS`` and stored once (``materialize``) for
+    plans that read them several times. The count window runs on the
+    partitioning the jump filter left behind, before the write."""
     counted = P.with_minute_counts(clean_bucketed(raw, p))
-    return materialize_if_configured(counted.select(*[c for c in SHARED_COLUMNS if c in counted.columns]))
+    return materialize(counted.select(*[c for c in SHARED_COLUMNS if c in counted.columns]))
 
 
 def pings_of(clean_b: DataFrame) -> DataFrame:
     """The ping columns of a cleaned table (helper columns dropped)."""
-    return clean_b.drop("TimeBucket", "n_pings")
+    return clean_b.drop("TimeBucket", "n_pings", HOUR)
 
 
 def close_pairs(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -48,14 +48,16 @@ def close_events(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def validated_events(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """A2 on the close events (several events per pair remain)."""
-    return P.validate_proximity(close_events(clean_b, p), p)
+    """A2 on the close events (several events per pair remain). The close
+    events, few next to the pings, are stored first: the failsafe reads them
+    again, and the pair join runs once."""
+    return P.validate_proximity(materialize(close_events(clean_b, p)), p)
 
 
 def shared_validated(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Validated events materialised once, for plans that read them several
-    times (duration + details, selection + top-k, tracks + end points)."""
-    return materialize_if_configured(validated_events(clean_b, p))
+    """Validated events stored once, for plans that read them several times
+    (duration + details, selection + top-k, tracks + end points)."""
+    return materialize(validated_events(clean_b, p))
 
 
 def detect(clean_b: DataFrame, p: Params = DEFAULT) -> DataFrame:

@@ -346,10 +346,11 @@ FROM short s LEFT JOIN steady st ON st.MMSI_A = s.MMSI_A AND st.MMSI_B = s.MMSI_
         + ", ".join(f"{_r(_q(c))} AS {_q(c)}" for c in ["Latitude", "Longitude", "SOG", "COG"])
         + " FROM traj"
     )
+    pt = """{'ts': t."Timestamp", 'la': t."Latitude", 'lo': t."Longitude"}"""
     q["trajectory_endpoints"] = _with("best", p, traj) + f"""SELECT t.MMSI_A, t.MMSI_B, t.event_ts, t.vessel, t."MMSI",
-  count(*) AS n_points, min(t."Timestamp") AS start_ts, {_r('arg_min(t."Latitude", t."Timestamp")')} AS start_lat,
-  {_r('arg_min(t."Longitude", t."Timestamp")')} AS start_lon, max(t."Timestamp") AS end_ts,
-  {_r('arg_max(t."Latitude", t."Timestamp")')} AS end_lat, {_r('arg_max(t."Longitude", t."Timestamp")')} AS end_lon,
+  count(*) AS n_points, min(t."Timestamp") AS start_ts, {_r(f'min({pt}).la')} AS start_lat,
+  {_r(f'min({pt}).lo')} AS start_lon, max(t."Timestamp") AS end_ts,
+  {_r(f'max({pt}).la')} AS end_lat, {_r(f'max({pt}).lo')} AS end_lon,
   {_r('any_value(e.Lat_A)')} AS event_lat, {_r('any_value(e.Lon_A)')} AS event_lon
 FROM traj t JOIN best e ON e.MMSI_A = t.MMSI_A AND e.MMSI_B = t.MMSI_B AND e.first_ts = t.event_ts
 GROUP BY t.MMSI_A, t.MMSI_B, t.event_ts, t.vessel, t."MMSI\""""
@@ -359,7 +360,21 @@ GROUP BY t.MMSI_A, t.MMSI_B, t.event_ts, t.vessel, t."MMSI\""""
 FROM (SELECT *, "Timestamp" AS to_ts,
   lag("Timestamp") OVER w AS from_ts, lag("Latitude") OVER w AS from_lat, lag("Longitude") OVER w AS from_lon
   FROM traj WINDOW w AS (PARTITION BY MMSI_A, MMSI_B, event_ts, vessel ORDER BY "Timestamp", "Latitude", "Longitude"))
-WHERE from_ts IS NOT NULL"""
+WHERE from_ts IS NOT NULL
+UNION ALL
+SELECT MMSI_A, MMSI_B, event_ts, vessel, any_value("MMSI"), any_value("Timestamp"), any_value("Timestamp"),
+  'POINT (' || CAST(any_value("Longitude") AS VARCHAR) || ' ' || CAST(any_value("Latitude") AS VARCHAR) || ')'
+FROM traj GROUP BY MMSI_A, MMSI_B, event_ts, vessel HAVING count(*) = 1"""
+    q["ordered_tracks"] = _with("best", p, traj) + (
+        'SELECT MMSI_A, MMSI_B, event_ts, vessel, "MMSI", "Name", "Timestamp", '
+        + ", ".join(f"{_r(_q(c))} AS {_q(c)}" for c in ["Latitude", "Longitude", "SOG", "COG"])
+        + ', CAST(row_number() OVER (PARTITION BY MMSI_A, MMSI_B, event_ts, vessel'
+        ' ORDER BY "Timestamp", "Latitude", "Longitude", "SOG", "COG") AS INTEGER) AS seq FROM traj'
+    )
+    q["unvalidated_closest_event_per_pair"] = _with("close", p) + (
+        f'SELECT {_event_select()} FROM (SELECT *, row_number() OVER (PARTITION BY MMSI_A, MMSI_B'
+        ' ORDER BY "DCPA", vessel_distance_nm, "Timestamp", Timestamp_B) AS rn FROM close) WHERE rn = 1'
+    )
     # bearings and reports
     x = "sin(radians(Lon_B - Lon_A)) * cos(radians(Lat_B))"
     y = "cos(radians(Lat_A)) * sin(radians(Lat_B)) - sin(radians(Lat_A)) * cos(radians(Lat_B)) * cos(radians(Lon_B - Lon_A))"
@@ -382,6 +397,29 @@ FROM b1"""
         f" {_r('vessel_distance_nm')} AS vessel_distance_nm,"
         f" {_r(_r('vessel_distance_nm * CAST(1852.0 AS DOUBLE)', 1))} AS distance_m FROM best"
     )
+    rule = "─" * 70
+
+    def half_up(x: str, n: int) -> str:
+        """Fixed decimals of the shortest decimal text, half up; a negative value keeps its sign when it rounds to 0."""
+        value = f"round(CAST(CAST(coalesce({x}, 0.0) AS VARCHAR) AS DECIMAL(38, 18)), {n})"
+        sign = f"CASE WHEN {x} < 0 AND {value} = 0 THEN '-' ELSE '' END"
+        return f"{sign} || CAST({value} AS DECIMAL(38, {n}))::VARCHAR"
+
+    metres = lambda x: half_up(f"(coalesce({x}, 0.0) * CAST(1852.0 AS DOUBLE))", 1)
+    lines = [
+        "chr(10) || '" + rule + "' || chr(10) || 'COLLISION EVENT DETAILS' || chr(10) || '" + rule + "' || chr(10)",
+        "'Vessel A:        ' || coalesce(Name_A, 'N/A') || ' (MMSI: ' || MMSI_A || ')' || chr(10)",
+        "'Vessel B:        ' || coalesce(Name_B, 'N/A') || ' (MMSI: ' || MMSI_B || ')' || chr(10)",
+        "'Timestamp:       ' || strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' UTC' || chr(10)",
+        f"'Location:        ' || {half_up('Lat_A', 6)} || '°N, ' || {half_up('Lon_A', 6)} || '°E' || chr(10)",
+        f"'Distance:        ' || {metres('vessel_distance_nm')} || ' meters' || chr(10)",
+        f"'DCPA:            ' || {metres('"DCPA"')} || ' meters' || chr(10)",
+        f"'TCPA:            ' || {half_up('(coalesce("TCPA", 0.0) * CAST(60.0 AS DOUBLE))', 1)} || ' minutes' || chr(10)",
+        f"'SOG A / B:       ' || {half_up('SOG_A', 1)} || ' / ' || {half_up('SOG_B', 1)} || ' knots' || chr(10)",
+        "'Ship Type A/B:   ' || coalesce(ShipType_A, 'N/A') || ' / ' || coalesce(ShipType_B, 'N/A') || chr(10)",
+        "chr(10) || '" + rule + "' || chr(10)",
+    ]
+    q["event_report_text"] = _with("best", p) + "SELECT MMSI_A, MMSI_B, first_ts, " + " || ".join(lines) + " AS report FROM best"
     q["stage_counts"] = _with("best", p) + """SELECT * FROM (VALUES
   ('raw', 0, (SELECT count(*) FROM raw)), ('clean', 1, (SELECT count(*) FROM clean)),
   ('candidates', 2, (SELECT count(*) FROM cand)), ('close', 3, (SELECT count(*) FROM close)),

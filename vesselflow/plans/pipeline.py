@@ -30,7 +30,7 @@ from vesselflow.operators import trajectory as T
 from vesselflow.operators import verify as V
 from vesselflow.params import DEFAULT, Params
 from vesselflow.plans import detect as D
-from vesselflow.plans.checkpoint import checkpoint_dir, materialize_if_configured
+from vesselflow.plans.checkpoint import materialize
 from vesselflow.sources.csv import load_pings
 from vesselflow.sources.schema import validate_schema
 from vesselflow.sources.sinks import write_table
@@ -46,27 +46,27 @@ def run_on(raw: DataFrame, out_dir: str, p: Params = DEFAULT, fmt: str = "parque
     out = out_dir.rstrip("/")
     raw, o_raw = _observed(validate_schema(raw), "raw")
     clean = D.shared_clean(raw, p)
-    valid = materialize_if_configured(P.validate_proximity(D.close_events(clean, p), p))
-    events = P.best_event_per_pair(valid)
+    close = materialize(D.close_events(clean, p))
+    valid = materialize(P.validate_proximity(close, p))
+    stored_events = materialize(P.best_event_per_pair(valid))
     pings = D.pings_of(clean)
 
-    write_table(events, f"{out}/events", fmt)
-    stored_events = events.sparkSession.read.format(fmt).load(f"{out}/events") if fmt == "parquet" else events
+    write_table(stored_events, f"{out}/events", fmt)
     write_table(V.verified_pairs(valid, pings, p), f"{out}/verified", fmt)
     selected = T.priority_events(stored_events, p)
     write_table(selected, f"{out}/selected", fmt)
-    tracks = T.event_trajectories(selected, pings, p)
+    tracks = materialize(T.event_trajectories(selected, pings, p))
     write_table(T.ordered_tracks(tracks), f"{out}/trajectories", fmt)
     write_table(T.trajectory_segments(tracks), f"{out}/segments", fmt)
     write_table(T.trajectory_endpoints(tracks, selected), f"{out}/endpoints", fmt)
     write_table(R.report_text(stored_events), f"{out}/report", "csv")
 
-    # the observation is filled by the checkpoint job of the cleaned table;
-    # without a checkpoint directory the scan is counted directly
-    materialised = checkpoint_dir(raw.sparkSession) is not None
+    candidates = P.candidate_pair_counts(clean, p).agg(F.sum("candidate_pairs")).first()[0] or 0
     counts = {
-        "raw": o_raw.get["rows"] if materialised else raw.count(),
+        "raw": o_raw.get["rows"],  # filled by the job that stored the cleaned table
         "clean": clean.count(),
+        "candidates": candidates,
+        "close": close.count(),
         "validated": valid.count(),
         "final": stored_events.count(),
     }

@@ -24,7 +24,7 @@ from vesselflow.operators import trajectory as T
 from vesselflow.operators import verify as V
 from vesselflow.plans import detect as D
 from vesselflow.params import DEFAULT
-from vesselflow.plans.checkpoint import checkpoint_dir, materialize_if_configured
+from vesselflow.plans.checkpoint import delete_path, materialize, stage_dir
 from vesselflow.functions.sqltext import ref
 from vesselflow.sources import csv as S
 from vesselflow.sources.fixture import raw_pings
@@ -90,15 +90,15 @@ def _events_shared(spark, sf_dir, p=DEFAULT):
 # --- sources and cleaning -------------------------------------------------------
 @query("csv_roundtrip_scan")
 def q_csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1-S3 + C1: write the raw pings as one day of AIS CSV under the
-    checkpoint directory, read them back by day with the fixed schema, parse
-    the timestamp."""
-    base = checkpoint_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    folder = f"{base.rstrip('/')}/vesselflow-csv-{uuid.uuid4().hex}"
-    S.write_pings_csv(raw_pings(spark, sf_dir, as_text=True), S.day_path(folder, 13))
-    return rounded(C.parse_timestamp(S.load_pings(spark, folder, 13)))
+    """S1-S3 + C1: write the raw pings as one day of AIS CSV in the shared
+    folder, read them back by day with the fixed schema, parse the timestamp;
+    the CSV is deleted once the parsed pings are stored."""
+    folder = f"{stage_dir(spark)}/vesselflow-csv-{uuid.uuid4().hex}"
+    try:
+        S.write_pings_csv(raw_pings(spark, sf_dir, as_text=True), S.day_path(folder, 13))
+        return materialize(rounded(C.parse_timestamp(S.load_pings(spark, folder, 13))))
+    finally:
+        delete_path(spark, folder)
 
 
 @query("clean_class_filter")
@@ -319,7 +319,20 @@ def q_trajectory_endpoints(spark, sf_dir):
 @query("trajectory_wkt")
 def q_trajectory_wkt(spark, sf_dir):
     clean_b = _shared(spark, sf_dir)
-    return T.trajectory_segments(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b)))
+    return T.trajectory_segments(materialize(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b))))
+
+
+@query("ordered_tracks")
+def q_ordered_tracks(spark, sf_dir):
+    """Each track's pings with their place in time order."""
+    clean_b = _shared(spark, sf_dir)
+    return rounded(T.numbered_tracks(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b))))
+
+
+@query("unvalidated_closest_event_per_pair")
+def q_unvalidated(spark, sf_dir):
+    """W2 with the proximity validation (A2) switched off."""
+    return rounded(_events(spark, sf_dir, DEFAULT.with_(validate=False)))
 
 
 @query("event_bearings")
@@ -343,8 +356,8 @@ def q_stage_counts(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     clean_b = D.shared_clean(raw)
     cand = P.candidate_pair_counts(clean_b)
-    close = materialize_if_configured(D.close_events(clean_b))
-    valid = materialize_if_configured(P.validate_proximity(close))
+    close = materialize(D.close_events(clean_b))
+    valid = materialize(P.validate_proximity(close))
     final = P.best_event_per_pair(valid)
     counted = R.stage_counts([("raw", raw), ("clean", clean_b)])
     summed = R.stage_sums([("candidates", cand, "candidate_pairs")])

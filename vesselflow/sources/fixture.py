@@ -1,8 +1,8 @@
 """AIS-shaped pings derived from the driver's ``events`` table.
 
 No driver table holds ship positions, so the test input is a pure projection
-of ``events``: 16 vessels (``event_id % 16``), one ping per second overall
-from 2021-12-13 00:00:00, triangle-wave tracks and planted faults (other
+of ``events``: 16 vessels (``event_id % 16``) for each 1000 events, one ping
+per second overall (some at the time of the vessel's ping before) from 2021-12-13 00:00:00, triangle-wave tracks and planted faults (other
 mobile classes, bad MMSIs, out-of-range latitude, position jumps, an
 out-of-region vessel, a vessel in a port zone, excluded ship types, anchored
 and NULL statuses, slow speeds, NULL course and heading, vessels crossing a
@@ -17,11 +17,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vesselflow.params import DEFAULT, Params
+from vesselflow.params import DEFAULT, PRIORITY_PAIRS, Params
 from vesselflow.sources.schema import AIS_FIELDS
 
 START = "2021-12-13 00:00:00"
 N_VESSELS = 16
+#: Every so many events 16 other vessels sail, so vessels and pairs grow with the table.
+EPOCH = 1000
+#: Events without a readable time.
+BAD_TIME = 997
+
+
+def _first_pair(v: str) -> str:
+    """Two vessels of the first epoch carry the ids of the first priority pair."""
+    a, b = PRIORITY_PAIRS[0]
+    return f"WHEN event_id < {EPOCH} AND {v} = 1 THEN {a} WHEN event_id < {EPOCH} AND {v} = 3 THEN {b}"
 
 
 EVENTS_READ_SCHEMA = "event_id BIGINT, value DOUBLE, props STRING"
@@ -39,13 +49,15 @@ def _spark_exprs(p: Params, as_text: bool) -> dict[str, str]:
         f" + 0.02D * abs(((event_id + 31.0D * {v}) / (450.0D + 53.0D * {v})) % 2.0D - 1.0D)"
     )
     k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
-    ts = f"timestampadd(SECOND, event_id, TIMESTAMP_NTZ'{START}')"
+    ts = f"timestampadd(SECOND, event_id - CASE WHEN event_id % 37 = 0 THEN 16 ELSE 0 END, TIMESTAMP_NTZ'{START}')"
+    bad = f"event_id % {BAD_TIME} = 0"
     fmt = p.ts_format.replace("'", "''")
     return {
-        "Timestamp": f"date_format({ts}, '{fmt}')" if as_text else ts,
+        "Timestamp": f"CASE WHEN {bad} THEN 'no time' ELSE date_format({ts}, '{fmt}') END" if as_text else f"CASE WHEN NOT ({bad}) THEN {ts} END",
         "TypeOfMobile": "CASE WHEN event_id % 29 = 0 THEN 'Class B' WHEN event_id % 31 = 0 THEN 'Base Station' ELSE 'Class A' END",
         "MMSI": f"CASE WHEN event_id % 101 = 0 THEN 111000000 + {v} WHEN event_id % 103 = 0 THEN 222222222"
-        f" WHEN event_id % 107 = 0 THEN 123456789 WHEN event_id % 109 = 0 THEN NULL ELSE 219000000 + {v} END",
+        f" WHEN event_id % 107 = 0 THEN 123456789 WHEN event_id % 109 = 0 THEN NULL"
+        f" {_first_pair(v)} ELSE 219000000 + {v} + {N_VESSELS} * (event_id DIV {EPOCH}) END",
         "Latitude": f"CASE WHEN event_id % 113 = 0 THEN 91.0D ELSE ({lat}) + CASE WHEN event_id % 61 = 0 THEN 0.3D ELSE 0.0D END END",
         "Longitude": f"({lon})",
         "NavigationalStatus": "CASE WHEN event_id % 41 = 0 THEN 'At anchor' WHEN event_id % 43 = 0 THEN NULL ELSE 'Under way using engine' END",
@@ -63,15 +75,6 @@ def raw_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, as_text: bo
     text form instead. One projection over ``events`` (read with a fixed
     schema, so no footer inference)."""
     ev = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    # A small table can arrive as one file with one row group, i.e. one scan
-    # task. Spread it over the cores then; a large input already has more
-    # splits than cores and is left alone (no extra shuffle at scale).
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if ev.rdd.getNumPartitions() < cores:
-            ev = ev.repartition(cores)
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session): keep the scan as is
-        pass
     given = _spark_exprs(p, as_text)
     out = []
     for n, t in AIS_FIELDS:
@@ -105,10 +108,11 @@ def raw_pings_sql() -> str:
     lat, lon = _sql_track()
     k = "CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE)"
     given = {
-        "Timestamp": f"TIMESTAMP '{START}' + to_seconds(event_id)",
+        "Timestamp": f"CASE WHEN event_id % {BAD_TIME} <> 0 THEN TIMESTAMP '{START}' + to_seconds(event_id - CASE WHEN event_id % 37 = 0 THEN 16 ELSE 0 END) END",
         "TypeOfMobile": "CASE WHEN event_id % 29 = 0 THEN 'Class B' WHEN event_id % 31 = 0 THEN 'Base Station' ELSE 'Class A' END",
         "MMSI": "CAST(CASE WHEN event_id % 101 = 0 THEN 111000000 + event_id % 16 WHEN event_id % 103 = 0 THEN 222222222"
-        " WHEN event_id % 107 = 0 THEN 123456789 WHEN event_id % 109 = 0 THEN NULL ELSE 219000000 + event_id % 16 END AS BIGINT)",
+        " WHEN event_id % 107 = 0 THEN 123456789 WHEN event_id % 109 = 0 THEN NULL"
+        f" {_first_pair('event_id % 16')} ELSE 219000000 + event_id % 16 + {N_VESSELS} * (event_id // {EPOCH}) END AS BIGINT)",
         "Latitude": f"CASE WHEN event_id % 113 = 0 THEN {_d(91.0)} ELSE ({lat}) + CASE WHEN event_id % 61 = 0 THEN {_d(0.3)} ELSE {_d(0.0)} END END",
         "Longitude": f"({lon})",
         "NavigationalStatus": "CASE WHEN event_id % 41 = 0 THEN 'At anchor' WHEN event_id % 43 = 0 THEN NULL ELSE 'Under way using engine' END",
