@@ -169,7 +169,7 @@ def test_subgrid_join_equals_plain_join(spark):
 def test_subgrid_never_duplicates(spark):
     clean_b = _clean_b(spark, SF_MID)
     pr = P.candidate_pairs(clean_b, DEFAULT)
-    dup = pr.groupBy("MMSI_A", "MMSI_B", "Timestamp_A", "Timestamp_B").count().filter("count > 1").count()
+    dup = pr.groupBy("MMSI_A", "MMSI_B", "Timestamp_A", "Timestamp_B", "Latitude_A", "Latitude_B").count().filter("count > 1").count()
     assert dup == 0
 
 
@@ -372,14 +372,59 @@ Ship Type A/B:   Cargo / Cargo
     assert got == want
 
 
-def test_port_zones_join_form_equals_predicate_form(spark):
-    from vesselflow.params import PORT_ZONES
+@pytest.mark.parametrize(
+    ("name", "kept"),
+    [("port_zones", 2), ("excluded_ship_types", 2), ("stationary_statuses", 2), ("excluded_mmsi_ranges", 2), ("mobile_types", 0)],
+)
+def test_empty_parameter_list_switches_the_filter_off(spark, name, kept):
+    df = pings_df(spark, [ping(219000001, 0, 55.5, 13.0, ShipType="Pilot", NavigationalStatus="At anchor"), ping(219000002, 1, 55.2, 14.2)])
+    run = {
+        "port_zones": C.filter_port_zones,
+        "excluded_ship_types": C.filter_ship_types,
+        "stationary_statuses": C.filter_moving,
+        "excluded_mmsi_ranges": C.filter_valid_mmsi,
+        "mobile_types": C.filter_mobile_type,
+    }[name]
+    assert run(df, DEFAULT.with_(**{name: ()})).count() == kept
+
+
+def test_timestamp_text_is_the_same_wall_clock_in_any_zone(spark):
+    texts = ["28/03/2021 02:30:00", " 31/12/2021 23:59:59 ", "31/02/2021 00:00:00", "2021-12-13 00:00:00", "no time", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
+        got = [r[0] for r in df.select(C.parse_timestamp_text(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [dt.datetime(2021, 3, 28, 2, 30), dt.datetime(2021, 12, 31, 23, 59, 59), None, None, None, None, None]
+
+
+def test_jump_filter_does_not_depend_on_input_order(spark):
+    rows = [ping(219000001, 59, 55.0, 14.0), ping(219000001, 59, 55.3, 14.0), ping(219000001, 3600 - 1200, 55.0, 14.0)]
+    got = [
+        sorted(map(str, C.with_implied_speed(pings_df(spark, some)).select("Timestamp", "Latitude", "implied_speed_kn").collect()))
+        for some in (rows, rows[::-1], [rows[1], rows[2], rows[0]])
+    ]
+    assert got[0] == got[1] == got[2]
 
-    rng = np.random.default_rng(5)
-    rows = [ping(219000000 + i, i, float(55.45 + rng.random() * 0.3), float(12.85 + rng.random() * 0.3)) for i in range(300)]
-    rows += [ping(219000999, 0, 55.5, 12.9), ping(219000998, 0, None, 12.9)]
-    df = pings_df(spark, rows)
-    by_predicate = df.transform(C.filter_port_zones)
-    by_join = C.drop_in_zones(df, PORT_ZONES)
-    assert by_predicate.count() == by_join.count() < len(rows)
-    assert by_predicate.exceptAll(by_join).count() == 0
+
+def test_track_of_one_ping_is_a_point(spark):
+    rows = [(1, 2, T0, "A", 1, "x", T0, 55.5, 14.25, 1.0, 2.0), (1, 2, T0, "B", 2, "y", T0, 55.0, 14.0, 1.0, 2.0), (1, 2, T0, "B", 2, "y", T0 + dt.timedelta(minutes=1), 55.5, 14.0, 1.0, 2.0)]
+    schema = "MMSI_A long, MMSI_B long, event_ts timestamp_ntz, vessel string, MMSI long, Name string, Timestamp timestamp_ntz, Latitude double, Longitude double, SOG double, COG double"
+    got = {r["vessel"]: r["wkt"] for r in T.trajectory_segments(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"A": "POINT (14.25 55.5)", "B": "LINESTRING (14.0 55.0, 14.0 55.5)"}
+
+
+def test_candidate_counts_stay_exact_integers(spark):
+    df = spark.createDataFrame([(T0, 0, 0, m, n) for m, n in ((1, 3), (2, 5))], "TimeBucket timestamp_ntz, grid_lat long, grid_lon long, MMSI long, n int")
+    df = df.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    assert [r["candidate_pairs"] for r in P.candidate_pair_counts(df).collect()] == [15]
+
+
+def test_verified_pairs_on_hand_made_crossing(spark):
+    events = D.validated_events(D.shared_clean(pings_df(spark, crossing(span=300))))
+    pings = D.pings_of(D.shared_clean(pings_df(spark, crossing(span=300))))
+    got = V.verified_pairs(events, pings).select("MMSI_A", "MMSI_B", "cog_stddev_A").distinct().collect()
+    assert [(r[0], r[1]) for r in got] == [(219021240, 232018267)]
+    assert got[0][2] == 0.0

@@ -1,6 +1,7 @@
 """Plan-shape checks: the scale properties the design relies on."""
 
 from vesselflow.operators import clean as C
+from vesselflow.operators.index import hour_bucket
 from vesselflow.plans import detect as D
 from vesselflow.plans.queries import _raw
 from vesselflow.sources.fixture import raw_pings
@@ -11,18 +12,17 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cleaning_uses_hash_aggregates_and_minute_split(spark):
+def test_cleaning_splits_vessels_by_hour(spark):
     p = plan(D.clean_bucketed(_raw(spark, SF_SMALL)))
-    assert "SortAggregate" not in p
-    assert "hashpartitioning(MMSI" in p and "TimeBucket" in p
+    assert "hashpartitioning(MMSI" in p and "_hour" in p
     # no shuffle keyed by the vessel id alone for the full ping rows: the only
-    # MMSI-only exchange is the per-minute marker table feeding the chunk lag
+    # MMSI-only exchange is the per-hour marker table feeding the chunk lag
     assert p.count("Window") >= 2
 
 
 def test_detection_has_no_pair_expansion(spark):
-    lazy = D.detect(D.clean_bucketed(_raw(spark, SF_SMALL)))
-    p = plan(lazy)
+    p = plan(D.close_events(D.clean_bucketed(_raw(spark, SF_SMALL))))
+    assert p.count("Join") == 1
     assert "CartesianProduct" not in p
     assert "sub_lat" in p and "sub_lon" in p
     # the only nested-loop join allowed is none at all
@@ -65,3 +65,14 @@ def test_interval_joins_key_on_vessel_and_time_slot(spark):
         assert any("MMSI" in k and "_slot" in k for k in keys)
         # no join on the vessel id alone (a vessel's whole history in one task)
         assert not any(k.split(": ", 1)[1].startswith("[MMSI") and "," not in k.split(": ", 1)[1] for k in keys)
+
+
+def test_marker_rows_are_few(spark):
+    """The rows carried across chunk edges stay below a twentieth of the pings."""
+    base = C.clean_until_coordinates(_raw(spark, "/root/testdata/sf0.1")).withColumn("h", hour_bucket("Timestamp"))
+    assert base.select("MMSI", "h").distinct().count() < 0.05 * base.count()
+
+
+def test_plans_hold_no_pair_join_after_the_close_events_are_stored(spark):
+    p = plan(D.validated_events(D.clean_bucketed(_raw(spark, SF_SMALL))))
+    assert "sub_lat" not in p
