@@ -88,8 +88,9 @@ EXAMPLES = 60
 STEPS, RATE, RIDGE = 200, 0.3, 1e-4
 #: Share of a template's 2-grams that a paragraph must hold.
 CONFIRMED = 0.6
-#: Probability of "unknown" from which a paragraph counts as licence talk.
-LEAST_UNKNOWN = 0.9
+#: Probability of "unknown" from which a paragraph counts as licence talk, at least and at most; between them the
+#: highest that a held-out corpus line gets.
+UNKNOWN_FROM, UNKNOWN_TO = 0.9, 0.995
 #: Share of held-out "none" and "unknown" examples that may pass as a family, at most.
 MISTAKES = 0.005
 
@@ -124,8 +125,8 @@ def _bins(keys: np.ndarray) -> np.ndarray:
 class Classifier:
     """Weights by feature and class (the last row is the bias), temperature, threshold, and the templates' 2-grams."""
 
-    def __init__(self, weights: np.ndarray, temperature: float = 1.0, threshold: float = 0.5):
-        self.weights, self.temperature, self.threshold = weights, temperature, threshold
+    def __init__(self, weights: np.ndarray, temperature: float = 1.0, threshold: float = 0.5, unknown: float = UNKNOWN_FROM):
+        self.weights, self.temperature, self.threshold, self.unknown = weights, temperature, threshold, unknown
         self.templates = {}
         for family, texts in TEMPLATES.items():
             grams, n = _grams(*_strings(texts))
@@ -154,8 +155,8 @@ class Classifier:
             held = set(keys[a:b].tolist())
             close = max((len(held & t) / max(1, len(t)) for t in self.templates[CLASSES[best[k]]]), default=0)
             if p[k, best[k]] < self.threshold or close < CONFIRMED:
-                best[k] = unknown if p[k, none] < 1 - LEAST_UNKNOWN else none
-        best[(best == unknown) & (p[:, none] > 1 - LEAST_UNKNOWN)] = none
+                best[k] = unknown if 1 - p[k, none] >= self.unknown else none
+        best[(best == unknown) & (1 - p[:, none] < self.unknown)] = none
         return best
 
 
@@ -203,7 +204,8 @@ def fit(lines: list[str], seed: int = 7) -> Classifier:
     temperature = min(losses, key=losses.get)
     p = _softmax(logits / temperature)[truth >= len(TEMPLATES), : len(TEMPLATES)].max(axis=1, initial=0)
     threshold = max(0.5, float(np.quantile(p, 1 - MISTAKES)) if len(p) else 0.5)
-    return Classifier(weights, temperature, min(threshold, 0.95))
+    talk = 1 - _softmax(logits / temperature)[truth == len(CLASSES) - 1, -1]
+    return Classifier(weights, temperature, min(threshold, 0.95), float(np.clip(talk.max(initial=0), UNKNOWN_FROM, UNKNOWN_TO)))
 
 
 def _descend(texts: list[str], classes: np.ndarray) -> np.ndarray:
