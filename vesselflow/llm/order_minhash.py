@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from vesselflow.llm.components import components
 from vesselflow.llm.stage import join_groups, key_filter, passes_filter, ship, staged, whole_text
-from vesselflow.llm.textbatch import Hasher, chunks, mix64, repeats, spans, windows
+from vesselflow.llm.textbatch import Hasher, chunks, mix64, release_memory, repeats, spans, windows
 
 WORDS = 5
 SKETCHES = 24
@@ -100,6 +100,7 @@ def _sketch(texts: pa.Array) -> pa.Array:
             words_out.append(small[a:b].tobytes())
         lengths.append(counts)
         keys += sketch
+    release_memory()
     parts = [
         pa.array(same, pa.binary()),
         pa.array(np.concatenate(lengths) if lengths else [], pa.int64()),
@@ -168,7 +169,9 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 def _verify(a: pa.Array, b: pa.Array) -> pa.Array:
     pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-    return pa.array([similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in pairs], pa.float64())
+    found = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in pairs]
+    release_memory()
+    return pa.array(found, pa.float64())
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vesselflow.llm.stage import ship, whole_text
-from vesselflow.llm.textbatch import Hasher, chunks, per_row, repeats, spans, windows
+from vesselflow.llm.textbatch import Hasher, chunks, per_row, release_memory, repeats, spans, windows
 
 WINDOW = 8
 BLANK = np.zeros(256, bool)
@@ -115,6 +115,7 @@ def _measure(array: pa.Array) -> pa.Array:
             np.add.at(cover, first[own], 1)
             np.add.at(cover, first[own] + WINDOW, -1)
             put("n_repeat_words", per_row(np.cumsum(cover[:-1]) > 0, rows, n))
+    release_memory()
     return pa.StructArray.from_arrays([pa.array(out[m]) for m in MEASURES], names=list(MEASURES))
 
 

@@ -7,6 +7,7 @@ of the chunk or of the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: worker processes live on for later stages, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit integers (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(32))
@@ -49,7 +58,7 @@ def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     _, offsets, data = array.buffers()
     at = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1] if len(array) else np.zeros(1, np.int64)
     buf = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return buf, at
+    return buf[: at[-1]], at
 
 
 def chunks(array: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

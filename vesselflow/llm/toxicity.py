@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vesselflow.llm.stage import ship, whole_text
-from vesselflow.llm.textbatch import chunks, utf8
+from vesselflow.llm.textbatch import chunks, release_memory, utf8
 
 #: Labelled rows that the classifier is fitted on, about (the bound of its sample).
 TRAIN_DOCS = 8000
@@ -113,6 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> tuple[
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("doc_id")
         weights, bias = fit(rows["text"].combine_chunks(), rows["toxic"].to_numpy())
+        release_memory()
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
     model = sample.groupBy(F.lit("all").alias("all")).applyInArrow(run, "weights binary, bias double").first()

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces in one generation of a worker's cache; two generations are held, about 200 bytes a piece.
-GENERATION = 400_000
+GENERATION = 320_000
 #: Longer pieces are not cached.
 MAX_CACHED_BYTES = 256
 
