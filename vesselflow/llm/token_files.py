@@ -32,12 +32,14 @@ LAYOUT = {
     "parquet.page.write-checksum.enabled": "true",
     "compression": "zstd",
 }
+#: Pieces in a generation of a worker's cache: a job that does little else holds more of them.
+GENERATION = 480_000
 SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
 
 
 def _ids(path: str, end_id: int):
     def ids(array: pa.Array) -> pa.Array:
-        words = word_ids(path)
+        words = word_ids(path, GENERATION)
         end = np.array([end_id], words.dtype).tobytes()
         each = [words.encode(x) + end for x in texts_of(array)]
         at = np.concatenate(([0], np.cumsum([len(x) // words.dtype.itemsize for x in each]))).astype(np.int32)

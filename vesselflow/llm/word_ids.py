@@ -43,10 +43,11 @@ def _drops_blanks(spec: dict) -> bool:
 class WordIds(dict):
     """Ids of the pieces of texts, as bytes of ``dtype``; a dictionary from a piece's UTF-8 to them."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, generation: int = GENERATION):
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
+        self.generation = generation
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -86,7 +87,7 @@ class WordIds(dict):
         if ids is None:
             ids = self._piece(piece.decode())
         if len(piece) <= MAX_CACHED_BYTES:
-            if len(self) >= GENERATION:
+            if len(self) >= self.generation:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
@@ -99,8 +100,8 @@ class WordIds(dict):
 
 
 @cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, generation: int = GENERATION) -> WordIds:
+    return WordIds(path, generation)
 
 
 def texts_of(texts: pa.Array) -> list[bytes]:
