@@ -292,6 +292,62 @@ def test_near_copies_are_grouped_and_others_are_not(spark, odd, empty):
     assert order_minhash.drop_near_duplicates(odd).columns == odd.columns
 
 
+def test_word_pairs_lose_no_similar_pair_of_the_rest(spark):
+    rng = random.Random(8)
+    texts = []
+    for n in (1, 4, 5, 9, 10, 30, 60, 60):
+        base = [rng.randrange(12) if n < 60 else rng.randrange(90) for _ in range(n)]
+        for edits in (0, n // 10, n // 5, n // 4):
+            for _ in range(3):
+                text = list(base)
+                for _ in range(edits):
+                    text[rng.randrange(len(text))] = rng.randrange(100)
+                if len(text) > 5 and rng.random() < 0.3:
+                    del text[rng.randrange(len(text))]
+                texts.append(tuple(text))
+    texts = sorted(set(texts))
+    nodes = [(bytes([k]), k % 3 > 0, bytes([k // 5 if k % 2 else 200 + k % 3]), np.array(t, np.uint32).tobytes()) for k, t in enumerate(texts)]
+    assert len(nodes) < 200
+    words = spark.createDataFrame(nodes, "same binary, rest boolean, label binary, words binary")
+    pairs = order_minhash.word_pairs(words).collect()
+    got = {(r["a"][0], r["b"][0]) for r in pairs}
+    assert len(got) == len(pairs) and all(a < b for a, b in got)
+    want = {
+        (a, b)
+        for a in range(len(nodes))
+        for b in range(a + 1, len(nodes))
+        if (nodes[a][1] or nodes[b][1]) and nodes[a][2] != nodes[b][2]
+        and order_minhash.similarity(np.array(texts[a], np.uint32), np.array(texts[b], np.uint32)) > 0
+    }
+    assert len(want) > 40 and want <= got
+
+
+def test_bucket_of_many_classes_is_compared_whole(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(80)]  # most samples of every text fall into it: one bucket, many classes
+    docs = []
+    for k in range(12):
+        own = [word() for _ in range(45)]
+        for c in range(3):
+            own[c] = word()
+            docs.append((10 * k + c, " ".join(passage + own)))
+    got = {r["doc_id"]: r for r in order_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert {d: r["class_id"] for d, r in got.items()} == {d: d // 10 * 10 for d, _ in docs}
+    assert all(r["class_size"] == 3 and r["n_links"] > 0 for r in got.values())
+
+
+def test_near_dedup_drops_only_the_row_of_the_copied_text(spark):
+    rng = random.Random(10)
+    words = ["".join(rng.choice("klmnopqrst") for _ in range(6)) for _ in range(120)]
+    copy, alone, other = " ".join(words), " ".join(reversed(words)), " ".join(words[:10] * 3)
+    near = " ".join([*words[:60], "another", *words[61:]])
+    docs = [(1, copy, 1), (None, near, 2), (None, alone, 3), (7, near, 4), (7, other, 5)]
+    left = order_minhash.drop_near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string, __n int"))
+    assert sorted(r["__n"] for r in left.collect()) == [1, 3, 5]
+
+
+
 # --- 7: toxicity -----------------------------------------------------------------
 def test_toxicity_learns_words_and_keeps_its_hands_off_held_out_rows(spark, odd, empty):
     rng = random.Random(5)

@@ -5,10 +5,11 @@ SKETCHES hash functions takes the KEPT smallest and keeps them in text order; eq
 candidates. Texts in another order of the same words differ, so a collision speaks of edit similarity. Candidates
 are verified by banded alignment of their whole word sequences: 1 - edits / longer length >= SIMILARITY.
 
-Texts with equal words are one node. Nodes of a bucket are compared with the bucket's smallest node; those that
-don't align with it are compared again with the smallest of themselves, ROUNDS times in all; a text is in SKETCHES
-buckets. No pairs within a group are formed, and hot buckets and hot centres are split. Classes are the connected
-components of the verified links.
+Texts with equal words are one node; a text is in SKETCHES buckets. Nodes of a bucket are compared with the bucket's
+smallest node. Those that don't align with it (the rest) are joined exactly with all nodes of such buckets: texts this
+similar share one of their rarest words, so only nodes with a rare word in common (each takes a fifth of its words)
+whose lengths and remaining words allow the similarity are aligned, and only where the links so far leave them in
+different classes. Hot buckets, words and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
 to each other. A text of fewer than WORDS words has one k-mer, all its words. Each row gets its class, repeated ones
@@ -21,7 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesselflow.llm.components import components
@@ -32,7 +33,6 @@ WORDS = 5
 SKETCHES = 24
 KEPT = 3
 SIMILARITY = 0.8
-ROUNDS = 3
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -197,41 +197,84 @@ def _bucketed(members: DataFrame) -> DataFrame:
     return join_groups(members, buckets, ["key"], "n", "inner").where("a != same").drop("n")
 
 
-def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _words_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``same`` (unique) and ``words`` of at least the ``nodes`` (``same``; staged)."""
+    hashed = F.xxhash64("same")
+    near = passes_filter(rows.select("same", "words"), hashed, key_filter(nodes, hashed), "wanted").where("wanted")
+    return near.groupBy("same").agg(F.first("words").alias("words"))
+
+
+def _labelled(words: pa.Array) -> pa.Array:
+    """For each node its words' hashes, each labelled with its occurrence number in the node."""
+    each = [np.frombuffer(x, np.uint32) for x in words.to_pylist()]
+    at = np.concatenate(([0], np.cumsum([len(x) for x in each]))).astype(np.int32)
+    keys = np.concatenate([*each, np.zeros(0, np.uint32)]).astype(np.uint64)
+    _, number = repeats(keys, np.repeat(np.arange(len(each)), np.diff(at)))
+    labelled = mix64(keys + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(labelled.view(np.int64)))
+
+
+def word_pairs(words: DataFrame) -> DataFrame:
+    """All pairs (``a``, ``b``) of a node of the ``rest`` and another of the nodes ``words`` (``same``, ``words``, ``rest``,
+    ``label``) with another label that can have the similarity: none that has it is left out. With at most a fifth of the longer's words
+    edited, the others are common to both, so the rarest fifth of each and one word more (rare words first) hold a
+    common word; and behind the first such word both still have enough words."""
+    most = lambda n: F.floor(F.col(n) * (1 - SIMILARITY) + 1e-9)
+    labelled = F.arrow_udf(_labelled, "array<bigint>")("words")
+    each = words.select("same", "rest", "label", (F.octet_length("words") / 4).cast("long").alias("n_words"), F.explode(labelled).alias("word"))
+    each = staged(each, "rest-words")
+    counts = staged(each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest")), "rest-counts")
+    ranked = join_groups(each, counts, ["word"], "uses", "inner").withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy("uses", "word")))
+    rare = ranked.where((F.col("rank") <= most("n_words") + 1) & (F.col("uses") > 1) & F.col("of_rest"))
+    rare = staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
+    other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"))
+    once = (F.col("label") != F.col("label_b")) & ((F.col("a") < F.col("b")) | ~F.col("rest_b"))
+    pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once).withColumn("longer", F.greatest("n_words", "n_b"))
+    left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b")) + 1
+    pairs = pairs.where(left >= F.col("longer") - most("longer"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _aligned(candidates: DataFrame, rows: DataFrame) -> DataFrame:
+    """The staged ``candidates`` that are links, staged."""
+    ends = staged(candidates.select(F.col("a").alias("same")).union(candidates.select("b")).distinct(), "ends")
+    return staged(verified(candidates, _words_of(rows, ends)), "verified")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``class_id``, ``class_size`` (rows), ``n_links`` (verified links of
     its text with other texts)."""
+    return _classes(docs).select("doc_id", "class_id", "class_size", "n_links")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """As ``near_duplicates``, with ``text_hash``."""
     ship(docs.sparkSession)
     sketch = F.arrow_udf(_sketch, "struct<same: binary, n_words: bigint, words: binary, keys: array<bigint>>")
-    rows = staged(docs.select("doc_id", sketch(whole_text()).alias("s")).select("doc_id", "s.*"), "sketches")
+    text = whole_text()
+    rows = staged(docs.select("doc_id", F.xxhash64(text).alias("text_hash"), sketch(text).alias("s")).select("doc_id", "text_hash", "s.*"), "sketches")
     nodes = staged(
         rows.groupBy("same").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("size"), F.first("n_words").alias("n_words"), F.first("keys").alias("keys")),
         "nodes",
     )
     members = nodes.select("same", "n_words", F.explode("keys").alias("key")).select("key", "same", "n_words")
-    links = None
-    for _ in range(rounds):
-        pairs = staged(_bucketed(members), "bucket-pairs")
-        fits = F.least("n_words", "n_words_a") >= F.lit(SIMILARITY) * F.greatest("n_words", "n_words_a") - 1e-9
-        candidates = pairs.where(fits).select("a", F.col("same").alias("b")).distinct()
-        if links is not None:
-            known = links.select("a", "b")
-            candidates = candidates.join(known, ["a", "b"], "left_anti")
-        candidates = staged(candidates, "candidates")
-        if candidates.isEmpty():
-            break
-        ends = candidates.select(F.col("a").alias("same")).union(candidates.select("b")).distinct()
-        ends = staged(ends, "ends")
-        hashed = F.xxhash64("same")
-        near = passes_filter(rows.select("same", "words"), hashed, key_filter(ends, hashed), "wanted").where("wanted")
-        words = near.groupBy("same").agg(F.first("words").alias("words"))
-        found = staged(verified(candidates, words), "verified")
-        links = found if links is None else links.unionByName(found)
-        # those that don't align with their centre go on, without it
-        settled = found.select("a", F.col("b").alias("same"))
-        members = staged(pairs.join(settled, ["a", "same"], "left_anti").select("key", "same", "n_words"), "unsettled")
-    if links is None:
-        links = nodes.select(F.col("same").alias("a"), F.col("same").alias("b"), F.lit(1.0).alias("similarity")).where(F.lit(False))
+    pairs = staged(_bucketed(members), "bucket-pairs")
+    fits = F.least("n_words", "n_words_a") >= F.lit(SIMILARITY) * F.greatest("n_words", "n_words_a") - 1e-9
+    tried = staged(pairs.where(fits).select("a", F.col("same").alias("b")).distinct(), "candidates")
+    links = _aligned(tried, rows)
+    unsettled = staged(pairs.join(links.select("a", F.col("b").alias("same")), ["a", "same"], "left_anti").select("key", "same"), "unsettled")
     labels = components(links)
+    if not unsettled.isEmpty():
+        near = pairs.join(unsettled.select("key").distinct(), "key", "left_semi")
+        ends = unsettled.select("same", F.lit(True).alias("rest"))
+        for c in ("same", "a"):
+            ends = ends.union(near.select(F.col(c), F.lit(False)))
+        ends = ends.groupBy("same").agg(F.max("rest").alias("rest")).join(labels.withColumnRenamed("node", "same"), "same", "left")
+        ends = staged(ends.withColumn("label", F.coalesce("label", "same")), "rest")
+        candidates = word_pairs(_words_of(rows, ends).join(ends, "same"))
+        found = _aligned(staged(candidates.join(tried, ["a", "b"], "left_anti"), "candidates"), rows)
+        links = links.unionByName(found)
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     marked = labels.join(degree, "node").select(F.col("node").alias("same"), "label", "n_links")
     named = staged(nodes.select("same", "least_id", "size").join(marked, "same", "left").withColumn("label", F.coalesce("label", "same")), "labelled")
@@ -239,11 +282,15 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         named.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("size").alias("class_size"), F.count(F.lit(1)).alias("n_nodes")), "classes"
     )
     by_node = staged(join_groups(named, classes, ["label"], "n_nodes", "inner").select("same", "size", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links")), "by-node")
-    out = join_groups(rows.select("doc_id", "same"), by_node, ["same"], "size", "inner")
-    return out.select("doc_id", "class_id", "class_size", "n_links")
+    return join_groups(rows.select("doc_id", "text_hash", "same"), by_node, ["same"], "size", "inner")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each class the row with the smallest ``doc_id``."""
-    gone = near_duplicates(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of each class the row with the smallest ``doc_id``. An id
+    on rows of several texts goes only where that text's row goes: the join is on the id and the text's hash. Rows of
+    a class without any id all stay."""
+    gone = _classes(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
+    rows = docs.withColumn("__hash", F.xxhash64(whole_text()))
+    same = rows["doc_id"].eqNullSafe(gone["__gone_id"]) & (rows["__hash"] == gone["__gone_hash"])
+    return rows.join(gone, same, "left_anti").drop("__hash")
