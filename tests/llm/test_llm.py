@@ -309,7 +309,7 @@ def test_word_pairs_lose_no_similar_pair_of_the_rest(spark):
     nodes = [(bytes([k]), k % 3 > 0, bytes([k // 5 if k % 2 else 200 + k % 3]), np.array(t, np.uint32).tobytes()) for k, t in enumerate(texts)]
     assert len(nodes) < 200
     words = spark.createDataFrame(nodes, "same binary, rest boolean, label binary, words binary")
-    pairs = order_minhash.word_pairs(words).collect()
+    pairs = order_minhash.word_pairs(order_minhash.rare_words(words)).collect()
     got = {(r["a"][0], r["b"][0]) for r in pairs}
     assert len(got) == len(pairs) and all(a < b for a, b in got)
     want = {

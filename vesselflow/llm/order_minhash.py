@@ -9,7 +9,8 @@ Texts with equal words are one node; a text is in SKETCHES buckets. Nodes of a b
 smallest node. Those that don't align with it (the rest) are joined exactly with all nodes of such buckets: texts this
 similar share one of their rarest words, so only nodes with a rare word in common (each takes a fifth of its words)
 whose lengths and remaining words allow the similarity are aligned, and only where the links so far leave them in
-different classes. Hot buckets, words and centres are split. Classes are the connected components of the verified links.
+different classes. Before that, nodes are compared with the smallest node that has the word, so that large classes
+are whole and form no pairs; unlike texts with the same rare word do form pairs there, in the square of their number. Hot buckets, words and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
 to each other. A text of fewer than WORDS words has one k-mer, all its words. Each row gets its class, repeated ones
@@ -214,24 +215,33 @@ def _labelled(words: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), pa.array(labelled.view(np.int64)))
 
 
-def word_pairs(words: DataFrame) -> DataFrame:
-    """All pairs (``a``, ``b``) of a node of the ``rest`` and another of the nodes ``words`` (``same``, ``words``, ``rest``,
-    ``label``) with another label that can have the similarity: none that has it is left out. With at most a fifth of the longer's words
-    edited, the others are common to both, so the rarest fifth of each and one word more (rare words first) hold a
-    common word; and behind the first such word both still have enough words."""
-    most = lambda n: F.floor(F.col(n) * (1 - SIMILARITY) + 1e-9)
+def _most(n: str):
+    """Edits that the similarity allows at most where the longer text has ``n`` words."""
+    return F.floor(F.col(n) * (1 - SIMILARITY) + 1e-9)
+
+
+def rare_words(words: DataFrame) -> DataFrame:
+    """The rarest fifth, and one more, of the words of each of the nodes ``words`` (``same``, ``words``, ``rest``, ``label``)
+    that a node of the ``rest`` shares with another: ``word``, its ``rank``, and the node's columns. Staged."""
     labelled = F.arrow_udf(_labelled, "array<bigint>")("words")
     each = words.select("same", "rest", "label", (F.octet_length("words") / 4).cast("long").alias("n_words"), F.explode(labelled).alias("word"))
     each = staged(each, "rest-words")
     counts = staged(each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest")), "rest-counts")
     ranked = join_groups(each, counts, ["word"], "uses", "inner").withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy("uses", "word")))
-    rare = ranked.where((F.col("rank") <= most("n_words") + 1) & (F.col("uses") > 1) & F.col("of_rest"))
-    rare = staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
+    rare = ranked.where((F.col("rank") <= _most("n_words") + 1) & (F.col("uses") > 1) & F.col("of_rest"))
+    return staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
+
+
+def word_pairs(rare: DataFrame) -> DataFrame:
+    """All pairs (``a``, ``b``) of a node of the ``rest`` and a node with another label, of the nodes whose ``rare_words``
+    these are, that can have the similarity: none that has it is left out. With at most a fifth of the longer's words
+    edited, the others are common to both, so the rarest fifth of each and one word more (rare words first) hold a
+    common word; and behind the first such word both still have enough words."""
     other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"))
     once = (F.col("label") != F.col("label_b")) & ((F.col("a") < F.col("b")) | ~F.col("rest_b"))
     pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once).withColumn("longer", F.greatest("n_words", "n_b"))
     left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b")) + 1
-    pairs = pairs.where(left >= F.col("longer") - most("longer"))
+    pairs = pairs.where(left >= F.col("longer") - _most("longer"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -271,10 +281,19 @@ def _classes(docs: DataFrame) -> DataFrame:
             ends = ends.union(near.select(F.col(c), F.lit(False)))
         ends = ends.groupBy("same").agg(F.max("rest").alias("rest")).join(labels.withColumnRenamed("node", "same"), "same", "left")
         ends = staged(ends.withColumn("label", F.coalesce("label", "same")), "rest")
-        candidates = word_pairs(_words_of(rows, ends).join(ends, "same"))
-        found = _aligned(staged(candidates.join(tried, ["a", "b"], "left_anti"), "candidates"), rows)
-        links = links.unionByName(found)
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
+        rare = rare_words(_words_of(rows, ends).join(ends, "same"))
+        # first each node with the smallest that has the word, so that large classes are whole before pairs are formed
+        by_word = _bucketed(rare.select(F.col("word").alias("key"), "same", "n_words")).where(fits)
+        pairs = by_word.select("a", F.col("same").alias("b")).distinct()
+        for c in ("a", "b"):
+            pairs = pairs.join(ends.select(F.col("same").alias(c), F.col("label").alias(f"label_{c}")), c)
+        pairs = pairs.where("label_a != label_b").select("a", "b")
+        for step in (lambda: pairs, lambda: word_pairs(rare)):
+            candidates = staged(step().join(tried, ["a", "b"], "left_anti"), "candidates")
+            found = _aligned(candidates, rows)
+            links, tried = links.unionByName(found), tried.unionByName(candidates)
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
+            rare = rare.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left").withColumn("label", F.coalesce("label", "same"))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     marked = labels.join(degree, "node").select(F.col("node").alias("same"), "label", "n_links")
     named = staged(nodes.select("same", "least_id", "size").join(marked, "same", "left").withColumn("label", F.coalesce("label", "same")), "labelled")
