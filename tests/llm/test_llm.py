@@ -322,6 +322,67 @@ def test_word_pairs_lose_no_similar_pair_of_the_rest(spark):
     assert len(want) > 40 and want <= got
 
 
+def similar_pairs(found):
+    """(first, second, similarity) of all pairs of the sketched texts that are similar, by brute force."""
+    words = [np.frombuffer(x["words"], np.uint32) for x in found]
+    for a in range(len(words)):
+        for b in range(a):
+            if 0.8 * max(len(words[a]), len(words[b])) - 1e-9 <= min(len(words[a]), len(words[b])) and found[a]["same"] != found[b]["same"]:
+                s = order_minhash.similarity(words[a], words[b])
+                if s > 0:
+                    yield a, b, s
+
+
+def test_similar_texts_share_a_key():
+    draw = random.Random(5)
+    met = collections.defaultdict(list)
+    for least, most in ((5, 14), (15, 32), (33, 100), (101, 600)):
+        for share in (0.1, 0.15, 0.2):
+            texts = []
+            for _ in range(200):
+                words = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(least, most))]
+                other = list(words)
+                for i in draw.sample(range(len(words)), int(share * len(words) + 1e-9)):
+                    other[i] = f"x{draw.randrange(10**9)}"
+                texts += [" ".join(words), " ".join(other)]
+            found = order_minhash._sketch(pa.array(texts)).to_pylist()
+            met[least, share] = [bool(set(a["keys"]) & set(b["keys"])) or a["same"] == b["same"] for a, b in zip(found[::2], found[1::2], strict=True)]
+    recall = {k: float(np.mean(v)) for k, v in met.items()}
+    assert all(r == 1 for (least, _), r in recall.items() if least < 33), recall
+    assert all(r >= (0.85 if share == 0.2 else 0.97) for (_, share), r in recall.items()), recall
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=40), st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 99)), max_size=8))
+def test_short_similar_texts_share_a_key_always(words, changes):
+    other = list(words)
+    for kind, i, word in changes:
+        other[i : i + (kind > 0)] = [word] if kind < 2 else []
+    a, b = (np.array(x, np.uint64) for x in (words, other[:40]))
+    if len(b) and not np.array_equal(a, b) and order_minhash.similarity(a, b) > 0:
+        assert set(order_minhash.short_keys(a)) & set(order_minhash.short_keys(b))
+
+
+def test_similar_documents_of_a_table_share_a_key():
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].combine_chunks()
+    found = order_minhash._sketch(docs).to_pylist()
+    pairs = list(similar_pairs(found))
+    missed = [(a, b, s) for a, b, s in pairs if not set(found[a]["keys"]) & set(found[b]["keys"])]
+    assert len(pairs) > 50 and not missed, (len(pairs), missed)
+
+
+def test_short_texts_with_a_changed_word_are_grouped(spark):
+    docs, want = [], {}
+    for k, n in enumerate(range(5, 13)):
+        words = [f"t{k}w{i}" for i in range(n)]
+        docs += [(10 * k, " ".join(words)), (10 * k + 1, " ".join([*words[: n // 2], "other", *words[n // 2 + 1 :]]))]
+        want |= {10 * k: 10 * k, 10 * k + 1: 10 * k}
+    got = order_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_bucket_of_many_classes_is_compared_whole(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))

@@ -5,7 +5,11 @@ SKETCHES hash functions takes the KEPT smallest and keeps them in text order; eq
 candidates. Texts in another order of the same words differ, so a collision speaks of edit similarity. Candidates
 are verified by banded alignment of their whole word sequences: 1 - edits / longer length >= SIMILARITY.
 
-Texts with equal words are one node; a text is in SKETCHES buckets. Nodes of a bucket are compared with the bucket's
+Short texts have too few k-mers to sample, so their keys lose no similar pair: where both have at most FEW words, the
+subsequences that are left without the words that may be edited; else, where both have at most SHORT words, all
+k-mers of the length that as many edits can't all break.
+
+Texts with equal words are one node; a text is in a bucket for each of its keys. Nodes of a bucket are compared with the bucket's
 smallest node. Those that don't align with it (the rest) are joined exactly with all nodes of such buckets: texts this
 similar share one of their rarest words, so only nodes with a rare word in common (each takes a fifth of its words)
 whose lengths and remaining words allow the similarity are aligned, and only where the links so far leave them in
@@ -13,13 +17,14 @@ different classes. Before that, nodes are compared with the smallest node that h
 are whole and form no pairs; unlike texts with the same rare word do form pairs there, in the square of their number. Hot buckets, words and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
-to each other. A text of fewer than WORDS words has one k-mer, all its words. Each row gets its class, repeated ones
+to each other. Texts of so few words that none may be edited have no keys. Each row gets its class, repeated ones
 too; a class is named by its smallest ``doc_id``, null ids aside. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +36,11 @@ from vesselflow.llm.stage import join_groups, key_filter, passes_filter, ship, s
 from vesselflow.llm.textbatch import Hasher, chunks, mix64, release_memory, repeats, spans, windows
 
 WORDS = 5
-SKETCHES = 24
-KEPT = 3
+SKETCHES = 64
+KEPT = 2
 SIMILARITY = 0.8
+#: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
+FEW, SHORT = 14, 40
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -69,6 +76,29 @@ def samples(kmers: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _limit(n: int) -> int:
+    """Edits that the similarity allows at most where the longer text has ``n`` words."""
+    return int((1 - SIMILARITY) * n + 1e-9)
+
+
+def _hashed(kind: int, words: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8, salt=bytes([kind])).digest(), "little", signed=True)
+
+
+def short_keys(words: np.ndarray) -> list[int]:
+    """Keys of a text of at most SHORT words. Two such texts that have the similarity share one: of the longer's n words
+    n - edits stay, in order, in both; they lie in edits + 1 runs at most, the longest of which has at least the k-mer's
+    length."""
+    n = len(words)
+    found = set()
+    for m in {k - _limit(k) for k in range(n, FEW + 1) if _limit(k)}:
+        if m <= n:
+            found.update(_hashed(m, words[list(kept)]) for kept in combinations(range(n), m))
+    for size in {-(-(k - _limit(k)) // (_limit(k) + 1)) for k in range(max(n, FEW + 1), SHORT + 1) if n >= k - _limit(k)}:
+        found.update(_hashed(FEW + size, words[i : i + size]) for i in range(n - size + 1))
+    return sorted(found)
+
+
 def _sketch(texts: pa.Array) -> pa.Array:
     same, lengths, words_out, keys = [], [], [], []
     for lo, hi, raw, at in chunks(texts):
@@ -76,24 +106,22 @@ def _sketch(texts: pa.Array) -> pa.Array:
         buf = _FOLD[raw]
         starts, ends, rows = spans(buf, at, _GAP)
         words = Hasher(buf)(starts, ends)
-        kmer, first = windows(words, rows, WORDS)
-        kmer_rows = rows[first]
         counts = np.bincount(rows, minlength=n)
         edges = np.concatenate(([0], np.cumsum(counts)))
-        short = np.flatnonzero((counts > 0) & (counts < WORDS))
-        if len(short):  # one k-mer: all the words
-            whole = np.array([int.from_bytes(hashlib.blake2b(words[edges[r] : edges[r + 1]].tobytes(), digest_size=8).digest(), "little") for r in short], np.uint64)
-            kmer, kmer_rows = np.concatenate((kmer, whole)), np.concatenate((kmer_rows, short))
-            order = np.argsort(kmer_rows, kind="stable")
-            kmer, kmer_rows = kmer[order], kmer_rows[order]
-        have = np.flatnonzero(counts > 0)
         sketch: list[list[int]] = [[] for _ in range(n)]
+        sampled = counts + _limit(SHORT + 1) > SHORT  # may be similar to a text of more than SHORT words
+        have = np.flatnonzero(sampled)
         if len(have):
+            kmer, first = windows(words, rows, WORDS)
+            kmer_rows = rows[first]
+            kmer, kmer_rows = kmer[sampled[kmer_rows]], kmer_rows[sampled[kmer_rows]]
             _, number = repeats(kmer, kmer_rows)
             labelled = mix64(kmer + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
             found = samples(labelled, np.searchsorted(have, kmer_rows), len(have)).view(np.int64)
             for r, row in zip(have.tolist(), found, strict=True):
-                sketch[r] = row
+                sketch[r] = row.tolist()
+        for r in np.flatnonzero((counts > 0) & (counts <= SHORT)).tolist():
+            sketch[r] = sketch[r] + short_keys(words[edges[r] : edges[r + 1]])
         small = words.astype(np.uint32)
         for r in range(n):
             a, b = edges[r], edges[r + 1]
