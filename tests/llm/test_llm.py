@@ -542,6 +542,37 @@ def test_quality_measures(spark, small, odd, empty):
     assert quality_ledger.keep_good(odd).columns == odd.columns
 
 
+def test_clean_texts_of_other_scripts_and_with_long_words_are_kept(spark):
+    draw = random.Random(10)
+    word = lambda letters, least, most: "".join(draw.choices(letters, k=draw.randint(least, most)))
+    spaced = lambda letters, n: " ".join(word(letters, 3, 9) for _ in range(n))
+    han = [chr(c) for c in range(0x4E00, 0x5200)]
+    thai = [chr(c) for c in range(0x0E01, 0x0E2F)]
+    latin, capitals = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    acronyms = " NATO USB "
+    url = "https://example.org/?q=" + word(latin, 2000, 2000)
+    clean = {
+        "cyrillic": spaced("абвгдежзиклмнопрст", 300) + acronyms,
+        "greek": spaced("αβγδεζηθικλμνξοπρστ", 300) + acronyms,
+        "arabic": spaced("ابتثجحخدذرزسشصضطظعغ", 300) + acronyms,
+        "chinese": "。 ".join(word(han, 30, 60) for _ in range(40)) + acronyms,
+        "chinese paragraphs": "\n".join(word(han, 1100, 1200) for _ in range(25)),
+        "thai": " ".join(word(thai, 30, 60) for _ in range(40)),
+        "long url": spaced(latin, 20_000) + " " + url,
+        "url in a short text": spaced(latin, 30) + " " + url[:900],
+    }
+    junk = {
+        "shouted": spaced(capitals, 300),
+        "long words": " ".join(word(latin, 30, 60) for _ in range(60)),
+        "base64": spaced(latin, 30) + " " + word(latin + capitals, 50_000, 50_000),
+    }
+    docs = spark.createDataFrame([(0, k, v) for k, v in (clean | junk).items()], "doc_id int, name string, text string")
+    kept = {r["name"] for r in quality_ledger.keep_good(docs).collect()}
+    assert kept == set(clean)
+    old = {r["name"] for r in quality_ledger.keep_good(docs, quality_ledger.POLICY_2).collect()}
+    assert not old & set(junk) and old < set(clean)
+
+
 def test_ablations(spark):
     rules = [r for r in quality_ledger.RULES if r.name in ("too_few_words", "symbols")]
     a, b = (1 << r.bit for r in rules)

@@ -5,7 +5,9 @@ fails. A policy is a versioned set of rules: applying one, or comparing many, ne
 ledger. ``ablations`` tells for each rule of a policy how many documents fail it, fail only it, and would be kept
 without it, from one aggregation over distinct masks.
 
-Words are ``[^\\x20\\x09-\\x0D]+``. Null text has no words. Each row is judged by itself: repeated rows get equal
+Words are ``[^\\x20\\x09-\\x0D]+``. A rule on letter case or on the length of words judges only what is written in ASCII,
+since other scripts have other letters, and some no blanks between words: an ASCII word is one of whose characters
+more than half are ASCII. Null text has no words. Each row is judged by itself: repeated rows get equal
 results, empty tables give empty ones. Texts are worked on whole; memory is a multiple of a chunk (512 KB) or of the
 longest text.
 """
@@ -31,7 +33,11 @@ NEWLINE[0x0A] = True
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "max_word_chars", "n_stutters")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "max_word_chars", "n_stutters", "n_ascii_words", "ascii_word_chars", "giant_chars")
+#: ``ascii_word_chars`` counts so many characters of an ASCII word at most: a few URLs don't make a text's words long.
+MOST_CHARS = 40
+#: ``giant_chars`` counts the characters of ASCII words with more characters than this.
+GIANT = 1000
 _TYPE = "struct<" + ", ".join(f"{m}: bigint" for m in MEASURES) + ">"
 
 
@@ -44,7 +50,8 @@ class Rule:
     fails: str
 
 
-#: Bits are never given to another rule; new rules take new bits.
+#: Bits are never given to another rule; new rules take new bits. Bits 5 to 7 stay for policy 2: they fail clean texts
+#: of other scripts, and long texts for one long word.
 RULES = (
     Rule(0, "too_few_words", "n_words < 20"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 30 * n_words"),
@@ -55,6 +62,9 @@ RULES = (
     Rule(6, "upper_case", "10 * n_upper > 6 * n_letters"),
     Rule(7, "giant_word", "max_word_chars > 1000"),
     Rule(8, "stutter", "100 * n_stutters > 30 * n_words"),
+    Rule(9, "ascii_upper_case", "10 * n_upper > 6 * n_letters and 2 * n_letters > word_chars"),
+    Rule(10, "ascii_words_long", "ascii_word_chars > 20 * n_ascii_words and 2 * n_ascii_words > n_words"),
+    Rule(11, "giant_words", "2 * giant_chars > word_chars"),
 )
 
 
@@ -72,7 +82,8 @@ class Policy:
 
 
 BASE = Policy("base", ("too_few_words", "repeated_windows"))
-POLICY = Policy("2", tuple(r.name for r in RULES))
+POLICY_2 = Policy("2", tuple(r.name for r in RULES if r.bit < 9))
+POLICY = Policy("3", tuple(r.name for r in RULES if r.bit not in (5, 6, 7)))
 
 
 def _measure(array: pa.Array) -> pa.Array:
@@ -91,8 +102,14 @@ def _measure(array: pa.Array) -> pa.Array:
         put("n_letters", by_byte(upper | ((buf >= 0x61) & (buf <= 0x7A))))
         code_points = np.concatenate(([0], np.cumsum(lead, dtype=np.int64)))
         longest = np.zeros(n, np.int64)
-        np.maximum.at(longest, rows, code_points[ends] - code_points[starts])
+        chars = code_points[ends] - code_points[starts]
+        np.maximum.at(longest, rows, chars)
         put("max_word_chars", longest)
+        ascii_before = np.concatenate(([0], np.cumsum(buf < 0x80, dtype=np.int64)))
+        in_ascii = 2 * (ascii_before[ends] - ascii_before[starts]) > chars
+        put("n_ascii_words", per_row(in_ascii, rows, n))
+        put("ascii_word_chars", per_row(np.where(in_ascii, np.minimum(chars, MOST_CHARS), 0), rows, n))
+        put("giant_chars", per_row(np.where(in_ascii & (chars > GIANT), chars, 0), rows, n))
 
         hashed = Hasher(buf)
         l0, l1, line_rows = spans(buf, at, NEWLINE)
