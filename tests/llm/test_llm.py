@@ -191,6 +191,45 @@ def test_licence_scan_of_awkward_rows(spark, odd, empty):
     assert got[2]["families"] == []
 
 
+WRAPPED = {
+    "gpl-3.0": """/* This program is free software: you can redistribute it and/or modify it
+ * under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */""",
+    "gpl-2.0": """# This program is free software; you can redistribute it and/or modify it
+# under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version 2 of the License, or
+# (at your option) any later version.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction""",
+}
+
+
+def test_wrapped_licence_paragraphs_are_found_whole(spark, small):
+    model = licenses.train(spark.createDataFrame(small[["doc_id", "text"]], "doc_id bigint, text string"))
+    filler = "\n".join(["some line of other words here"] * 3)
+    rows, want = [], {}
+    for family, text in WRAPPED.items():
+        for form in (text, text.replace("\n", " "), f"{filler}\n{text}\n{filler}", f"{filler}\n\n{text}\n\n{filler}", f"{'other words ' * 100}{text} {'other words ' * 100}"):
+            want[len(rows)] = [family]
+            rows.append((len(rows), form))
+    want[len(rows)] = sorted(WRAPPED)
+    rows.append((len(rows), "\n\n".join(WRAPPED.values())))
+    want[len(rows)] = ["isc"]
+    rows.append((len(rows), f"{WRAPPED['isc']}\n{WRAPPED['isc']}"))
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    assert {k: r["families"] for k, r in got.items()} == want
+    assert all(r["n_known"] == len(want[k]) for k, r in got.items())
+
+
 # --- 4, 6: exact copies and lines ------------------------------------------------------
 def fold(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")

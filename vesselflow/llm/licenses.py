@@ -1,11 +1,14 @@
 """Licence scan: a trained paragraph classifier with a calibrated unknown class and a template comparison.
 
-Paragraphs are lines. A softmax regression over hashed word 1- to 3-grams tells licence families, "unknown" (licence
+Paragraphs are runs of lines that hold words, so wrapped wordings are whole. In each, the stretches of words that hold most
+of the k-grams of a template are judged first; of stretches that overlap, the one that holds the largest share of
+its template. Lines without a stretch that counts are judged by themselves. A softmax regression over hashed word 1- to 3-grams tells licence families, "unknown" (licence
 talk of no known family) and "none" apart. It is trained on the templates below (words dropped, replaced or
 surrounded by corpus words), on made-up licence names for "unknown", and on at most NONE_LINES lines of the corpus for
 "none". Its temperature is fitted on held-out examples, and a family's probability must reach a threshold that the
 held-out examples set. A family stands only if the paragraph also holds most of the k-grams of one of its templates;
-where it doesn't, the paragraph counts as unknown.
+where it doesn't, the paragraph counts as unknown. A stretch that holds nearly all of one family's template needs
+no probability. Each family counts once for a paragraph.
 
 Null and empty texts have no paragraphs. Each row is scanned, repeated ones too; empty tables give empty results;
 other columns are not read.
@@ -88,6 +91,10 @@ EXAMPLES = 60
 STEPS, RATE, RIDGE = 200, 0.3, 1e-4
 #: Share of a template's 2-grams that a paragraph must hold.
 CONFIRMED = 0.6
+#: Share from which the template alone decides, if it is larger than that of any other family's.
+VERBATIM = 0.9
+#: Words of a stretch, at most, for each word of the template.
+STRETCH = 1.5
 #: Probability of "unknown" from which a paragraph counts as licence talk, at least and at most; between them the
 #: highest that a held-out corpus line gets.
 UNKNOWN_FROM, UNKNOWN_TO = 0.9, 0.995
@@ -133,6 +140,58 @@ class Classifier:
             keys, rows = grams[1]
             self.templates[family] = [set(keys[rows == k].tolist()) for k in range(n)]
 
+        each = [(CLASSES.index(f), t) for f, ts in self.templates.items() for t in ts]
+        self.family_of = [f for f, _ in each]
+        self.sizes = np.array([len(t) for _, t in each])
+        pairs = sorted((key, k) for k, (_, t) in enumerate(each) for key in t)
+        self.gram_keys = np.array([key for key, _ in pairs], np.uint64)
+        self.gram_templates = np.array([k for _, k in pairs], np.int64)
+
+    def stretches(self, buf: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, int, bool]]:
+        """(row, paragraph, start, end, class, verbatim) of the stretches that hold most of a template, without overlaps."""
+        folded = _FOLD[buf]
+        starts, ends, rows = spans(folded, at, _GAP)
+        if not len(starts):
+            return []
+        line = np.cumsum(buf == 0x0A)[starts]
+        paragraph = np.cumsum(np.concatenate(([False], (line[1:] > line[:-1] + 1) | (rows[1:] != rows[:-1]))))
+        keys, first = windows(Hasher(folded)(starts, ends), paragraph, 2)
+        lo, hi = np.searchsorted(self.gram_keys, keys, "left"), np.searchsorted(self.gram_keys, keys, "right")
+        hit = np.flatnonzero(hi > lo)
+        n = (hi - lo)[hit]
+        which = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        template, place, key = self.gram_templates[which], np.repeat(first[hit], n), np.repeat(keys[hit], n)
+        order = np.lexsort((place, template, paragraph[place]))
+        template, place, key = template[order], place[order], key[order]
+        group = paragraph[place] * len(self.sizes) + template
+        edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, np.int64)
+        by_paragraph = defaultdict(list)  # a template once in each
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            t = int(template[a])
+            if b - a < CONFIRMED * self.sizes[t]:
+                continue
+            best, held, left = (0, 0, 0), defaultdict(int), a
+            for right in range(a, b):
+                held[key[right]] += 1
+                while place[right] - place[left] > STRETCH * self.sizes[t] or held[key[left]] > 1:
+                    held[key[left]] -= 1
+                    if not held[key[left]]:
+                        del held[key[left]]
+                    left += 1
+                best = max(best, (len(held), -int(place[left]), int(place[right]) + 1), key=lambda x: x[0])
+            share = best[0] / self.sizes[t]
+            if share >= CONFIRMED:
+                by_paragraph[int(paragraph[place[a]])].append((share, int(self.sizes[t]), -best[1], best[2], self.family_of[t]))
+        out = []
+        for number, found in by_paragraph.items():
+            taken = []
+            for share, _, a, b, family in sorted(found, key=lambda x: (-x[0], -x[1], x[2])):
+                if all(b < x or y < a for x, y in taken):
+                    rival = any(f != family and s >= share and a <= y and x <= b for s, _, x, y, f in found)
+                    taken.append((a, b))
+                    out.append((int(rows[a]), number, int(starts[a]), int(ends[b]), family, share >= VERBATIM and not rival))
+        return out
+
     def logits(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         grams, n = _grams(buf, at)
         total, sizes = np.zeros((n, len(CLASSES))), np.zeros(n)
@@ -251,9 +310,23 @@ def _scan(shared):
             starts, ends, rows = spans(buf, at, _LINE)
             found = defaultdict(lambda: defaultdict(int))
             if len(starts):
+                none = len(CLASSES) - 1
+                covered, known = np.zeros(len(starts), bool), set()
+                stretches = model.stretches(buf, at)
+                if stretches:
+                    held = [buf[a:b].tobytes() for _, _, a, b, _, _ in stretches]
+                    edges = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int64)
+                    judged = model.families(np.frombuffer(b"".join(held), np.uint8), edges)
+                    for (row, paragraph, a, b, family, sure), best in zip(stretches, judged.tolist(), strict=True):
+                        best = family if sure else best
+                        if best != none:
+                            covered[np.searchsorted(starts, a, "right") - 1 : np.searchsorted(starts, b)] = True
+                            if (paragraph, best) not in known:
+                                known.add((paragraph, best))
+                                found[row][CLASSES[best]] += 1
                 lines = np.append(starts, len(buf))  # a line's feed goes with it and is no word
                 best = model.families(buf[starts[0] :], lines - starts[0])
-                for k in np.flatnonzero(best != len(CLASSES) - 1):
+                for k in np.flatnonzero((best != none) & ~covered):
                     found[int(rows[k])][CLASSES[best[k]]] += 1
             for r in range(hi - lo):
                 got = dict(found.get(r, {}))
