@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, licenses, line_runs, order_minhash, packing, quality_ledger, token_counts, token_files, toxicity, viterbi
+from vesselflow.llm import exact_dedup, licenses, line_runs, order_minhash, packing, quality_ledger, term_pointers, token_counts, token_files, toxicity, viterbi
 from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,39 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rows = licenses.scan(docs, licenses.train(docs))
     return rows.select("doc_id", F.array_join("families", ",").alias("families"), "n_known", "n_unknown")
+
+
+@query(
+    "op11_source_divergence",
+    """
+    WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, row_number() OVER () AS doc FROM documents),
+    t AS (
+      SELECT lang, source, doc, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+      FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs FROM t GROUP BY ALL),
+    k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+    v AS (SELECT lang, count(*) AS terms, sum(n) AS total FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    n AS (SELECT g.lang, g.source, coalesce(sum(c.n) FILTER (k.term IS NOT NULL), 0) AS total
+          FROM g LEFT JOIN c USING (lang, source) LEFT JOIN k USING (lang, term) GROUP BY ALL),
+    p AS (
+      SELECT n.lang, n.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (n.total + v.terms)::HUGEINT AS p,
+        1 + (1000000000::HUGEINT * (k.n + 1)) // (v.total + v.terms)::HUGEINT AS q
+      FROM n JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    pairs AS (
+      SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    r AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+    o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r)
+    SELECT * FROM o WHERE part = 'pair' OR rank <= 200
+    """,
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pointers.audit(documents(spark, sf_dir))
