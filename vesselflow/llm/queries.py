@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vesselflow.llm import exact_dedup, licenses, line_runs, order_minhash, packing, quality_ledger, term_pointers, token_counts, token_files, toxicity, viterbi
+from vesselflow.llm import bond_scan, exact_dedup, licenses, line_runs, order_minhash, packing, pivot_simhash, quality_ledger, term_pointers, token_counts, token_files, toxicity, viterbi
 from vesselflow.llm.stage import stage_path, whole_text
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,36 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_pointers.audit(documents(spark, sf_dir))
+
+
+@query("op12_pivot_simhash")
+def op12_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.vector, r.vector)::BIGINT AS score
+      FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+    p AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+      s.vec_id AS negative_id, positive_score, s.score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+    QUALIFY rank <= 3
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    rows = bond_scan.participants(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+    return bond_scan.hard_negatives(rows, F.col("vec_id") % 50 == 0)
