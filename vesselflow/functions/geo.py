@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 
+from vesselflow.functions.numbertext import fixed_text_sql
 from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.params import DEFAULT, Params
 
@@ -76,5 +77,5 @@ def bearing_text(rel_bearing, heading) -> Column:
     """Display text; every band prints the same wording."""
     return col(
         f"CASE WHEN {ref(heading)} IS NULL THEN 'Unknown (missing heading)'"
-        f" ELSE format_string('relative bearing %.1f°', {ref(rel_bearing)}) END"
+        f" ELSE concat('relative bearing ', {fixed_text_sql(ref(rel_bearing), 1)}, '°') END"
     )

@@ -9,16 +9,20 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 from vesselflow.functions.geo import acos_distance_sql
 from vesselflow.functions.sqltext import col, one_of, num, ref, strings
-from vesselflow.operators.index import HOUR, hour_bucket, minute_bucket
+from vesselflow.operators.index import HOUR, SLICE, cell_index, hour_bucket, minute_bucket
 from vesselflow.operators.sequence import with_previous
 from vesselflow.params import DEFAULT, Params
 
+#: Finest grid for zones, the factor to the next coarser one, and the zones whose cells are broadcast at most.
+ZONE_CELL_DEG = 1.0
+ZONE_GRID_STEP = 8.0
+ZONE_BROADCAST = 100_000
 #: Fixed-width parts of a timestamp format, in ISO order.
 _PARTS = ("yyyy", "MM", "dd", "HH", "mm", "ss")
 
@@ -118,8 +122,10 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
     the time between them (NULL for its first ping or a zero/negative gap).
 
     Previous ping = previous row by (Timestamp, Latitude, Longitude) within
-    MMSI, found by ``with_previous`` split by hour so no vessel lands in one
-    task. ``chunk`` names an existing hour column to reuse.
+    MMSI, found by ``with_previous`` split by hour, and flooded hours in
+    slices, so neither a vessel nor one of its hours bounds a task. ``chunk``
+    names an existing hour column to reuse; then ``SLICE`` stays too, where an
+    hour is flooded. Reads ``df`` twice.
     """
     tmp = chunk is None
     if tmp:
@@ -132,6 +138,8 @@ def with_implied_speed(df: DataFrame, p: Params = DEFAULT, chunk: str | None = N
         order=["Timestamp", "Latitude", "Longitude"],
         values=["Latitude", "Longitude", "Timestamp"],
         prefix="prev_",
+        limit=p.flood_rows,
+        keep_slice=not tmp,
     )
     hours = col(f"timestampdiff(SECOND, `prev_Timestamp`, `Timestamp`) / {num(3600)}")
     dist = acos_distance_sql("prev_Latitude", "prev_Longitude", "Latitude", "Longitude", p)
@@ -177,13 +185,48 @@ def _port_box_sql(la, lb, oa, ob) -> str:
 
 
 def outside_ports(p: Params = DEFAULT) -> Column:
-    """Outside every box; TRUE for an empty list."""
+    """Outside every box, as one predicate; TRUE for an empty list."""
     return col("(" + (" AND ".join(f"NOT {_port_box_sql(la, lb, oa, ob)}" for _, la, lb, oa, ob in p.port_zones) or "TRUE") + ")")
 
 
+def zone_cells(spark: SparkSession, p: Params = DEFAULT) -> dict[float, DataFrame]:
+    """The boxes by cell size, each as the cells it covers: ``zone_lat``, ``zone_lon`` and the bounds. A box is put in the
+    finest grid whose cells are as large as the box, so it covers four of them at most."""
+    by_size: dict[float, list[tuple]] = {}
+    for _, la, lb, oa, ob in p.port_zones:
+        size = ZONE_CELL_DEG
+        while size < max(lb - la, ob - oa):
+            size *= ZONE_GRID_STEP
+        by_size.setdefault(size, []).append((float(la), float(lb), float(oa), float(ob)))
+    out = {}
+    for size, boxes in sorted(by_size.items()):
+        zones = spark.createDataFrame(boxes, "lat_min double, lat_max double, lon_min double, lon_max double")
+        span = lambda lo, hi, size=size: F.explode(F.sequence(cell_index(lo, size), cell_index(hi, size)))
+        out[size] = zones.withColumn("zone_lat", span("lat_min", "lat_max")).withColumn("zone_lon", span("lon_min", "lon_max"))
+    return out
+
+
 def filter_port_zones(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Drop pings inside any port box (bounds inclusive), one test per box."""
-    return df.filter(outside_ports(p))
+    """Drop pings inside any port box (bounds inclusive).
+
+    Boxes and pings meet by grid cell (an anti join for each grid in use), then the exact test decides, so a list of
+    ten thousand boxes costs a ping as much as a short one. The cells, four for a box at most, are broadcast
+    up to ``ZONE_BROADCAST`` boxes; beyond that Spark chooses the join. An empty list keeps all. Pings without a
+    position (which C5 drops) are dropped.
+    """
+    if not p.port_zones:
+        return df
+    out = df.filter(F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull())
+    for size, cells in zone_cells(df.sparkSession, p).items():
+        cells = F.broadcast(cells) if len(p.port_zones) <= ZONE_BROADCAST else cells
+        inside = (
+            (cell_index("Latitude", size) == F.col("zone_lat"))
+            & (cell_index("Longitude", size) == F.col("zone_lon"))
+            & F.col("Latitude").between(F.col("lat_min"), F.col("lat_max"))
+            & F.col("Longitude").between(F.col("lon_min"), F.col("lon_max"))
+        )
+        out = out.join(cells, inside, "left_anti")
+    return out
 
 
 # --- C8 -----------------------------------------------------------------------
@@ -226,13 +269,12 @@ def clean_pings(df: DataFrame, p: Params = DEFAULT, keep_bucket: bool = False) -
     ``keep_bucket`` the minute is kept as ``TimeBucket`` and the hour that
     splits the jump filter as ``HOUR``; rows then stay hash-partitioned by
     (MMSI, hour), which per-vessel-minute windows that include the hour reuse
-    without another shuffle.
+    without another shuffle (``SLICE`` too, where a vessel-hour is flooded).
     """
     base = clean_until_coordinates(df, p).withColumns(
-        {"TimeBucket": minute_bucket("Timestamp"), HOUR: hour_bucket("Timestamp")}
+        {"TimeBucket": minute_bucket("Timestamp", p.bucket_minutes), HOUR: hour_bucket("Timestamp")}
     )
     after = with_implied_speed(base, p, HOUR)
-    out = after.filter(
-        plausible_speed(p) & region_ok(p) & outside_ports(p) & ship_type_ok(p) & moving_ok(p)
-    ).drop("implied_speed_kn")
-    return out if keep_bucket else out.drop("TimeBucket", HOUR)
+    out = after.filter(plausible_speed(p) & region_ok(p) & ship_type_ok(p) & moving_ok(p)).drop("implied_speed_kn")
+    out = filter_port_zones(out, p)
+    return out if keep_bucket else out.drop("TimeBucket", HOUR, SLICE)

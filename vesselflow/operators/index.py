@@ -14,10 +14,14 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
 
 
-def minute_bucket(ts) -> Column:
-    """Truncate a TIMESTAMP_NTZ to the minute without a time-zone round trip."""
+def minute_bucket(ts, minutes: int = 1) -> Column:
+    """Start of the ``minutes``-wide bucket holding a TIMESTAMP_NTZ, without a time-zone round trip. Buckets start at
+    the full hour, so ``minutes`` divides 60."""
+    if 60 % minutes:
+        raise ValueError(f"bucket width of {minutes} minutes: expected a divisor of 60")
     t = _c(ts)
-    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.date_part(F.lit("SECOND"), t))
+    over = F.pmod(epoch_minutes(t), F.lit(minutes)).cast("int") if minutes > 1 else F.lit(0)
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), over, F.date_part(F.lit("SECOND"), t))
 
 
 def epoch_minutes(ts) -> Column:
@@ -32,6 +36,8 @@ def window_bucket(ts, minutes: int) -> Column:
 
 #: Helper column that splits per-vessel work; hidden from results.
 HOUR = "_hour"
+#: Helper column that splits flooded vessel-hours; 0 in the others. Only there where a vessel-hour is flooded.
+SLICE = "_slice"
 
 
 def hour_bucket(ts) -> Column:

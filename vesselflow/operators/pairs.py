@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from vesselflow.functions.geo import acos_distance_nm, haversine_distance_nm
 from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.functions.kinematics import dcpa_nm, fine_pair_dcpa, relative_position, relative_velocity, tcpa_hours
-from vesselflow.operators.index import HOUR, add_fine_index, add_grid_index
+from vesselflow.operators.index import HOUR, SLICE, add_fine_index, add_grid_index
+from vesselflow.operators.skew import attach, largest_group, split_join
 from vesselflow.params import DEFAULT, Params
+from vesselflow.plans.checkpoint import materialize
 
 SIDE_COLUMNS = (
     "MMSI",
@@ -51,18 +53,26 @@ def pings_per_vessel_minute(indexed: DataFrame) -> DataFrame:
 
 
 def _minute_keys(indexed: DataFrame) -> list[str]:
-    """(MMSI, minute), with the hour where the rows are still partitioned by (MMSI, hour)."""
+    """(MMSI, time bucket), with the hour where the rows are still partitioned by (MMSI, hour)."""
     return ["MMSI", *([HOUR] if HOUR in indexed.columns else []), "TimeBucket"]
 
 
 def with_minute_counts(indexed: DataFrame) -> DataFrame:
-    """Pings of the same vessel in the same minute, as column ``n_pings``.
+    """Pings of the same vessel in the same time bucket, as column ``n_pings``.
 
     A window on (MMSI, hour, TimeBucket); after ``clean_pings(keep_bucket=True)``
     the rows are already partitioned by (MMSI, hour), so no shuffle is added.
+    Rows of flooded vessel-hours (``SLICE`` above 0) get the counts of a partial
+    aggregate instead, which no bucket's size bounds.
     """
-    w = Window.partitionBy(*_minute_keys(indexed))
-    return indexed.withColumn("n_pings", F.count(F.lit(1)).over(w))
+    keys = _minute_keys(indexed)
+    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("n_pings")
+    if SLICE not in indexed.columns:
+        return indexed.select("*", counted)
+    stored = materialize(indexed)
+    hot = stored.where(F.col(SLICE) > 0)
+    counts = materialize(hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pings")))
+    return stored.where(F.col(SLICE) == 0).select("*", counted).unionByName(attach(hot, counts, keys, "n_pings"))
 
 
 # --- J1 -----------------------------------------------------------------------
@@ -119,7 +129,10 @@ def candidate_pairs(indexed: DataFrame, p: Params = DEFAULT, carry: tuple[str, .
 
     ``indexed`` needs ``TimeBucket``. With ``p.pair_join == "subgrid"`` only
     pairs that can be within ``p.max_distance_nm`` are produced (exactly
-    those the close-event filter can keep). ``carry`` lists extra per-ping
+    those the close-event filter can keep). Where a (minute, cell) has more than
+    ``p.flood_cell_rows`` pings, the sub-cells that have are split in blocks
+    (``split_join``), so they don't bound a task. Runs a job for the largest
+    cell, and reads ``indexed`` several times: pass a stored table. ``carry`` lists extra per-ping
     columns to bring along, suffixed. Output columns: ``<col>_A``,
     ``<col>_B`` for the side columns and carried ones, plus ``TimeBucket``,
     ``grid_lat``, ``grid_lon``.
@@ -142,7 +155,11 @@ def candidate_pairs(indexed: DataFrame, p: Params = DEFAULT, carry: tuple[str, .
     b = _side(indexed, "B", keys + sub + dirs, carry)
     if sub:
         a, b = _explode_axis(a, "lat"), _explode_axis(b, "lon")
-    pairs = a.join(b, on=list(keys + sub), how="inner").filter(F.col("MMSI_A") < F.col("MMSI_B"))
+    if largest_group(indexed, list(keys)) > p.flood_cell_rows:
+        pairs = split_join(a, b, list(keys + sub), p.flood_cell_rows)
+    else:
+        pairs = a.join(b, on=list(keys + sub), how="inner")
+    pairs = pairs.filter(F.col("MMSI_A") < F.col("MMSI_B"))
     return pairs.drop(*sub) if sub else pairs
 
 
@@ -346,7 +363,11 @@ def fine_pairs(clean_bucketed: DataFrame, p: Params = DEFAULT) -> DataFrame:
     sub = ("sub_lat", "sub_lon")
     a = _explode_axis(_side(df, "A", keys + sub + ("_sub_dy", "_sub_dx", "FineCell")), "lat")
     b = _explode_axis(_side(df, "B", keys + sub + ("_sub_dy", "_sub_dx")), "lon")
-    pr = a.join(b, on=list(keys + sub), how="inner").filter(F.col("MMSI_A") < F.col("MMSI_B"))
+    if largest_group(df, list(keys)) > p.flood_cell_rows:
+        pr = split_join(a, b, list(keys + sub), p.flood_cell_rows)
+    else:
+        pr = a.join(b, on=list(keys + sub), how="inner")
+    pr = pr.filter(F.col("MMSI_A") < F.col("MMSI_B"))
     dist = haversine_distance_nm("Latitude_A", "Longitude_A", "Latitude_B", "Longitude_B", p)
     dcpa = fine_pair_dcpa(
         "Latitude_A", "Longitude_A", "Latitude_B", "Longitude_B", "SOG_A", "COG_A", "SOG_B", "COG_B", p

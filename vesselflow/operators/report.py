@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vesselflow.functions.geo import bearing_text, encounter_class, initial_bearing_deg, relative_bearing_deg
+from vesselflow.functions.numbertext import fixed_text_sql
+from vesselflow.functions.sqltext import col, num, ref
 from vesselflow.params import DEFAULT, METRES_PER_NM, Params
 
+# The report's wording and its numbers' decimals, as the original prints them.
 RULE = "─" * 70
 
 
@@ -32,32 +33,35 @@ def result_table(events: DataFrame) -> DataFrame:
 # --- R1 -----------------------------------------------------------------------
 def report_text(events: DataFrame) -> DataFrame:
     """One multi-line report per event (metres = nm * 1852, TCPA in
-    minutes, speeds to one decimal). Built with ``format_string`` per row."""
+    minutes, speeds to one decimal). Numbers are rounded from their exact
+    binary values (``fixed_text``)."""
     na = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    fixed = lambda c, digits, factor=1.0: col(
+        fixed_text_sql(f"(coalesce({ref(c)}, 0D) * {num(factor)})", digits)
+    )
     text = F.format_string(
         "\n" + RULE + "\nCOLLISION EVENT DETAILS\n" + RULE + "\n"
         "Vessel A:        %s (MMSI: %s)\n"
         "Vessel B:        %s (MMSI: %s)\n"
         "Timestamp:       %s UTC\n"
-        "Location:        %.6f°N, %.6f°E\n"
-        "Distance:        %.1f meters\n"
-        "DCPA:            %.1f meters\n"
-        "TCPA:            %.1f minutes\n"
-        "SOG A / B:       %.1f / %.1f knots\n"
+        "Location:        %s°N, %s°E\n"
+        "Distance:        %s meters\n"
+        "DCPA:            %s meters\n"
+        "TCPA:            %s minutes\n"
+        "SOG A / B:       %s / %s knots\n"
         "Ship Type A/B:   %s / %s\n\n" + RULE + "\n",
         na("Name_A"),
         F.col("MMSI_A").cast("string"),
         na("Name_B"),
         F.col("MMSI_B").cast("string"),
         F.col("first_ts").cast("string"),
-        zero("Lat_A"),
-        zero("Lon_A"),
-        zero("vessel_distance_nm") * METRES_PER_NM,
-        zero("DCPA") * METRES_PER_NM,
-        zero("TCPA") * 60.0,
-        zero("SOG_A"),
-        zero("SOG_B"),
+        fixed("Lat_A", 6),
+        fixed("Lon_A", 6),
+        fixed("vessel_distance_nm", 1, METRES_PER_NM),
+        fixed("DCPA", 1, METRES_PER_NM),
+        fixed("TCPA", 1, 60.0),
+        fixed("SOG_A", 1),
+        fixed("SOG_B", 1),
         na("ShipType_A"),
         na("ShipType_B"),
     )
@@ -77,28 +81,11 @@ def event_bearings(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # --- A5 -----------------------------------------------------------------------
-def stage_counts(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """A5: ``stage, stage_order, row_count`` for named stage tables.
+def stage_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """A5: ``stage, stage_order, row_count`` of a run's counts, in the order given.
 
-    Each count is a global aggregate (partial counts per task, one final
-    row); shared shuffles between stages are reused within the plan.
+    The counts come from the jobs that made the stages (``plans.counted``), so
+    no stage is read again for its number.
     """
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("stage"), F.lit(i).alias("stage_order"), "row_count"
-        )
-        for i, (name, df) in enumerate(stages)
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def stage_sums(stages: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Like ``stage_counts`` but sums a count column (for stages produced as
-    pre-aggregated counts)."""
-    parts = [
-        df.agg(F.coalesce(F.sum(col), F.lit(0)).cast("long").alias("row_count")).select(
-            F.lit(name).alias("stage"), F.lit(i).alias("stage_order"), "row_count"
-        )
-        for i, (name, df, col) in enumerate(stages)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(name, i, n) for i, (name, n) in enumerate(counts.items())]
+    return spark.createDataFrame(rows, "stage string, stage_order int, row_count long")

@@ -4,11 +4,12 @@ the closest pairs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesselflow.operators.index import HOUR, hour_bucket, window_bucket
 from vesselflow.operators.sequence import with_previous
+from vesselflow.operators.skew import largest_group, split_join
 from vesselflow.params import DEFAULT, Params
 
 EVENT_KEY = ["MMSI_A", "MMSI_B", "event_ts"]
@@ -62,32 +63,72 @@ def event_trajectories(events: DataFrame, clean: DataFrame, p: Params = DEFAULT)
     """Pings of both vessels within +/- ``trajectory_half_window_min``
     minutes (inclusive) of each event's ``first_ts``, for all events at once.
 
-    One interval join: events expanded to (vessel side, MMSI, time slot) for
-    the slots the window touches (slot width = half window, so at most 3),
-    pings keyed by (MMSI, slot), then the exact range test. Output:
-    ``MMSI_A, MMSI_B, event_ts, vessel`` (A/B) and the ping columns.
+    Overlapping windows of a vessel are merged first (``track_islands``), and
+    each ping meets its one island or goes (``island_pings``); only those are
+    expanded to the events: (vessel side, MMSI, time slot) for the slots a
+    window touches (slot width = half window, so at most 3), then the exact
+    range test. Where a vessel's slot has more than ``p.flood_rows`` pings, the
+    joins split it in blocks. Output: ``MMSI_A, MMSI_B, event_ts, vessel``
+    (A/B) and the ping columns. Runs a job for the largest slot, and reads both
+    inputs several times: pass stored tables.
     """
-    width = p.trajectory_half_window_min
-    half = F.expr(f"INTERVAL {int(width)} MINUTES")
-    ev = events.select(
-        "MMSI_A",
-        "MMSI_B",
-        F.col("first_ts").alias("event_ts"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("A").alias("vessel"), F.col("MMSI_A").alias("MMSI")),
-                F.struct(F.lit("B").alias("vessel"), F.col("MMSI_B").alias("MMSI")),
-            )
-        ).alias("_s"),
-    ).select(*EVENT_KEY, "_s.vessel", "_s.MMSI")
-    ev = ev.withColumn(
-        "_slot", F.explode(F.sequence(window_bucket(F.col("event_ts") - half, width), window_bucket(F.col("event_ts") + half, width)))
+    width, half = p.trajectory_half_window_min, _half_window(p)
+    ev = _sides(events).withColumn("_slot", _slots(F.col("event_ts") - half, F.col("event_ts") + half, width))
+    pings = island_pings(track_islands(events, p), clean, p)
+    j = _slot_join(pings, ev, clean, p).filter(F.col("Timestamp").between(F.col("event_ts") - half, F.col("event_ts") + half))
+    return j.select(*EVENT_KEY, "vessel", *TRAJ_COLUMNS)
+
+
+def _half_window(p: Params) -> Column:
+    return F.expr(f"INTERVAL {int(p.trajectory_half_window_min)} MINUTES")
+
+
+def _slots(lo: Column, hi: Column, width: int) -> Column:
+    """A row for each time slot from ``lo`` to ``hi``."""
+    return F.explode(F.sequence(window_bucket(lo, width), window_bucket(hi, width)))
+
+
+def _sides(events: DataFrame) -> DataFrame:
+    """The events' keys, one row for each of the two vessels."""
+    side = lambda s: F.struct(F.lit(s).alias("vessel"), F.col(f"MMSI_{s}").alias("MMSI"))
+    both = events.select("MMSI_A", "MMSI_B", F.col("first_ts").alias("event_ts"), F.explode(F.array(side("A"), side("B"))).alias("_s"))
+    return both.select(*EVENT_KEY, "_s.vessel", "_s.MMSI")
+
+
+def _slot_join(pings: DataFrame, others: DataFrame, clean: DataFrame, p: Params) -> DataFrame:
+    """The join on (MMSI, time slot); flooded slots of ``clean`` are split."""
+    keys = ["MMSI", "_slot"]
+    slots = clean.select("MMSI", window_bucket("Timestamp", p.trajectory_half_window_min).alias("_slot"))
+    if largest_group(slots, keys) > p.flood_rows:
+        return split_join(pings, others, keys, p.flood_rows)
+    return pings.join(others, keys, "inner")
+
+
+def track_islands(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """``MMSI, island_lo, island_hi``: the union of each vessel's windows as disjoint intervals.
+
+    Windows that start in the same slot overlap, since a slot is half as wide as a window: a partial aggregate merges
+    them first, so what is sorted for a vessel is bounded by the time span, not by its events.
+    """
+    half = _half_window(p)
+    windows = _sides(events).select("MMSI", (F.col("event_ts") - half).alias("lo"), (F.col("event_ts") + half).alias("hi"))
+    windows = windows.groupBy("MMSI", window_bucket("lo", p.trajectory_half_window_min).alias("_slot")).agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
+    along = Window.partitionBy("MMSI").orderBy("_slot")
+    reached = F.max("hi").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    starts = windows.withColumn("_new", F.when(F.col("lo") <= reached, 0).otherwise(1))
+    numbered = starts.withColumn("_island", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("MMSI", "_island").agg(F.min("lo").alias("island_lo"), F.max("hi").alias("island_hi")).drop("_island")
+
+
+def island_pings(islands: DataFrame, clean: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The pings inside an island, each once, with their time slot."""
+    width = p.trajectory_half_window_min
+    cover = islands.withColumn("_slot", _slots(F.col("island_lo"), F.col("island_hi"), width))
     pings = clean.select(*TRAJ_COLUMNS).withColumn("_slot", window_bucket("Timestamp", width))
-    j = ev.join(pings, ["MMSI", "_slot"], "inner").filter(
-        F.col("Timestamp").between(F.col("event_ts") - half, F.col("event_ts") + half)
-    )
-    return j.select(*EVENT_KEY, "vessel", *TRAJ_COLUMNS)
+    inside = F.col("Timestamp").between(F.col("island_lo"), F.col("island_hi"))
+    return _slot_join(pings, cover, clean, p).filter(inside).select(*TRAJ_COLUMNS, "_slot")
 
 
 # --- T3 -----------------------------------------------------------------------
@@ -146,6 +187,29 @@ def trajectory_segments(traj: DataFrame) -> DataFrame:
     )
 
 
+def trajectory_lines(traj: DataFrame) -> DataFrame:
+    """One row for each track with its whole line as WKT, pings in time order (ties by position); a track of one
+    ping is a POINT.
+
+    The line is one value, gathered for each (event, vessel): its size is bounded by the pings that a vessel sends in
+    a window. For tracks too long for one value use ``trajectory_segments``.
+    """
+    point = lambda x: F.concat_ws(" ", x["Longitude"].cast("string"), x["Latitude"].cast("string"))
+    tracks = traj.groupBy(*EVENT_KEY, "vessel", "MMSI").agg(
+        F.array_sort(F.collect_list(F.struct("Timestamp", "Latitude", "Longitude"))).alias("_points")
+    )
+    kind = F.when(F.size("_points") == 1, "POINT (").otherwise("LINESTRING (")
+    return tracks.select(
+        *EVENT_KEY,
+        "vessel",
+        "MMSI",
+        F.size("_points").cast("long").alias("n_points"),
+        F.col("_points")[0]["Timestamp"].alias("start_ts"),
+        F.element_at("_points", -1)["Timestamp"].alias("end_ts"),
+        F.concat(kind, F.array_join(F.transform("_points", point), ", "), F.lit(")")).alias("wkt"),
+    )
+
+
 # --- E4 -----------------------------------------------------------------------
 def trajectory_endpoints(traj: DataFrame, events: DataFrame) -> DataFrame:
     """First and last point of each vessel's track plus the event point.

@@ -86,6 +86,7 @@ class Params:
     rel_speed_sq_floor: float = 0.01
     validate: bool = True
     min_pings_per_minute: int = 2
+    bucket_minutes: int = 1  # width of the time bucket that pairs and counts share; divides 60
 
     # convoy filters (off unless asked for)
     min_sog_diff: float = 2.0
@@ -116,6 +117,11 @@ class Params:
     fallback_sign: str = "reference"  # "reference" | "corrected" relative-velocity sign in fine pairs
     pair_join: str = "subgrid"  # "subgrid" (exact, fewer candidates) | "plain" (minute x 0.5 deg cell)
 
+    # flooded keys: above so many rows a vessel-hour (or a vessel's time slot), and above so many pings a cell and
+    # minute, are split over several tasks
+    flood_rows: int = 1_000_000
+    flood_cell_rows: int = 20_000
+
     # CSV layout
     ts_format: str = CSV_TIMESTAMP_FORMAT
     file_prefix: str = "aisdk"

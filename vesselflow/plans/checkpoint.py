@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _STORED: list[str] = []
 
@@ -36,12 +37,29 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of its rows (``get["rows"]``), filled by the first job that reads all of it."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows written, observed by the job that wrote them."""
+    watched, seen = counted(df)
+    return materialize(watched), seen.get["rows"]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete all tables that ``materialize`` stored in this process; DataFrames over them end."""
     while _STORED:

@@ -4,12 +4,13 @@ times are stored once (``materialize``), which runs a job."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vesselflow.operators import clean as C
 from vesselflow.operators import pairs as P
 from vesselflow.operators.index import HOUR
 from vesselflow.params import DEFAULT, Params
-from vesselflow.plans.checkpoint import materialize
+from vesselflow.plans.checkpoint import counted, materialize, materialize_counted
 
 
 def clean_bucketed(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -31,6 +32,21 @@ def shared_clean(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     return materialize(counted.select(*[c for c in SHARED_COLUMNS if c in counted.columns]))
 
 
+def counted_stages(raw: DataFrame, p: Params = DEFAULT) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The stages of E1 stored one after the other, and A5's row counts: each count is observed by the job that makes the
+    stage (``raw`` by the first that reads it), and the candidates are a sum that those jobs don't have, from partial
+    counts of the stored pings. A failsafe or a jump filter that reads a stage twice doesn't count it twice."""
+    watched, seen = counted(raw, "raw")
+    counted_pings = P.with_minute_counts(clean_bucketed(watched, p))
+    clean_b, n_clean = materialize_counted(counted_pings.select(*[c for c in SHARED_COLUMNS if c in counted_pings.columns]))
+    close, n_close = materialize_counted(close_events(clean_b, p))
+    valid, n_valid = materialize_counted(P.validate_proximity(close, p))
+    final, n_final = materialize_counted(P.best_event_per_pair(valid))
+    candidates = P.candidate_pair_counts(clean_b, p).agg(F.sum("candidate_pairs")).first()[0] or 0
+    counts = {"raw": seen.get["rows"], "clean": n_clean, "candidates": candidates, "close": n_close, "validated": n_valid, "final": n_final}
+    return {"clean": clean_b, "close": close, "validated": valid, "final": final}, counts
+
+
 def pings_of(clean_b: DataFrame) -> DataFrame:
     """The ping columns of a cleaned table (helper columns dropped)."""
     return clean_b.drop("TimeBucket", "n_pings", HOUR)

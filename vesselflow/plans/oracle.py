@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from vesselflow.params import DEFAULT, Params
 from vesselflow.sources.fixture import raw_pings_sql
-from vesselflow.sources.schema import AIS_FIELDS
+from vesselflow.sources.schema import AIS_FIELDS, REQUIRED_COLUMNS
 
 R5 = 5
 
@@ -107,7 +107,7 @@ def ctes(p: Params = DEFAULT) -> list[tuple[str, str]]:
         ("c8", f'SELECT * FROM c7 WHERE "ShipType" NOT IN ({_strs(p.excluded_ship_types)})'
                ' AND "ShipType" IS NOT NULL AND "ShipType" <> \'\''),
         ("clean", f'SELECT * FROM c8 WHERE "SOG" > {_d(p.min_sog)} AND "NavigationalStatus" NOT IN ({_strs(p.stationary_statuses)})'),
-        ("ib", f'SELECT *, date_trunc(\'minute\', "Timestamp") AS "TimeBucket",'
+        ("ib", f'SELECT *, time_bucket(INTERVAL {p.bucket_minutes} MINUTE, "Timestamp", TIMESTAMP \'1970-01-01\') AS "TimeBucket",'
                f' CAST(floor("Latitude" / {_d(p.grid_deg)}) AS BIGINT) AS glat,'
                f' CAST(floor("Longitude" / {_d(p.grid_deg)}) AS BIGINT) AS glon,'
                f' CAST(floor("Latitude" / {_d(p.fine_cell_deg)}) AS BIGINT) AS flat,'
@@ -399,23 +399,18 @@ FROM b1"""
     )
     rule = "─" * 70
 
-    def half_up(x: str, n: int) -> str:
-        """Fixed decimals of the shortest decimal text, half up; a negative value keeps its sign when it rounds to 0."""
-        value = f"round(CAST(CAST(coalesce({x}, 0.0) AS VARCHAR) AS DECIMAL(38, 18)), {n})"
-        sign = f"CASE WHEN {x} < 0 AND {value} = 0 THEN '-' ELSE '' END"
-        return f"{sign} || CAST({value} AS DECIMAL(38, {n}))::VARCHAR"
-
-    metres = lambda x: half_up(f"(coalesce({x}, 0.0) * CAST(1852.0 AS DOUBLE))", 1)
+    fixed = lambda x, n: f"printf('%.{n}f', coalesce({x}, {_d(0.0)}))"
+    metres = lambda x: fixed(f"{x} * {_d(1852.0)}", 1)
     lines = [
         "chr(10) || '" + rule + "' || chr(10) || 'COLLISION EVENT DETAILS' || chr(10) || '" + rule + "' || chr(10)",
         "'Vessel A:        ' || coalesce(Name_A, 'N/A') || ' (MMSI: ' || MMSI_A || ')' || chr(10)",
         "'Vessel B:        ' || coalesce(Name_B, 'N/A') || ' (MMSI: ' || MMSI_B || ')' || chr(10)",
         "'Timestamp:       ' || strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' UTC' || chr(10)",
-        f"'Location:        ' || {half_up('Lat_A', 6)} || '°N, ' || {half_up('Lon_A', 6)} || '°E' || chr(10)",
+        f"'Location:        ' || {fixed('Lat_A', 6)} || '°N, ' || {fixed('Lon_A', 6)} || '°E' || chr(10)",
         f"'Distance:        ' || {metres('vessel_distance_nm')} || ' meters' || chr(10)",
         f"'DCPA:            ' || {metres('"DCPA"')} || ' meters' || chr(10)",
-        f"'TCPA:            ' || {half_up('(coalesce("TCPA", 0.0) * CAST(60.0 AS DOUBLE))', 1)} || ' minutes' || chr(10)",
-        f"'SOG A / B:       ' || {half_up('SOG_A', 1)} || ' / ' || {half_up('SOG_B', 1)} || ' knots' || chr(10)",
+        f"'TCPA:            ' || {fixed(f'"TCPA" * {_d(60.0)}', 1)} || ' minutes' || chr(10)",
+        f"'SOG A / B:       ' || {fixed('SOG_A', 1)} || ' / ' || {fixed('SOG_B', 1)} || ' knots' || chr(10)",
         "'Ship Type A/B:   ' || coalesce(ShipType_A, 'N/A') || ' / ' || coalesce(ShipType_B, 'N/A') || chr(10)",
         "chr(10) || '" + rule + "' || chr(10)",
     ]
@@ -425,4 +420,51 @@ FROM b1"""
   ('candidates', 2, (SELECT count(*) FROM cand)), ('close', 3, (SELECT count(*) FROM close)),
   ('validated', 4, (SELECT count(*) FROM valid)), ('final', 5, (SELECT count(*) FROM best))
 ) AS t(stage, stage_order, row_count)"""
+    q["fixed_decimal_text"] = _with("raw", p) + (
+        'SELECT "MMSI", '
+        + ", ".join(
+            f"CASE WHEN {_q(c)} IS NOT NULL THEN printf('%.{n}f', {_q(c)}) END AS {c.lower()}_{n}"
+            for c in ("Latitude", "Longitude", "SOG", "COG")
+            for n in (1, 2, 6)
+        )
+        + " FROM raw"
+    )
+    q["track_lines"] = _with("best", p, traj) + """SELECT MMSI_A, MMSI_B, event_ts, vessel, "MMSI", count(*) AS n_points,
+  min("Timestamp") AS start_ts, max("Timestamp") AS end_ts,
+  CASE WHEN count(*) = 1 THEN 'POINT (' ELSE 'LINESTRING (' END
+  || string_agg(CAST("Longitude" AS VARCHAR) || ' ' || CAST("Latitude" AS VARCHAR), ', ' ORDER BY "Timestamp", "Latitude", "Longitude") || ')' AS wkt
+FROM traj GROUP BY MMSI_A, MMSI_B, event_ts, vessel, "MMSI\""""
+    half = f"INTERVAL {int(p.trajectory_half_window_min)} MINUTE"
+    q["track_islands"] = _with("valid", p) + f"""SELECT "MMSI", min(lo) AS island_lo, max(hi) AS island_hi FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY "MMSI" ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS island FROM (
+    SELECT *, CASE WHEN lo <= max(hi) OVER (PARTITION BY "MMSI" ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+    FROM (SELECT MMSI_A AS "MMSI", first_ts - {half} AS lo, first_ts + {half} AS hi FROM valid
+          UNION SELECT MMSI_B, first_ts - {half}, first_ts + {half} FROM valid)))
+GROUP BY "MMSI", island"""
+    five = p.with_(bucket_minutes=5)
+    q["five_minute_counts"] = _with("cand", five) + (
+        'SELECT "TimeBucket", vessels, pings, coalesce(candidate_pairs, 0) AS candidate_pairs FROM'
+        ' (SELECT "TimeBucket", count(DISTINCT "MMSI") AS vessels, count(*) AS pings FROM ib GROUP BY "TimeBucket")'
+        ' LEFT JOIN (SELECT "TimeBucket", count(*) AS candidate_pairs FROM cand GROUP BY "TimeBucket") USING ("TimeBucket")'
+    )
+    q["five_minute_events"] = _with("best", five) + f"SELECT {_event_select()} FROM best"
+    q["many_exclusion_zones"] = _with("parsed", p) + (
+        f'SELECT "MMSI", "Timestamp", {_r(_q("Latitude"))} AS "Latitude", {_r(_q("Longitude"))} AS "Longitude" FROM parsed'
+        " WHERE \"Latitude\" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM range(10000) z(k) WHERE"
+        f' "Latitude" BETWEEN {_d(55.0)} + (k // 100) * {_d(0.009)} AND {_d(55.004)} + (k // 100) * {_d(0.009)}'
+        f' AND "Longitude" BETWEEN {_d(14.0)} + (k % 100) * {_d(0.007)} AND {_d(14.003)} + (k % 100) * {_d(0.007)} + (k % 5) * {_d(0.001)})'
+    )
+    q["events_by_day"] = _with("valid", p) + (
+        f"SELECT {_event_select()}, strftime(first_ts, '%Y-%m-%d') AS day, CAST(hour(first_ts) AS INTEGER) AS hour FROM valid"
+    )
+    q["required_columns"] = _with("raw", p) + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS name, {'false' if c == 'Heading' else 'true'} AS present, "
+        f"{0 if c == 'Heading' else f'(SELECT count({_q(c)}) FROM raw)'}::BIGINT AS n_values"
+        for c in sorted(REQUIRED_COLUMNS)
+    )
+    place = ", ".join(f"c.{_q(c)} NULLS FIRST" for c in ["Lat_A", "Lon_A", "Lat_B", "Lon_B", "SOG_A", "SOG_B", "COG_A", "COG_B", "HDG_A", "HDG_B"])
+    q["verified_by_distance"] = _with("valid", p, [*ver, ("rows_", f"SELECT d.* FROM checked c JOIN details d ON d.MMSI_A = c.MMSI_A AND d.MMSI_B = c.MMSI_B WHERE c.min_cog_stddev <= {_d(p.max_cog_stddev)}")]) + (
+        f'SELECT MMSI_A, MMSI_B, {_r("vessel_distance_nm")} AS vessel_distance_nm, {_r(_q("DCPA"))} AS "DCPA",'
+        f' row_number() OVER (ORDER BY c.vessel_distance_nm, c.MMSI_A, c.MMSI_B, c."DCPA", {place}) AS rank FROM rows_ c'
+    )
     return q

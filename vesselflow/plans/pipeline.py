@@ -12,19 +12,16 @@ several outputs), and writes:
   endpoints/     first / last point of each track and the event point
   report/        one text report per event (CSV)
 
-Row counts: the raw count is gathered with ``DataFrame.observe`` while the
-cleaning job runs (no extra pass over the input); the other stages are
-counted on their materialised tables, which is cheap. (An observation on a
-plan that also feeds a subquery is not reliable, so only the scan is
-observed.)
+  lines/         each track as one WKT line
+
+Row counts are observed by the jobs that make the stages
+(``detect.counted_stages``); nothing is read again for its number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from vesselflow.operators import pairs as P
 from vesselflow.operators import report as R
 from vesselflow.operators import trajectory as T
 from vesselflow.operators import verify as V
@@ -36,19 +33,11 @@ from vesselflow.sources.schema import validate_schema
 from vesselflow.sources.sinks import write_table
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def run_on(raw: DataFrame, out_dir: str, p: Params = DEFAULT, fmt: str = "parquet") -> dict[str, int]:
     """Run the whole job on a raw ping table; returns rows per stage."""
     out = out_dir.rstrip("/")
-    raw, o_raw = _observed(validate_schema(raw), "raw")
-    clean = D.shared_clean(raw, p)
-    close = materialize(D.close_events(clean, p))
-    valid = materialize(P.validate_proximity(close, p))
-    stored_events = materialize(P.best_event_per_pair(valid))
+    stages, counts = D.counted_stages(validate_schema(raw), p)
+    clean, valid, stored_events = stages["clean"], stages["validated"], stages["final"]
     pings = D.pings_of(clean)
 
     write_table(stored_events, f"{out}/events", fmt)
@@ -58,18 +47,9 @@ def run_on(raw: DataFrame, out_dir: str, p: Params = DEFAULT, fmt: str = "parque
     tracks = materialize(T.event_trajectories(selected, pings, p))
     write_table(T.ordered_tracks(tracks), f"{out}/trajectories", fmt)
     write_table(T.trajectory_segments(tracks), f"{out}/segments", fmt)
+    write_table(T.trajectory_lines(tracks), f"{out}/lines", fmt)
     write_table(T.trajectory_endpoints(tracks, selected), f"{out}/endpoints", fmt)
     write_table(R.report_text(stored_events), f"{out}/report", "csv")
-
-    candidates = P.candidate_pair_counts(clean, p).agg(F.sum("candidate_pairs")).first()[0] or 0
-    counts = {
-        "raw": o_raw.get["rows"],  # filled by the job that stored the cleaned table
-        "clean": clean.count(),
-        "candidates": candidates,
-        "close": close.count(),
-        "validated": valid.count(),
-        "final": stored_events.count(),
-    }
     return counts
 
 

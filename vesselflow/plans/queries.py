@@ -1,7 +1,7 @@
 """Registered queries: one per operator group, each ``(spark, sf_dir) -> DataFrame``.
 
-All read the driver's ``events`` table through the derived ping view
-(``sources.fixture.raw_pings``), so their work grows with the input. Double
+All read the driver's ``events`` table through the derived ping table
+(``sources.fixture.stored_pings``), so their work grows with the input. Double
 outputs are rounded (``ROUND_DIGITS``) only at the query boundary, so two
 engines whose trig functions differ in the last bit still agree; the
 operators themselves never round.
@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DateType, DoubleType, IntegerType
 
 from vesselflow.operators import clean as C
 from vesselflow.operators import index as I
@@ -25,9 +25,14 @@ from vesselflow.operators import verify as V
 from vesselflow.plans import detect as D
 from vesselflow.params import DEFAULT
 from vesselflow.plans.checkpoint import delete_path, materialize, stage_dir
+from vesselflow.functions.numbertext import fixed_text
 from vesselflow.functions.sqltext import ref
+from vesselflow.operators.index import hour_bucket
+from vesselflow.operators.sequence import with_rank
 from vesselflow.sources import csv as S
-from vesselflow.sources.fixture import raw_pings
+from vesselflow.sources.fixture import raw_pings, stored_pings
+from vesselflow.sources.schema import required_columns
+from vesselflow.sources.sinks import write_days
 
 ROUND_DIGITS = 5
 
@@ -54,7 +59,7 @@ def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
 
 
 def _raw(spark, sf_dir, p=DEFAULT):
-    return raw_pings(spark, sf_dir, p)
+    return stored_pings(spark, sf_dir, p)
 
 
 def _parsed(spark, sf_dir, p=DEFAULT):
@@ -306,27 +311,28 @@ def q_five_closest_pairs(spark, sf_dir):
 @query("event_trajectories")
 def q_event_trajectories(spark, sf_dir):
     clean_b = _shared(spark, sf_dir)
-    return rounded(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b)))
+    return rounded(T.event_trajectories(materialize(D.detect(clean_b)), D.pings_of(clean_b)))
 
 
 @query("trajectory_endpoints")
 def q_trajectory_endpoints(spark, sf_dir):
     clean_b = _shared(spark, sf_dir)
-    ev = P.best_event_per_pair(D.shared_validated(clean_b))
+    ev = materialize(D.detect(clean_b))
     return rounded(T.trajectory_endpoints(T.event_trajectories(ev, D.pings_of(clean_b)), ev))
 
 
 @query("trajectory_wkt")
 def q_trajectory_wkt(spark, sf_dir):
     clean_b = _shared(spark, sf_dir)
-    return T.trajectory_segments(materialize(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b))))
+    events = materialize(D.detect(clean_b))
+    return T.trajectory_segments(materialize(T.event_trajectories(events, D.pings_of(clean_b))))
 
 
 @query("ordered_tracks")
 def q_ordered_tracks(spark, sf_dir):
     """Each track's pings with their place in time order."""
     clean_b = _shared(spark, sf_dir)
-    return rounded(T.numbered_tracks(T.event_trajectories(D.detect(clean_b), D.pings_of(clean_b))))
+    return rounded(T.numbered_tracks(T.event_trajectories(materialize(D.detect(clean_b)), D.pings_of(clean_b))))
 
 
 @query("unvalidated_closest_event_per_pair")
@@ -335,6 +341,20 @@ def q_unvalidated(spark, sf_dir):
     return rounded(_events(spark, sf_dir, DEFAULT.with_(validate=False)))
 
 
+@query("track_lines")
+def q_track_lines(spark, sf_dir):
+    """Each track as one WKT line."""
+    clean_b = _shared(spark, sf_dir)
+    events = materialize(D.detect(clean_b))
+    return T.trajectory_lines(T.event_trajectories(events, D.pings_of(clean_b)))
+
+
+@query("track_islands")
+def q_track_islands(spark, sf_dir):
+    """The disjoint times for which each vessel's pings are read, over all validated events."""
+    return T.track_islands(_validated(spark, sf_dir))
+
+
 @query("event_bearings")
 def q_event_bearings(spark, sf_dir):
     return rounded(R.event_bearings(_events(spark, sf_dir)), 3)
@@ -350,20 +370,83 @@ def q_event_report_text(spark, sf_dir):
     return R.report_text(_events(spark, sf_dir))
 
 
+@query("fixed_decimal_text")
+def q_fixed_decimal_text(spark, sf_dir):
+    """R1/M8 number text for every ping: positions, speed and course with one, two and six decimals."""
+    df = _raw(spark, sf_dir).select("MMSI", "Latitude", "Longitude", "SOG", "COG")
+    text = [fixed_text(c, n).alias(f"{c.lower()}_{n}") for c in ("Latitude", "Longitude", "SOG", "COG") for n in (1, 2, 6)]
+    return df.select("MMSI", *text)
+
+
 @query("stage_counts")
 def q_stage_counts(spark, sf_dir):
     """A5: rows after each stage (raw, clean, candidates, close, validated, final)."""
-    raw = _raw(spark, sf_dir)
-    clean_b = D.shared_clean(raw)
-    cand = P.candidate_pair_counts(clean_b)
-    close = materialize(D.close_events(clean_b))
-    valid = materialize(P.validate_proximity(close))
-    final = P.best_event_per_pair(valid)
-    counted = R.stage_counts([("raw", raw), ("clean", clean_b)])
-    summed = R.stage_sums([("candidates", cand, "candidate_pairs")])
-    rest = R.stage_counts([("close", close), ("validated", valid), ("final", final)])
-    fix = lambda df, off: df.withColumn("stage_order", F.col("stage_order") + F.lit(off))
-    return fix(counted, 0).unionByName(fix(summed, 2)).unionByName(fix(rest, 3))
+    return R.stage_counts(spark, D.counted_stages(_raw(spark, sf_dir))[1])
+
+
+# --- other bucket widths, long zone lists, sinks, checks -----------------------------
+FIVE_MINUTES = DEFAULT.with_(bucket_minutes=5)
+
+
+@query("five_minute_counts")
+def q_five_minute_counts(spark, sf_dir):
+    """I1, A1 and J1's candidate counts in buckets of five minutes."""
+    df = materialize(_clean_b(spark, sf_dir, FIVE_MINUTES))
+    pings = P.pings_per_vessel_minute(df).groupBy("TimeBucket").agg(F.count(F.lit(1)).alias("vessels"), F.sum("count").alias("pings"))
+    pairs = P.candidate_pair_counts(df, FIVE_MINUTES)
+    return pings.join(pairs, "TimeBucket", "left").na.fill(0, ["candidate_pairs"])
+
+
+@query("five_minute_events")
+def q_five_minute_events(spark, sf_dir):
+    """E1 in buckets of five minutes: I1, A1, A2 and J1 share the width."""
+    return rounded(_events(spark, sf_dir, FIVE_MINUTES))
+
+
+def many_zones(n: int = 10_000) -> tuple:
+    """``n`` small boxes in rows of a hundred over the pings' waters, some of which overlap."""
+    return tuple((f"zone {k}", 55.0 + (k // 100) * 0.009, 55.004 + (k // 100) * 0.009, 14.0 + (k % 100) * 0.007, 14.003 + (k % 100) * 0.007 + (k % 5) * 0.001) for k in range(n))
+
+
+@query("many_exclusion_zones")
+def q_many_exclusion_zones(spark, sf_dir):
+    """C7 with ten thousand boxes."""
+    p = DEFAULT.with_(port_zones=many_zones())
+    kept = C.filter_port_zones(_parsed(spark, sf_dir).where("Latitude IS NOT NULL"), p)
+    return rounded(kept.select("MMSI", "Timestamp", "Latitude", "Longitude"))
+
+
+@query("events_by_day")
+def q_events_by_day(spark, sf_dir):
+    """Validated events written by day and hour, the first hour written again, and all read back."""
+    folder = f"{stage_dir(spark)}/vesselflow-days-{uuid.uuid4().hex}"
+    events = materialize(_validated(spark, sf_dir))
+    first = events.agg(F.min("first_ts")).first()[0]
+    try:
+        write_days(events, folder, "first_ts", unit="hour")
+        if first is not None:
+            hour = events.where(hour_bucket("first_ts") == hour_bucket(F.lit(first).cast("timestamp_ntz")))
+            write_days(hour, folder, "first_ts", unit="hour")
+        stored = spark.read.schema(events.schema.add("day", DateType()).add("hour", IntegerType())).parquet(folder) if first is not None else events.selectExpr("*", "CAST(NULL AS DATE) AS day", "0 AS hour")
+        return materialize(rounded(stored.withColumn("day", F.col("day").cast("string"))))
+    finally:
+        delete_path(spark, folder)
+
+
+@query("required_columns")
+def q_required_columns(spark, sf_dir):
+    """The required columns of a table without headings."""
+    return required_columns(_raw(spark, sf_dir).drop("Heading"))
+
+
+@query("verified_by_distance")
+def q_verified_by_distance(spark, sf_dir):
+    """Verified pairs with their place in the order by distance."""
+    clean_b = _shared(spark, sf_dir)
+    rows = V.verified_pairs(D.shared_validated(clean_b), D.pings_of(clean_b))
+    order = ["vessel_distance_nm", "MMSI_A", "MMSI_B", "DCPA", "Lat_A", "Lon_A", "Lat_B", "Lon_B", "SOG_A", "SOG_B", "COG_A", "COG_B", "HDG_A", "HDG_B"]
+    ranked = with_rank(rows, [F.col(c).asc_nulls_first() for c in order])
+    return rounded(ranked.select("MMSI_A", "MMSI_B", "vessel_distance_nm", "DCPA", "rank"))
 
 
 def queries() -> dict[str, Query]:

@@ -15,9 +15,12 @@ arithmetic.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vesselflow.params import DEFAULT, PRIORITY_PAIRS, Params
+from vesselflow.plans.checkpoint import path_exists, stage_dir
 from vesselflow.sources.schema import AIS_FIELDS
 
 START = "2021-12-13 00:00:00"
@@ -85,6 +88,23 @@ def raw_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, as_text: bo
     return ev.selectExpr(*out)
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+    """``raw_pings`` as an AIS table usually lies: stored as Parquet. Written once for a session and input folder, below the
+    shared folder, so queries filter and prune a scan and don't carry the fixture's long expressions into their predicates."""
+    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), stage_dir(spark))
+    path = _STORED.get(at)
+    if not path or not path_exists(spark, path):
+        path = f"{stage_dir(spark)}/pings-{uuid.uuid4().hex}"
+        raw_pings(spark, sf_dir, p).write.parquet(path)
+        _STORED[at] = path
+    types = {"StringType()": "STRING", "LongType()": "BIGINT", "DoubleType()": "DOUBLE"}
+    schema = ", ".join(f"`{n}` {'TIMESTAMP_NTZ' if n == 'Timestamp' else types[repr(t)]}" for n, t in AIS_FIELDS)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _d(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 _S, _L, _D = StringType(), LongType(), DoubleType()
@@ -60,6 +61,15 @@ def ais_schema() -> StructType:
     return StructType([StructField(n, t, True) for n, t in AIS_FIELDS])
 
 
+def required_columns(df: DataFrame) -> DataFrame:
+    """S4 as a table: one row for each required column with whether ``df`` has it, and in how many rows it has a value
+    (0 where it is missing). One partial aggregate over those columns."""
+    names = sorted(REQUIRED_COLUMNS)
+    counts = df.agg(*[(F.count(F.col(c)) if c in df.columns else F.lit(0).cast("long")).alias(c) for c in names])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(c in df.columns).alias("present"), F.col(c).alias("n_values")) for c in names]))
+    return counts.select(rows.alias("r")).select("r.*")
+
+
 def validate_schema(df: DataFrame) -> DataFrame:
     """Raise ``ValueError`` naming missing required columns; return ``df``.
 
