@@ -172,9 +172,9 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Vertical
         for k in range(batch.num_rows):
             cell = {name: batch[name][k] for name in batch.schema.names}
             numbers = [{c: np.asarray(cell[p + c].values, np.int64) for c in ("rows", "ids", "labels")} for p in ("a_", "")]
-            shape = [np.frombuffer(cell[p + "matrix"].as_buffer(), np.int64).reshape(cell[p + "width"].as_py(), -1) for p in ("a_", "")]
-            shape = [m if m.size else np.zeros((0, len(x["rows"])), np.int64) for m, x in zip(shape, numbers, strict=True)]
-            yield cell, VerticalBlock(shape[1], shape[0]), *numbers
+            shapes = [(cell[p + "width"].as_py(), len(x["rows"])) for p, x in zip(("a_", ""), numbers, strict=True)]
+            queries, matrix = (np.frombuffer(cell[p + "matrix"].as_buffer(), np.int64).reshape(s) for p, s in zip(("a_", ""), shapes, strict=True))
+            yield cell, VerticalBlock(matrix, queries), *numbers
 
 
 def _collect(found: list[tuple]) -> pa.RecordBatch:
