@@ -21,7 +21,7 @@ def test_cleaning_splits_vessels_by_hour(spark):
 
 
 def test_detection_has_no_pair_expansion(spark):
-    p = plan(D.close_events(D.clean_bucketed(_raw(spark, SF_SMALL))))
+    p = plan(D.close_events(D.shared_clean(_raw(spark, SF_SMALL))))
     assert p.count("Join") == 1
     assert "CartesianProduct" not in p
     assert "sub_lat" in p and "sub_lon" in p

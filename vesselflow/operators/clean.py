@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
@@ -200,7 +201,7 @@ def zone_cells(spark: SparkSession, p: Params = DEFAULT) -> dict[float, DataFram
         by_size.setdefault(size, []).append((float(la), float(lb), float(oa), float(ob)))
     out = {}
     for size, boxes in sorted(by_size.items()):
-        zones = spark.createDataFrame(boxes, "lat_min double, lat_max double, lon_min double, lon_max double")
+        zones = spark.createDataFrame(pd.DataFrame(boxes, columns=["lat_min", "lat_max", "lon_min", "lon_max"]))
         span = lambda lo, hi, size=size: F.explode(F.sequence(cell_index(lo, size), cell_index(hi, size)))
         out[size] = zones.withColumn("zone_lat", span("lat_min", "lat_max")).withColumn("zone_lon", span("lon_min", "lon_max"))
     return out

@@ -30,7 +30,7 @@ from vesselflow.functions.sqltext import col, ref
 from vesselflow.operators.index import SLICE
 from vesselflow.operators.skew import attach
 from vesselflow.params import DEFAULT
-from vesselflow.plans.checkpoint import materialize
+from vesselflow.plans.checkpoint import materialize, materialize_counted
 
 _MARK = "_seq_marker"
 _LAST = "_seq_last"
@@ -78,11 +78,11 @@ def with_previous(
     """
     carried = list(dict.fromkeys(order + values))
     by = [*keys, chunk]
-    last = materialize(_last_rows(df, by, carried))
-    flooded = last.where(F.col(_ROWS) > limit).select(*by, _ROWS)
+    last, most = materialize_counted(_last_rows(df, by, carried), F.max(_ROWS))
     parts = [chunk]
-    if not flooded.isEmpty():
+    if (most or 0) > limit:
         parts = [chunk, SLICE]
+        flooded = last.where(F.col(_ROWS) > limit).select(*by, _ROWS)
         normal, hot = _sliced(df, flooded, by, order, limit)
         df = normal.withColumn(SLICE, F.lit(0)).unionByName(hot)
         calm = last.where(F.col(_ROWS) <= limit).withColumn(SLICE, F.lit(0))

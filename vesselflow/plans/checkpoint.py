@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _STORED: list[str] = []
@@ -43,10 +43,11 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``materialize`` and the number of rows written, observed by the job that wrote them."""
-    watched, seen = counted(df)
-    return materialize(watched), seen.get["rows"]
+def materialize_counted(df: DataFrame, value: Column | None = None) -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows written, or another aggregate of them, observed by the job that wrote them."""
+    seen = Observation(f"stored-{uuid.uuid4().hex}")
+    watched = df.observe(seen, (F.count(F.lit(1)) if value is None else value).alias("value"))
+    return materialize(watched), seen.get["value"]
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -93,12 +93,13 @@ _STORED: dict[tuple[str, str, str], str] = {}
 
 def stored_pings(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     """``raw_pings`` as an AIS table usually lies: stored as Parquet. Written once for a session and input folder, below the
-    shared folder, so queries filter and prune a scan and don't carry the fixture's long expressions into their predicates."""
+    shared folder, so queries filter and prune a scan and don't carry the fixture's long expressions into their predicates.
+    As many files as the session runs tasks at once, since ``events`` is a single row group at the small sizes."""
     at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), stage_dir(spark))
     path = _STORED.get(at)
     if not path or not path_exists(spark, path):
         path = f"{stage_dir(spark)}/pings-{uuid.uuid4().hex}"
-        raw_pings(spark, sf_dir, p).write.parquet(path)
+        raw_pings(spark, sf_dir, p).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _STORED[at] = path
     types = {"StringType()": "STRING", "LongType()": "BIGINT", "DoubleType()": "DOUBLE"}
     schema = ", ".join(f"`{n}` {'TIMESTAMP_NTZ' if n == 'Timestamp' else types[repr(t)]}" for n, t in AIS_FIELDS)
