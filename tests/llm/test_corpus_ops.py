@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from vesselflow.llm import bond_scan, pivot_simhash, term_pointers
 from vesselflow.llm.queries import REGISTRY
+from vesselflow.llm import textbatch
 from vesselflow.llm.textbatch import spans, utf8
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -128,8 +129,8 @@ def test_shards_add_up():
 def test_xxh64(items):
     buf = np.frombuffer(b"".join(items), np.uint8)
     at = np.cumsum([0, *map(len, items)])
-    got = pivot_simhash.xxh64(buf, at[:-1], at[1:])
-    assert got.tolist() == [xxhash.xxh64_intdigest(x, seed=42) for x in items]
+    for seed in (0, 42):
+        assert textbatch.xxh64(buf, at[:-1], at[1:], seed).tolist() == [xxhash.xxh64_intdigest(x, seed=seed) for x in items]
 
 
 def brute_fingerprint(text):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vesselflow.llm.stage import join_groups, staged
 
 
-def _follow(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
+def follow(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
     """``rows`` with the nodes in ``column`` replaced by their parents, where they have one. A node in many rows
     is no hot key: those above a thousandth of the rows are joined by broadcast."""
     uses = rows.groupBy(column).agg(F.count(F.lit(1)).alias("__uses"))
@@ -32,14 +32,14 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         parents = staged(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent")), "hooks")
         while True:
-            up = staged(_follow(parents.withColumn("was", F.col("parent")), "parent", parents).select("node", "parent", "was"), "hooks")
+            up = staged(follow(parents.withColumn("was", F.col("parent")), "parent", parents).select("node", "parent", "was"), "hooks")
             moved = not up.where("parent != was").isEmpty()
             parents = up.drop("was")
             if not moved:
                 break
-        labels = staged(_follow(labels, "label", parents).select("node", "label"), "labels")
-        moved_a = staged(_follow(links, "a", parents).select("a", "b"), "links")
-        moved_b = _follow(moved_a, "b", parents)
+        labels = staged(follow(labels, "label", parents).select("node", "label"), "labels")
+        moved_a = staged(follow(links, "a", parents).select("a", "b"), "links")
+        moved_b = follow(moved_a, "b", parents)
         links = staged(
             moved_b.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "links"
         )

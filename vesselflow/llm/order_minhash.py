@@ -9,8 +9,9 @@ Short texts have too few k-mers to sample, so their keys lose no similar pair: w
 subsequences that are left without the words that may be edited; else, where both have at most SHORT words, all
 k-mers of the length that as many edits can't all break.
 
-Texts with equal words are one node; a text is in a bucket for each of its keys. Nodes of a bucket are compared with the bucket's
-smallest node. Those that don't align with it (the rest) are joined exactly with all nodes of such buckets: texts this
+Texts with equal words are one node; a text is in a bucket for each of its keys. A node is compared with the smallest
+of its buckets' smallest nodes, then with those of them that are in another class still. Nodes of another class than
+their bucket's smallest node (the rest) are joined exactly with all nodes of such buckets: texts this
 similar share one of their rarest words, so only nodes with a rare word in common (each takes a fifth of its words)
 whose lengths and remaining words allow the similarity are aligned, and only where the links so far leave them in
 different classes. Before that, nodes are compared with the smallest node that has the word, so that large classes
@@ -31,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vesselflow.llm.components import components
-from vesselflow.llm.stage import join_groups, key_filter, passes_filter, ship, staged, whole_text
-from vesselflow.llm.textbatch import Hasher, chunks, mix64, release_memory, repeats, spans, windows
+from vesselflow.llm.components import components, follow
+from vesselflow.llm.stage import FILTER_BITS, join_groups, key_filter, passes_filter, ship, staged, whole_text
+from vesselflow.llm.textbatch import SpanHasher, chunks, mix64, release_memory, repeats, spans, windows
 
 WORDS = 5
 SKETCHES = 64
@@ -42,6 +43,9 @@ SIMILARITY = 0.8
 #: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
 FEW, SHORT = 14, 40
 
+#: Most bits of the broadcast filter of shared keys (8 MB).
+MOST_FILTER_BITS = 1 << 26
+
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 _GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -105,7 +109,7 @@ def _sketch(texts: pa.Array) -> pa.Array:
         n = hi - lo
         buf = _FOLD[raw]
         starts, ends, rows = spans(buf, at, _GAP)
-        words = Hasher(buf)(starts, ends)
+        words = SpanHasher(buf)(starts, ends)
         counts = np.bincount(rows, minlength=n)
         edges = np.concatenate(([0], np.cumsum(counts)))
         sketch: list[list[int]] = [[] for _ in range(n)]
@@ -218,7 +222,13 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _bucketed(members: DataFrame) -> DataFrame:
-    """Each member's bucket centre: the rows of ``members`` (``key``, ``same``, ``n_words``) with ``a`` and ``n_words_a``."""
+    """Each member's bucket centre: the rows of ``members`` (``key``, ``same``, ``n_words``) with ``a`` and ``n_words_a``.
+    Most keys are a node's own: keys alone are counted first, and only members whose key the filter has go on."""
+    shared = staged(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
+    bits = FILTER_BITS
+    while bits < MOST_FILTER_BITS and bits < 16 * shared.count():
+        bits *= 2
+    members = staged(passes_filter(members, F.col("key"), key_filter(shared, F.col("key"), bits), "met", bits).where("met").drop("met"), "members")
     buckets = staged(
         members.groupBy("key").agg(F.min("same").alias("a"), F.min_by("n_words", "same").alias("n_words_a"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "buckets",
@@ -273,6 +283,15 @@ def word_pairs(rare: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``) whose nodes the links so far leave in different classes."""
+    parents = labels.withColumnRenamed("label", "parent")
+    marked = staged(pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")}), "pair-labels")
+    for c in ("of_a", "of_b"):
+        marked = staged(follow(marked, c, parents), "pair-labels")
+    return marked.where("of_a != of_b").select("a", "b")
+
+
 def _aligned(candidates: DataFrame, rows: DataFrame) -> DataFrame:
     """The staged ``candidates`` that are links, staged."""
     ends = staged(candidates.select(F.col("a").alias("same")).union(candidates.select("b")).distinct(), "ends")
@@ -298,10 +317,17 @@ def _classes(docs: DataFrame) -> DataFrame:
     members = nodes.select("same", "n_words", F.explode("keys").alias("key")).select("key", "same", "n_words")
     pairs = staged(_bucketed(members), "bucket-pairs")
     fits = F.least("n_words", "n_words_a") >= F.lit(SIMILARITY) * F.greatest("n_words", "n_words_a") - 1e-9
-    tried = staged(pairs.where(fits).select("a", F.col("same").alias("b")).distinct(), "candidates")
+    candidates = staged(pairs.where(fits).select("a", F.col("same").alias("b")).distinct(), "candidates")
+    # each node with its smallest centre first; then with the centres of other classes
+    tried = staged(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-candidates")
     links = _aligned(tried, rows)
-    unsettled = staged(pairs.join(links.select("a", F.col("b").alias("same")), ["a", "same"], "left_anti").select("key", "same"), "unsettled")
     labels = components(links)
+    others = staged(_apart(candidates.join(tried, ["a", "b"], "left_anti"), labels), "candidates")
+    found = _aligned(others, rows)
+    links, tried = links.unionByName(found), tried.unionByName(others)
+    labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
+    apart = _apart(pairs.select("a", F.col("same").alias("b")).distinct(), labels)
+    unsettled = staged(pairs.join(apart.withColumnRenamed("b", "same"), ["a", "same"], "left_semi").select("key", "same"), "unsettled")
     if not unsettled.isEmpty():
         near = pairs.join(unsettled.select("key").distinct(), "key", "left_semi")
         ends = unsettled.select("same", F.lit(True).alias("rest"))

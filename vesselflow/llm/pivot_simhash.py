@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from vesselflow.llm.components import components
 from vesselflow.llm.stage import FILTER_BITS, join_groups, key_filter, passes_filter, ship, staged, whole_text
-from vesselflow.llm.textbatch import chunks, release_memory, spans
+from vesselflow.llm.textbatch import chunks, release_memory, spans, xxh64
 
 SHINGLE = 3
 SEED = 42
@@ -52,56 +52,6 @@ _BYTE = np.arange(256)
 BLANK = (_BYTE == 0x20) | ((_BYTE >= 0x09) & (_BYTE <= 0x0D))
 LOWER = np.where((_BYTE >= 0x41) & (_BYTE <= 0x5A), _BYTE + 32, _BYTE).astype(np.uint8)
 
-# The primes of XXH64.
-P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-
-def _rotate(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-
-def _round(acc: np.ndarray | np.uint64, lane: np.ndarray) -> np.ndarray:
-    return _rotate(acc + lane * P2, 31) * P1
-
-
-@np.errstate(over="ignore")
-def xxh64(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of each span of ``buf``."""
-    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
-    lane8 = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
-    lane4 = np.ndarray(len(buf) + 1, "<u4", padded, strides=(1,))
-    size, at, s = ends - starts, starts.copy(), np.uint64(seed)
-    h = np.full(len(starts), s + P5)
-    long = np.flatnonzero(size >= 32)
-    if len(long):
-        acc = [np.full(len(long), v) for v in (s + P1 + P2, s + P2, s, s - P1)]
-        left = np.arange(len(long))
-        while len(left):
-            for k in range(4):
-                acc[k][left] = _round(acc[k][left], lane8[at[long[left]] + 8 * k])
-            at[long[left]] += 32
-            left = left[ends[long[left]] - at[long[left]] >= 32]
-        mixed = sum(_rotate(a, r) for a, r in zip(acc, (1, 7, 12, 18), strict=True))
-        for a in acc:
-            mixed = (mixed ^ _round(np.uint64(0), a)) * P1 + P4
-        h[long] = mixed
-    h += size.astype(np.uint64)
-    for _ in range(3):
-        own = np.flatnonzero(ends - at >= 8)
-        h[own] = _rotate(h[own] ^ _round(np.uint64(0), lane8[at[own]]), 27) * P1 + P4
-        at[own] += 8
-    own = np.flatnonzero(ends - at >= 4)
-    h[own] = _rotate(h[own] ^ (lane4[at[own]].astype(np.uint64) * P1), 23) * P2 + P3
-    at[own] += 4
-    for _ in range(3):
-        own = np.flatnonzero(ends > at)
-        h[own] = _rotate(h[own] ^ (buf[at[own]].astype(np.uint64) * P5), 11) * P1
-        at[own] += 1
-    h = (h ^ (h >> np.uint64(33))) * P2
-    h = (h ^ (h >> np.uint64(29))) * P3
-    return h ^ (h >> np.uint64(32))
-
-
 def shingles(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words joined by one blank, and each shingle's start, end and row in them."""
     starts, ends, rows = spans(buf, at, BLANK)
@@ -126,7 +76,7 @@ def fingerprints(array: pa.Array) -> pa.Array:
         joined, starts, ends, rows = shingles(LOWER[buf], at)
         if not len(rows):
             continue
-        bits = np.unpackbits(xxh64(joined, starts, ends).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(xxh64(joined, starts, ends, SEED).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         first = np.flatnonzero(np.diff(rows, prepend=-1))
         n = np.diff(np.append(first, len(rows)))
         over = 2 * np.add.reduceat(bits, first, axis=0, dtype=np.int64) > n[:, None]

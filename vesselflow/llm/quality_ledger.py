@@ -5,6 +5,8 @@ fails. A policy is a versioned set of rules: applying one, or comparing many, ne
 ledger. ``ablations`` tells for each rule of a policy how many documents fail it, fail only it, and would be kept
 without it, from one aggregation over distinct masks.
 
+Lines, words and windows are compared by numbers that equal bytes, and only they, share.
+
 Words are ``[^\\x20\\x09-\\x0D]+``. A rule on letter case or on the length of words judges only what is written in ASCII,
 since other scripts have other letters, and some no blanks between words: an ASCII word is one of whose characters
 more than half are ASCII. Null text has no words. Each row is judged by itself: repeated rows get equal
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vesselflow.llm.stage import ship, whole_text
-from vesselflow.llm.textbatch import Hasher, chunks, per_row, release_memory, repeats, spans, windows
+from vesselflow.llm.textbatch import chunks, exact_ids, exact_windows, per_row, release_memory, repeats, spans
 
 WINDOW = 8
 BLANK = np.zeros(256, bool)
@@ -111,20 +113,19 @@ def _measure(array: pa.Array) -> pa.Array:
         put("ascii_word_chars", per_row(np.where(in_ascii, np.minimum(chars, MOST_CHARS), 0), rows, n))
         put("giant_chars", per_row(np.where(in_ascii & (chars > GIANT), chars, 0), rows, n))
 
-        hashed = Hasher(buf)
         l0, l1, line_rows = spans(buf, at, NEWLINE)
         words_before = np.searchsorted(starts, l0)
         with_word = np.searchsorted(starts, l1) > words_before
         l0, l1, line_rows = l0[with_word], l1[with_word], line_rows[with_word]
         put("n_lines", np.bincount(line_rows, minlength=n))
-        again, _ = repeats(hashed(l0, l1), line_rows)
+        again, _ = repeats(exact_ids(buf, l0, l1), line_rows)
         put("n_dup_lines", per_row(again, line_rows, n))
 
-        words = hashed(starts, ends)
+        words = exact_ids(buf, starts, ends)
         stutter = np.zeros(len(words), bool)
         stutter[1:] = (words[1:] == words[:-1]) & (rows[1:] == rows[:-1])
         put("n_stutters", np.bincount(rows, weights=stutter, minlength=n).astype(np.int64))
-        keys, first = windows(words, rows, WINDOW)
+        keys, first = exact_windows(words, rows, WINDOW)
         again, _ = repeats(keys, rows[first])
         if again.any():
             own = _with_copy(keys, rows[first], again)

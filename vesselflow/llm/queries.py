@@ -65,7 +65,41 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op10_quality_ledger")
+@query(
+    "op10_quality_ledger",
+    # the rules of policy 3 beyond the base, from the same measurements; a window of 8 words is the list of them
+    """
+    WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words, string_split(text, chr(10)) AS lines FROM t),
+    l AS (SELECT *, list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS own FROM w),
+    u AS (SELECT r, word, octet_length(encode(regexp_replace(word, '[^\\x00-\\x7F]', '', 'g'))) AS n_ascii, length(word) AS chars
+          FROM (SELECT r, unnest(words) AS word FROM w)),
+    c AS (SELECT r, sum(chars) AS word_chars, max(chars) AS max_word_chars,
+            count(*) FILTER (2 * n_ascii > chars) AS n_ascii_words,
+            coalesce(sum(least(chars, 40)) FILTER (2 * n_ascii > chars), 0) AS ascii_word_chars,
+            coalesce(sum(chars) FILTER (2 * n_ascii > chars AND chars > 1000), 0) AS giant_chars FROM u GROUP BY r),
+    g AS (SELECT r, i, list_slice(words, i, i + 7) AS gram FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+    x AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+    p AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM x) GROUP BY r),
+    m AS (
+      SELECT l.doc_id, len(words) AS n_words, coalesce(c.word_chars, 0)::BIGINT AS word_chars, coalesce(max_word_chars, 0) AS max_word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(own) - len(list_distinct(own)) AS n_dup_lines,
+        coalesce(p.n_repeat_words, 0) AS n_repeat_words, len(own) AS n_lines,
+        length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
+        len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_stutters,
+        coalesce(n_ascii_words, 0) AS n_ascii_words, coalesce(ascii_word_chars, 0) AS ascii_word_chars, coalesce(giant_chars, 0) AS giant_chars
+      FROM l LEFT JOIN c USING (r) LEFT JOIN p USING (r)),
+    f AS (
+      SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (10 * n_symbols > 3 * n_words)::BIGINT
+        + 8 * (10 * n_dup_lines > 5 * n_lines)::BIGINT + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 20 * n_words)::BIGINT
+        + 64 * (10 * n_upper > 6 * n_letters)::BIGINT + 128 * (max_word_chars > 1000)::BIGINT + 256 * (100 * n_stutters > 30 * n_words)::BIGINT
+        + 512 * (10 * n_upper > 6 * n_letters AND 2 * n_letters > word_chars)::BIGINT
+        + 1024 * (ascii_word_chars > 20 * n_ascii_words AND 2 * n_ascii_words > n_words)::BIGINT + 2048 * (2 * giant_chars > word_chars)::BIGINT AS failed
+      FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 3871 = 0 AS kept, failed
+    FROM f
+    """,
+)
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_ledger.ledger(documents(spark, sf_dir))
     base = ~quality_ledger.passes(quality_ledger.BASE, F.col("failed"))
