@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vesselflow.llm.stage import ascii_lower, join_groups, key_filter, passes_filter, staged, whole_text
+from vesselflow.llm.stage import ascii_lower, join_groups, key_filter, passes_filter, staged, whole_text, without
 
 #: Characters of the second level's prefix.
 PREFIX_CHARS = 256
@@ -65,8 +65,6 @@ def exact_copies(docs: DataFrame, digest_all: bool = False) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. A ``doc_id`` on rows of several texts goes only
-    where that text's row goes: the join is on the id and the text's hash."""
-    gone = exact_copies(docs).where("not kept").select(F.col("doc_id").alias("__gone_id"), F.col("full_hash").alias("__gone_hash"))
-    rows = docs.withColumn("__hash", F.sha2(ascii_lower(whole_text()), 256))
-    same = rows["doc_id"].eqNullSafe(gone["__gone_id"]) & (rows["__hash"] == gone["__gone_hash"])
-    return rows.join(gone.distinct(), same, "left_anti").drop("__hash")
+    where that text's row goes: what goes is told by the id and the text's hash (``without``)."""
+    gone = exact_copies(docs).where("not kept").select(F.col("doc_id").alias("id"), F.col("full_hash").alias("hash"))
+    return without(docs, staged(gone.distinct(), "exact-gone"), F.sha2(ascii_lower(whole_text("row.text")), 256))

@@ -7,8 +7,8 @@ emptiest bins are cut to fill the holes of the fuller ones, and the last bin is
 no padding; so a group has no padding at all.
 
 Null text counts as empty: such a document is its end id alone. Each row is packed, repeated ones too. A row's
-group is drawn from its id and the checksum of its ids, so a third of all rows with one id still spreads unless
-the rows are equal too. Empty tables give empty results. Other columns are not read.
+group is drawn from its place in the input, so rows spread over the groups however many are equal; pass a stored
+table, whose places are the same when a task is run again. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ MAX_LEN = 2048
 #: Documents of a group, about. More documents leave fewer cuts at a group's end; the group's remainders
 #: (2 bytes a token below 65,536 ids) are what a task holds.
 GROUP_DOCS = 512
-_GROUP_BITS = 24
-_CUT = "doc_id bigint, doc_tokens bigint, own bigint, start bigint, length bigint, crc bigint, ids binary"
+#: Bits of a sequence id that name its group; the other 23 number the sequences of a group.
+_GROUP_BITS = 40
+_CUT = "doc_id bigint, doc_tokens bigint, place bigint, start bigint, length bigint, crc bigint, ids binary"
 _CUT_NAMES = [x.split()[0] for x in _CUT.split(", ")]
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -120,12 +121,12 @@ def _cuts(path: str, end_id: int, size: int):
         end, wide = np.array([end_id], words.dtype).tobytes(), np.dtype("<u4")
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+            for doc, text, place in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 ids = np.frombuffer(words.encode(text) + end, words.dtype)
-                n, full, own = len(ids), len(ids) // size * size, zlib.crc32(ids)
-                rows += [(doc, n, own, k, size, zlib.crc32(ids[k : k + size].astype(wide)), None) for k in range(0, full, size)]
+                n, full = len(ids), len(ids) // size * size
+                rows += [(doc, n, place, k, size, zlib.crc32(ids[k : k + size].astype(wide)), None) for k in range(0, full, size)]
                 if full < n:
-                    rows.append((doc, n, own, full, n - full, zlib.crc32(ids[full:].astype(wide)), ids[full:].tobytes()))
+                    rows.append((doc, n, place, full, n - full, zlib.crc32(ids[full:].astype(wide)), ids[full:].tobytes()))
             kinds = [pa.int64()] * 6 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=_CUT_NAMES)
 
@@ -160,7 +161,8 @@ def packed(docs: DataFrame, path: str, end_id: int = 1, size: int = MAX_LEN, gro
     """One row for each piece of a document: ``doc_id``, ``start`` (its document's ids before it), ``length``,
     ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` in the sequence."""
     ship(docs.sparkSession)
-    groups = min(-(-docs.count() // group_docs) or 1, 1 << _GROUP_BITS)
-    cuts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(_cuts(path, end_id, size), _CUT)
-    pieces = cuts.withColumn("group", F.pmod(F.xxhash64("doc_id", "own"), F.lit(groups))).drop("own")
+    groups = -(-docs.count() // group_docs) or 1
+    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"), F.monotonically_increasing_id().alias("place"))
+    cuts = rows.mapInArrow(_cuts(path, end_id, size), _CUT)
+    pieces = cuts.withColumn("group", F.pmod(F.xxhash64("place"), F.lit(groups))).drop("place")
     return pieces.groupBy("group").applyInArrow(_pack_group(word_ids(path).dtype.itemsize, size), _PIECE)

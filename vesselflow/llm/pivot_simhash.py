@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vesselflow.llm.components import components
-from vesselflow.llm.stage import FILTER_BITS, join_groups, key_filter, passes_filter, ship, staged, whole_text
+from vesselflow.llm.stage import filter_bits, join_groups, key_filter, passes_filter, ship, staged, whole_text
 from vesselflow.llm.textbatch import chunks, release_memory, spans, xxh64
 
 SHINGLE = 3
@@ -45,8 +45,6 @@ WIDE_REFERENCES = 16
 CHUNK = 8192
 #: Groups up to this size are compared together with others, shift by shift.
 SMALL = 64
-#: Most bits of the broadcast filter of keys (8 MB).
-MOST_FILTER_BITS = 1 << 26
 
 _BYTE = np.arange(256)
 BLANK = (_BYTE == 0x20) | ((_BYTE >= 0x09) & (_BYTE <= 0x0D))
@@ -188,9 +186,7 @@ def links(fps: DataFrame) -> DataFrame:
     table = staged(pivot_table(fps), "pivots")
     keys = meeting_keys(table)
     shared = staged(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "pivot-keys")
-    bits = FILTER_BITS
-    while bits < MOST_FILTER_BITS and bits < 16 * shared.count():
-        bits *= 2
+    bits = filter_bits(shared.count())
     meeting = passes_filter(keys, F.col("key"), key_filter(shared, F.col("key"), bits), "meets", bits).where("meets").drop("meets")
     meeting = join_groups(staged(meeting, "pivot-rows"), shared, ["key"], "n", "inner")
     parts = F.ceil(F.col("n") / CHUNK).cast("int")

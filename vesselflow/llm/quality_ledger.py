@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vesselflow.llm.stage import ship, whole_text
+from vesselflow.llm.stage import ship, whole_rows, whole_text
 from vesselflow.llm.textbatch import chunks, exact_ids, exact_windows, per_row, release_memory, repeats, spans
 
 WINDOW = 8
@@ -150,13 +150,7 @@ def _with_copy(keys: np.ndarray, rows: np.ndarray, again: np.ndarray) -> np.ndar
     return out
 
 
-def with_measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with the struct ``__measures``; its columns stay as they are."""
-    ship(docs.sparkSession)
-    return docs.withColumn("__measures", F.arrow_udf(_measure, _TYPE)(whole_text()))
-
-
-def failure_bits(measures: str = "__measures") -> Column:
+def failure_bits(measures: str = "measures") -> Column:
     """One bit for each failed rule."""
     names = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
     out = F.lit(0).cast("long")
@@ -168,8 +162,9 @@ def failure_bits(measures: str = "__measures") -> Column:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, the measurements, ``failed`` (bits)."""
-    rows = with_measures(docs.select("doc_id", "text"))
-    return rows.select("doc_id", failure_bits().alias("failed"), "__measures").select("doc_id", "__measures.*", "failed")
+    ship(docs.sparkSession)
+    rows = docs.select("doc_id", F.arrow_udf(_measure, _TYPE)(whole_text()).alias("measures"))
+    return rows.select("doc_id", "measures.*", failure_bits().alias("failed"))
 
 
 def passes(policy: Policy, failed: Column) -> Column:
@@ -192,4 +187,6 @@ def ablations(book: DataFrame, policy: Policy) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: Policy = POLICY) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    return with_measures(docs).where(passes(policy, failure_bits())).drop("__measures")
+    ship(docs.sparkSession)
+    rows = whole_rows(docs, measures=F.arrow_udf(_measure, _TYPE)(whole_text()))
+    return rows.where(passes(policy, failure_bits("measures"))).select("row.*")

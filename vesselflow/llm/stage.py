@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import weakref
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,13 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 #: Bits of a key filter (1 MB); a multiple of the 32768 bits of one bitmap.
 FILTER_BITS = 1 << 23
+#: Most bits of a filter that is sized by its keys (8 MB).
+MOST_FILTER_BITS = 1 << 26
 _BITMAP_BITS = 1 << 15
 
+#: Folders of the staged tables that are in use.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -52,7 +58,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     prune columns, and a lost executor costs only its own tasks."""
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged ``tables`` that nothing reads any more. The JVM's garbage is collected too, as Spark deletes the
+    shuffle files behind consumed tables only when their plans are."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(table))
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    tables[0].sparkSession._jvm.System.gc()
 
 
 #: Rows and bytes of one Arrow batch: whole texts are large rows, and a worker holds a batch and its results.
@@ -111,6 +128,34 @@ def key_filter(keys: DataFrame, hashed: Column, bits: int = FILTER_BITS) -> Data
     )
 
 
+def whole_rows(docs: DataFrame, **more: Column) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside the columns ``more``, whose names can't clash with those of ``docs``;
+    ``select("row.*")`` gives ``docs`` back."""
+    names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def filter_bits(keys: int) -> int:
+    """Bits of a filter of so many keys: sixteen for a key, from FILTER_BITS to MOST_FILTER_BITS. With more keys than that
+    allows a filter lets more through, and the exact join behind it does the work."""
+    bits = FILTER_BITS
+    while bits < MOST_FILTER_BITS and bits < 16 * keys:
+        bits *= 2
+    return bits
+
+
+def without(docs: DataFrame, gone: DataFrame, text_hash: Column) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` and ``text_hash`` (an expression over ``text``) aren't in ``gone`` (``id``,
+    ``hash``; distinct, staged; a null id is one). A broadcast filter of the ids tells which rows may be: only they, with
+    their texts, go through a join, and only their texts are hashed; the others stay where they are."""
+    hashed = F.xxhash64("id")
+    bits = filter_bits(gone.count())
+    rows = passes_filter(whole_rows(docs, id=F.col("doc_id")), hashed, key_filter(gone, hashed, bits), "maybe", bits)
+    maybe = rows.where("maybe").select("row", F.col("row.doc_id").alias("own_id"), text_hash.alias("own_hash"))
+    same = maybe["own_id"].eqNullSafe(gone["id"]) & (maybe["own_hash"] == gone["hash"])
+    return rows.where("NOT maybe").select("row.*").unionByName(maybe.join(gone, same, "left_anti").select("row.*"))
+
+
 def passes_filter(df: DataFrame, hashed: Column, bitmaps: DataFrame, name: str, bits: int = FILTER_BITS) -> DataFrame:
     """``df`` with the boolean ``name``: False only if the hash is surely none of the filter's keys.
     The bitmaps are broadcast; their size is bound by ``bits``."""

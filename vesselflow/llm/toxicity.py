@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vesselflow.llm.stage import ship, whole_text
+from vesselflow.llm.stage import ship, whole_rows, whole_text
 from vesselflow.llm.textbatch import chunks, release_memory, utf8
 
 #: Labelled rows that the classifier is fitted on, about (the bound of its sample).
@@ -109,9 +109,11 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> tuple[
     share = bound / max(1, marks.count())
     drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(drawn), "doc_id")
+    # repeated rows teach once, so that what is drawn bounds the one training task
+    sample = sample.groupBy("doc_id", F.xxhash64("text").alias("text_hash")).agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).drop("text_hash")
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("doc_id")
+        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         weights, bias = fit(rows["text"].combine_chunks(), rows["toxic"].to_numpy())
         release_memory()
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
@@ -147,4 +149,4 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float]) -> Column:
 
 def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    return docs.withColumn("__toxicity", scored(docs, model)).where(F.col("__toxicity") < threshold).drop("__toxicity")
+    return whole_rows(docs, toxicity=scored(docs, model)).where(F.col("toxicity") < threshold).select("row.*")
