@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesselflow.llm.components import components, follow
-from vesselflow.llm.stage import FILTER_BITS, join_groups, key_filter, passes_filter, ship, staged, whole_text
+from vesselflow.llm.stage import filter_bits, join_groups, key_filter, passes_filter, ship, staged, unstage, whole_text, without
 from vesselflow.llm.textbatch import SpanHasher, chunks, mix64, release_memory, repeats, spans, windows
 
 WORDS = 5
@@ -43,9 +43,6 @@ SIMILARITY = 0.8
 #: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
 FEW, SHORT = 14, 40
 
-#: Most bits of the broadcast filter of shared keys (8 MB).
-MOST_FILTER_BITS = 1 << 26
-
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 _GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -225,22 +222,26 @@ def _bucketed(members: DataFrame) -> DataFrame:
     """Each member's bucket centre: the rows of ``members`` (``key``, ``same``, ``n_words``) with ``a`` and ``n_words_a``.
     Most keys are a node's own: keys alone are counted first, and only members whose key the filter has go on."""
     shared = staged(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
-    bits = FILTER_BITS
-    while bits < MOST_FILTER_BITS and bits < 16 * shared.count():
-        bits *= 2
+    bits = filter_bits(shared.count())
     members = staged(passes_filter(members, F.col("key"), key_filter(shared, F.col("key"), bits), "met", bits).where("met").drop("met"), "members")
     buckets = staged(
         members.groupBy("key").agg(F.min("same").alias("a"), F.min_by("n_words", "same").alias("n_words_a"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "buckets",
     )
-    return join_groups(members, buckets, ["key"], "n", "inner").where("a != same").drop("n")
+    out = staged(join_groups(members, buckets, ["key"], "n", "inner").where("a != same").drop("n"), "bucket-pairs")
+    unstage(shared, members, buckets)
+    return out
+
+
+def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``same`` and ``words`` of the ``rows`` of at least the ``nodes`` (``same``; staged)."""
+    hashed, bits = F.xxhash64("same"), filter_bits(nodes.count())
+    return passes_filter(rows.select("same", "words"), hashed, key_filter(nodes, hashed, bits), "wanted", bits).where("wanted").drop("wanted")
 
 
 def _words_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``same`` (unique) and ``words`` of at least the ``nodes`` (``same``; staged)."""
-    hashed = F.xxhash64("same")
-    near = passes_filter(rows.select("same", "words"), hashed, key_filter(nodes, hashed), "wanted").where("wanted")
-    return near.groupBy("same").agg(F.first("words").alias("words"))
+    """As ``_among``, each node once."""
+    return _among(rows, nodes).groupBy("same").agg(F.first("words").alias("words"))
 
 
 def _labelled(words: pa.Array) -> pa.Array:
@@ -267,7 +268,9 @@ def rare_words(words: DataFrame) -> DataFrame:
     counts = staged(each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest")), "rest-counts")
     ranked = join_groups(each, counts, ["word"], "uses", "inner").withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy("uses", "word")))
     rare = ranked.where((F.col("rank") <= _most("n_words") + 1) & (F.col("uses") > 1) & F.col("of_rest"))
-    return staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
+    out = staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
+    unstage(each, counts)
+    return out
 
 
 def word_pairs(rare: DataFrame) -> DataFrame:
@@ -288,14 +291,17 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     parents = labels.withColumnRenamed("label", "parent")
     marked = staged(pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")}), "pair-labels")
     for c in ("of_a", "of_b"):
-        marked = staged(follow(marked, c, parents), "pair-labels")
+        last, marked = marked, staged(follow(marked, c, parents), "pair-labels")
+        unstage(last)
     return marked.where("of_a != of_b").select("a", "b")
 
 
-def _aligned(candidates: DataFrame, rows: DataFrame) -> DataFrame:
-    """The staged ``candidates`` that are links, staged."""
+def _aligned(candidates: DataFrame, words: DataFrame) -> DataFrame:
+    """The staged ``candidates`` that are links, staged. ``words``: one row for each node at least of theirs."""
     ends = staged(candidates.select(F.col("a").alias("same")).union(candidates.select("b")).distinct(), "ends")
-    return staged(verified(candidates, _words_of(rows, ends)), "verified")
+    out = staged(verified(candidates, _among(words, ends)), "verified")
+    unstage(ends)
+    return out
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -315,15 +321,22 @@ def _classes(docs: DataFrame) -> DataFrame:
         "nodes",
     )
     members = nodes.select("same", "n_words", F.explode("keys").alias("key")).select("key", "same", "n_words")
-    pairs = staged(_bucketed(members), "bucket-pairs")
+    pairs = _bucketed(members)
+    # from here on only the words of nodes that met another are read, and of the rows their ids
+    met = staged(pairs.select("same").union(pairs.select("a")).distinct(), "met-nodes")
+    words = staged(_words_of(rows, met), "words")
+    slim = staged(rows.select("doc_id", "text_hash", "same"), "slim-rows")
+    few = staged(nodes.select("same", "least_id", "size"), "slim-nodes")
+    unstage(rows, nodes, met)
+    rows, nodes = slim, few
     fits = F.least("n_words", "n_words_a") >= F.lit(SIMILARITY) * F.greatest("n_words", "n_words_a") - 1e-9
     candidates = staged(pairs.where(fits).select("a", F.col("same").alias("b")).distinct(), "candidates")
     # each node with its smallest centre first; then with the centres of other classes
     tried = staged(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-candidates")
-    links = _aligned(tried, rows)
+    links = _aligned(tried, words)
     labels = components(links)
     others = staged(_apart(candidates.join(tried, ["a", "b"], "left_anti"), labels), "candidates")
-    found = _aligned(others, rows)
+    found = _aligned(others, words)
     links, tried = links.unionByName(found), tried.unionByName(others)
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
     apart = _apart(pairs.select("a", F.col("same").alias("b")).distinct(), labels)
@@ -335,7 +348,7 @@ def _classes(docs: DataFrame) -> DataFrame:
             ends = ends.union(near.select(F.col(c), F.lit(False)))
         ends = ends.groupBy("same").agg(F.max("rest").alias("rest")).join(labels.withColumnRenamed("node", "same"), "same", "left")
         ends = staged(ends.withColumn("label", F.coalesce("label", "same")), "rest")
-        rare = rare_words(_words_of(rows, ends).join(ends, "same"))
+        rare = rare_words(words.join(ends, "same"))
         # first each node with the smallest that has the word, so that large classes are whole before pairs are formed
         by_word = _bucketed(rare.select(F.col("word").alias("key"), "same", "n_words")).where(fits)
         pairs = by_word.select("a", F.col("same").alias("b")).distinct()
@@ -344,7 +357,7 @@ def _classes(docs: DataFrame) -> DataFrame:
         pairs = pairs.where("label_a != label_b").select("a", "b")
         for step in (lambda: pairs, lambda: word_pairs(rare)):
             candidates = staged(step().join(tried, ["a", "b"], "left_anti"), "candidates")
-            found = _aligned(candidates, rows)
+            found = _aligned(candidates, words)
             links, tried = links.unionByName(found), tried.unionByName(candidates)
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
             rare = rare.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left").withColumn("label", F.coalesce("label", "same"))
@@ -360,10 +373,8 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each class the row with the smallest ``doc_id``. An id
-    on rows of several texts goes only where that text's row goes: the join is on the id and the text's hash. Rows of
-    a class without any id all stay."""
+    on rows of several texts goes only where that text's row goes: what goes is told by the id and the text's hash
+    (``without``). Rows of a class without any id all stay."""
     gone = _classes(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
-    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
-    rows = docs.withColumn("__hash", F.xxhash64(whole_text()))
-    same = rows["doc_id"].eqNullSafe(gone["__gone_id"]) & (rows["__hash"] == gone["__gone_hash"])
-    return rows.join(gone, same, "left_anti").drop("__hash")
+    gone = gone.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    return without(docs, staged(gone.distinct(), "near-gone"), F.xxhash64(whole_text("row.text")))
