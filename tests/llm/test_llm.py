@@ -8,6 +8,7 @@ import re
 import sys
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -254,7 +255,8 @@ def brute_lines(rows, min_docs):
     key = lambda line: fold(line.strip(" \t\n\x0b\x0c\r"))
     for n, (d, lines) in enumerate(split):
         for k in {key(x) for x in lines if len(key(x)) >= 40}:
-            keys[k].append(d if d is not None else -1)
+            keys[k].append((d if d is not None else -1, "" if d is not None else lines))
+    keys = {k: [d for n, (d, own) in enumerate(v) if (d, own) not in v[:n]] for k, v in keys.items()}
     hot = {k: max(v) for k, v in keys.items() if len(v) >= min_docs}
     out = []
     for d, lines in split:
@@ -272,6 +274,38 @@ def test_line_runs_in_batches(spark, odd, empty, fanout):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_line_run")]
 
 
+def test_line_dedup_of_repeated_ids_equals_sql(spark):
+    rows = [(d, f"{LINE}\nalone {d} {n}") for n, d in enumerate((1, 1, 2, 3, 4))] + [(d, LINE * 2) for d in (1, 1, 5, 6, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(ORACLE_SQL["op6_line_dedup"]).df()
+    batches = line_runs.input_batches(docs)
+    assert len(batches) > 1 and sum(b.count() for b in batches) == len(rows)
+    got = line_runs.dedup_lines(docs, batches, fanout=2).toPandas()
+    by_id = got.groupby("doc_id")[["n_lines", "n_dropped"]].sum()
+    assert by_id.to_dict() == want.set_index("doc_id")[["n_lines", "n_dropped"]].to_dict()
+    assert by_id["n_dropped"].sum() == 5  # the second line, in documents 1 (two rows), 5, 6, 7
+
+
+def test_runs_hold_each_key_once_and_compact(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    batches = line_runs.input_batches(docs)
+    assert len(batches) == line_runs.BATCHES
+    assert sorted(r[0] for b in batches for r in b.select("doc_id").collect()) == sorted(r[0] for r in docs.select("doc_id").collect())
+    runs = line_runs.LineRuns(spark)
+    for batch in batches:
+        runs.add(batch)
+        runs.compact()
+    assert [len(x) for x in runs.levels] == [1, 1] and runs.increments[1]
+    keys = [r["key"] for x in runs.names() for r in spark.table(x).select("key").collect()]
+    assert len(keys) == len(set(keys))
+    whole = line_runs.LineRuns(spark).counts_of(docs)
+    assert sorted(map(tuple, runs.frequent(1).collect())) == sorted(map(tuple, whole.collect()))
+    assert "Exchange" not in runs.frequent(1)._jdf.queryExecution().executedPlan().toString()
+    runs.close()
+
+
 def test_anti_join_gives_new_lines_only(spark):
     lines = [f"{k} {LINE}" for k in range(6)]
     docs = lambda first, some: spark.createDataFrame([(first, "\n".join(some))], "doc_id bigint, text string")

@@ -63,12 +63,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder below the shared one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unstage(*tables: DataFrame) -> None:
     """Delete staged ``tables`` that nothing reads any more. The JVM's garbage is collected too, as Spark deletes the
     shuffle files behind consumed tables only when their plans are."""
     for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(table))
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        delete(table.sparkSession, _PATHS.pop(table))
     tables[0].sparkSession._jvm.System.gc()
 
 
