@@ -192,6 +192,25 @@ def test_licence_scan_of_awkward_rows(spark, odd, empty):
     assert got[2]["families"] == []
 
 
+def test_classifier_names_every_wording_in_corpus_text(spark, small):
+    model = licenses.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    around = [x for x in "\n".join(small["text"].fillna("")).split("\n") if 60 < len(x) < 200]
+    each = [(family, text) for family, texts in licenses.TEMPLATES.items() for text in texts]
+    rows = [(n, f"{around[2 * n]}\n\n{text}\n\n{around[2 * n + 1]}") for n, (_, text) in enumerate(each)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    named = [family in got[n]["families"] for n, (family, _) in enumerate(each)]
+    assert np.mean(named) >= 0.95, [x for x, ok in zip(each, named, strict=True) if not ok]
+    assert sum(got[n]["n_known"] for n in got) <= len(each) + 1
+
+
+def test_training_takes_whole_lines_within_its_bounds(spark, monkeypatch):
+    lines = ["ü" * 3000, "word " * 100, "x" * 40_000]
+    drawn = []
+    monkeypatch.setattr(licenses, "fit", lambda some: drawn.extend(some))
+    licenses.train(spark.createDataFrame([(1, "\n".join(lines))], "doc_id bigint, text string"))
+    assert sorted(drawn) == sorted(lines[:2])
+
+
 WRAPPED = {
     "gpl-3.0": """/* This program is free software: you can redistribute it and/or modify it
  * under the terms of the GNU General Public License as published by

@@ -4,11 +4,10 @@ Paragraphs are runs of lines that hold words, so wrapped wordings are whole. In
 of the k-grams of a template are judged first; of stretches that overlap, the one that holds the largest share of
 its template. Lines without a stretch that counts are judged by themselves. A softmax regression over hashed word 1- to 3-grams tells licence families, "unknown" (licence
 talk of no known family) and "none" apart. It is trained on the templates below (words dropped, replaced or
-surrounded by corpus words), on made-up licence names for "unknown", and on at most NONE_LINES lines of the corpus for
-"none". Its temperature is fitted on held-out examples, and a family's probability must reach a threshold that the
-held-out examples set. A family stands only if the paragraph also holds most of the k-grams of one of its templates;
-where it doesn't, the paragraph counts as unknown. A stretch that holds nearly all of one family's template needs
-no probability. Each family counts once for a paragraph.
+surrounded by corpus words), on made-up licence names for "unknown", and on at most NONE_LINES lines of the corpus, whole
+ones of at most NONE_BYTES bytes, for "none". Its temperature is fitted on held-out examples, and a family's probability
+must reach a threshold that the held-out examples set. A family stands only if the stretch or line also holds most of the
+k-grams of one of its templates; where it doesn't, it counts as unknown. Each family counts once for a paragraph.
 
 Null and empty texts have no paragraphs. Each row is scanned, repeated ones too; empty tables give empty results;
 other columns are not read.
@@ -87,12 +86,14 @@ _TALK = ["Licensed under the {} License", "distributed under the terms of the {}
 BITS = 16
 GRAMS = (1, 2, 3)
 NONE_LINES = 3000
+#: Bytes of the longest lines that are drawn for training, so that the sample has at most 48 MB.
+NONE_BYTES = 1 << 14
 EXAMPLES = 60
+#: One of so many examples is held out.
+HELD_OUT = 4
 STEPS, RATE, RIDGE = 200, 0.3, 1e-4
 #: Share of a template's 2-grams that a paragraph must hold.
 CONFIRMED = 0.6
-#: Share from which the template alone decides, if it is larger than that of any other family's.
-VERBATIM = 0.9
 #: Words of a stretch, at most, for each word of the template.
 STRETCH = 1.5
 #: Probability of "unknown" from which a paragraph counts as licence talk, at least and at most; between them the
@@ -141,14 +142,13 @@ class Classifier:
             self.templates[family] = [set(keys[rows == k].tolist()) for k in range(n)]
 
         each = [(CLASSES.index(f), t) for f, ts in self.templates.items() for t in ts]
-        self.family_of = [f for f, _ in each]
         self.sizes = np.array([len(t) for _, t in each])
         pairs = sorted((key, k) for k, (_, t) in enumerate(each) for key in t)
         self.gram_keys = np.array([key for key, _ in pairs], np.uint64)
         self.gram_templates = np.array([k for _, k in pairs], np.int64)
 
-    def stretches(self, buf: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, int, bool]]:
-        """(row, paragraph, start, end, class, verbatim) of the stretches that hold most of a template, without overlaps."""
+    def stretches(self, buf: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(row, paragraph, start, end) of the stretches that hold most of a template, without overlaps."""
         folded = _FOLD[buf]
         starts, ends, rows = spans(folded, at, _GAP)
         if not len(starts):
@@ -181,15 +181,14 @@ class Classifier:
                 best = max(best, (len(held), -int(place[left]), int(place[right]) + 1), key=lambda x: x[0])
             share = best[0] / self.sizes[t]
             if share >= CONFIRMED:
-                by_paragraph[int(paragraph[place[a]])].append((share, int(self.sizes[t]), -best[1], best[2], self.family_of[t]))
+                by_paragraph[int(paragraph[place[a]])].append((share, int(self.sizes[t]), -best[1], best[2]))
         out = []
         for number, found in by_paragraph.items():
             taken = []
-            for share, _, a, b, family in sorted(found, key=lambda x: (-x[0], -x[1], x[2])):
+            for _, _, a, b in sorted(found, key=lambda x: (-x[0], -x[1], x[2])):
                 if all(b < x or y < a for x, y in taken):
-                    rival = any(f != family and s >= share and a <= y and x <= b for s, _, x, y, f in found)
                     taken.append((a, b))
-                    out.append((int(rows[a]), number, int(starts[a]), int(ends[b]), family, share >= VERBATIM and not rival))
+                    out.append((int(rows[a]), number, int(starts[a]), int(ends[b])))
         return out
 
     def logits(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -232,7 +231,7 @@ def _examples(lines: list[str], seed: int) -> tuple[list[str], np.ndarray]:
     texts, classes = [], []
     for k, family in enumerate(TEMPLATES):
         for n in range(EXAMPLES):
-            source = TEMPLATES[family][n % len(TEMPLATES[family])].split()
+            source = TEMPLATES[family][(n + n // HELD_OUT) % len(TEMPLATES[family])].split()  # each both trained on and held out
             kept = [w for w in source if draw.random() > (0.05 if n % 2 else 0.0)]
             texts.append(f"{some(8 if n % 3 else 0)} {' '.join(kept)} {some(8 if n % 5 else 0)}")
             classes.append(k)
@@ -254,7 +253,7 @@ def fit(lines: list[str], seed: int = 7) -> Classifier:
         everything = [t for ts in model.templates.values() for t in ts]
         lines = [x for x, s in zip(lines, sets, strict=True) if not any(len(s & t) >= 0.5 * len(t) for t in everything)]
     texts, classes = _examples(lines, seed)
-    train = np.arange(len(texts)) % 4 != 0
+    train = np.arange(len(texts)) % HELD_OUT != 0
     weights = _descend([t for t, use in zip(texts, train, strict=True) if use], classes[train])
     model = Classifier(weights)
     logits, _ = model.logits(*_strings([t for t, use in zip(texts, train, strict=True) if not use]))
@@ -293,13 +292,15 @@ def _descend(texts: list[str], classes: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, bound: int = NONE_LINES) -> Classifier:
-    """Trained on the templates and on about ``bound`` lines of ``docs``, drawn by their hash (the bound of the sample)."""
+def train(docs: DataFrame, bound: int = NONE_LINES, most: int = NONE_BYTES) -> Classifier:
+    """Trained on the templates and on about ``bound`` whole lines of ``docs`` of at most ``most`` bytes, drawn by their
+    hash (the bounds of the sample)."""
     lines = docs.select(F.explode(F.split(whole_text(), "\n", -1)).alias("line")).where("trim(line) != ''")
+    lines = lines.where(F.octet_length("line") <= most)
     n = lines.count()
     drawn = lines.where(F.pmod(F.xxhash64("line"), F.lit(1 << 20)) <= int(min(1.0, bound / max(1, n)) * (1 << 20)))
-    short = drawn.select(F.substring("line", 1, 2000).alias("line")).distinct().orderBy(F.xxhash64("line"), "line").limit(bound)
-    return fit(sorted(r["line"] for r in short.collect()))
+    some = drawn.distinct().orderBy(F.xxhash64("line"), "line").limit(bound)
+    return fit(sorted(r["line"] for r in some.collect()))
 
 
 def _scan(shared):
@@ -314,11 +315,10 @@ def _scan(shared):
                 covered, known = np.zeros(len(starts), bool), set()
                 stretches = model.stretches(buf, at)
                 if stretches:
-                    held = [buf[a:b].tobytes() for _, _, a, b, _, _ in stretches]
+                    held = [buf[a:b].tobytes() for _, _, a, b in stretches]
                     edges = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int64)
                     judged = model.families(np.frombuffer(b"".join(held), np.uint8), edges)
-                    for (row, paragraph, a, b, family, sure), best in zip(stretches, judged.tolist(), strict=True):
-                        best = family if sure else best
+                    for (row, paragraph, a, b), best in zip(stretches, judged.tolist(), strict=True):
                         if best != none:
                             covered[np.searchsorted(starts, a, "right") - 1 : np.searchsorted(starts, b)] = True
                             if (paragraph, best) not in known:
