@@ -11,11 +11,13 @@ k-mers of the length that as many edits can't all break.
 
 Texts with equal words are one node; a text is in a bucket for each of its keys. A node is compared with the smallest
 of its buckets' smallest nodes, then with those of them that are in another class still. Nodes of another class than
-their bucket's smallest node (the rest) are joined exactly with all nodes of such buckets: texts this
-similar share one of their rarest words, so only nodes with a rare word in common (each takes a fifth of its words)
-whose lengths and remaining words allow the similarity are aligned, and only where the links so far leave them in
-different classes. Before that, nodes are compared with the smallest node that has the word, so that large classes
-are whole and form no pairs; unlike texts with the same rare word do form pairs there, in the square of their number. Hot buckets, words and centres are split. Classes are the connected components of the verified links.
+their bucket's smallest node (the rest) are joined exactly with all nodes of such buckets: an edit breaks two pairs of
+adjacent words at most, so texts this similar share one of their rarest such pairs (each takes two fifths of its own).
+Only nodes with a rare word pair in common whose lengths and remaining pairs allow the similarity are aligned, and only
+where the links so far leave them in different classes. How rare a pair is may be told in any order that is the same for
+all nodes: the order is by uses in a table of SLOTS to MOST_SLOTS counts, so whole word sequences never go through a
+shuffle for it. Before that, nodes are compared with the smallest node that has the pair, so that large classes
+are whole and form no pairs; unlike texts with the same rare pair do form pairs there, in the square of their number. Hot buckets, word pairs and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
 to each other. Texts of so few words that none may be edited have no keys. Each row gets its class, repeated ones
@@ -42,6 +44,8 @@ KEPT = 2
 SIMILARITY = 0.8
 #: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
 FEW, SHORT = 14, 40
+#: Counts of word pairs' uses, by hash (a byte each): two for a pair, between these.
+SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -244,14 +248,41 @@ def _words_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return _among(rows, nodes).groupBy("same").agg(F.first("words").alias("words"))
 
 
-def _labelled(words: pa.Array) -> pa.Array:
-    """For each node its words' hashes, each labelled with its occurrence number in the node."""
+def _word_pairs_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of adjacent words in the nodes (hashes that only equal pairs with equal labels share, nearly: each is
+    labelled with its occurrence number in the node), their nodes' places, and how many each node has."""
     each = [np.frombuffer(x, np.uint32) for x in words.to_pylist()]
-    at = np.concatenate(([0], np.cumsum([len(x) for x in each]))).astype(np.int32)
-    keys = np.concatenate([*each, np.zeros(0, np.uint32)]).astype(np.uint64)
-    _, number = repeats(keys, np.repeat(np.arange(len(each)), np.diff(at)))
-    labelled = mix64(keys + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(labelled.view(np.int64)))
+    n = np.array([max(0, len(x) - 1) for x in each], np.int64)
+    rows = np.repeat(np.arange(len(each)), n)
+    first = np.concatenate([*(x[:-1] for x in each), np.zeros(0, np.uint32)]).astype(np.uint64)
+    second = np.concatenate([*(x[1:] for x in each), np.zeros(0, np.uint32)]).astype(np.uint64)
+    pairs = mix64(first << np.uint64(32) | second)
+    _, number = repeats(pairs, rows)
+    return mix64(pairs + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), rows, n
+
+
+def _slots(words: pa.Array, slots: int) -> pa.Array:
+    """For each node the places of its word pairs in a table of ``slots`` counts."""
+    pairs, _, n = _word_pairs_of(words)
+    edges = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array((pairs % np.uint64(slots)).astype(np.int32)))
+
+
+def _rarest(words: pa.Array, levels: np.ndarray) -> pa.Array:
+    """For each node its first word pairs by level and hash, as many as ``rare_words`` needs: how many have level 0 (of
+    no use to a join), and the others in order."""
+    pairs, rows, n = _word_pairs_of(words)
+    level = levels[pairs % np.uint64(len(levels))]
+    order = np.lexsort((pairs, level, rows))
+    pairs, level = pairs[order], level[order]
+    first = np.concatenate(([0], np.cumsum(n)))
+    taken = 2 * np.floor((n + 1) * (1 - SIMILARITY) + 1e-9).astype(np.int64) + 2
+    keep = (np.arange(len(pairs)) - first[rows] < taken[rows]) & (level > 0)
+    edges = np.concatenate(([0], np.cumsum(np.bincount(rows[keep], minlength=len(n))))).astype(np.int32)
+    skipped = np.bincount(rows[level == 0], minlength=len(n))
+    kept = pa.ListArray.from_arrays(pa.array(edges), pa.array(pairs[keep].view(np.int64)))
+    release_memory()
+    return pa.StructArray.from_arrays([pa.array(skipped, pa.int64()), kept], names=["skipped", "words"])
 
 
 def _most(n: str):
@@ -259,31 +290,56 @@ def _most(n: str):
     return F.floor(F.col(n) * (1 - SIMILARITY) + 1e-9)
 
 
+def _levels(words: DataFrame) -> np.ndarray:
+    """For each slot a byte that grows with the uses of its word pairs; 0 where it has one use or no node of the rest."""
+    pairs = words.agg(F.sum(F.octet_length("words") / 4)).first()[0] or 0
+    slots = SLOTS
+    while slots < MOST_SLOTS and slots < 2 * pairs:
+        slots *= 2
+    place = F.arrow_udf(lambda x: _slots(x, slots), "array<int>")("words")
+    used = words.select("rest", F.explode(place).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest"))
+    level = F.least(F.lit(127), F.floor(F.log2("uses") * 4)).cast("byte")
+    found = used.where((F.col("uses") > 1) & F.col("of_rest")).select("slot", level.alias("level")).toArrow()
+    levels = np.zeros(slots, np.uint8)
+    levels[found["slot"].to_numpy()] = found["level"].to_numpy()
+    return levels
+
+
 def rare_words(words: DataFrame) -> DataFrame:
-    """The rarest fifth, and one more, of the words of each of the nodes ``words`` (``same``, ``words``, ``rest``, ``label``)
-    that a node of the ``rest`` shares with another: ``word``, its ``rank``, and the node's columns. Staged."""
-    labelled = F.arrow_udf(_labelled, "array<bigint>")("words")
-    each = words.select("same", "rest", "label", (F.octet_length("words") / 4).cast("long").alias("n_words"), F.explode(labelled).alias("word"))
-    each = staged(each, "rest-words")
-    counts = staged(each.groupBy("word").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest")), "rest-counts")
-    ranked = join_groups(each, counts, ["word"], "uses", "inner").withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy("uses", "word")))
-    rare = ranked.where((F.col("rank") <= _most("n_words") + 1) & (F.col("uses") > 1) & F.col("of_rest"))
-    out = staged(rare.select("word", "same", "rest", "label", "n_words", "rank"), "rest-rare")
-    unstage(each, counts)
+    """The rarest pairs of adjacent words of each of the nodes ``words`` (``same``, ``words``, ``rest``, ``label``; staged)
+    that a node of the ``rest`` may share with another: ``word``, its ``rank``, and the node's columns. Staged.
+
+    Of texts whose longer one has n words, of which d may be edited, n - 1 - 2d word pairs at least are common. That bound
+    for a longer partner is lower by one at most, so 2d + 2 of each node's own are enough to hold a common one."""
+    shared = words.sparkSession.sparkContext.broadcast(_levels(words))
+    found = F.arrow_udf(lambda x: _rarest(x, shared.value), "struct<skipped: bigint, words: array<bigint>>")("words")
+    each = words.select("same", "rest", "label", (F.octet_length("words") / 4).cast("long").alias("n_words"), found.alias("found"))
+    each = each.select("same", "rest", "label", "n_words", "found.skipped", F.posexplode("found.words").alias("at", "word"))
+    return staged(each.select("word", "same", "rest", "label", "n_words", (F.col("skipped") + F.col("at") + 1).alias("rank")), "rest-rare")
+
+
+def _between(rare: DataFrame) -> DataFrame:
+    """The rows of ``rare`` (staged) whose word pair a node of the rest and one with another label have, and few others:
+    a filter tells. Staged."""
+    seen = rare.groupBy("word").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("rest").alias("of_rest"))
+    useful = staged(seen.where((F.col("least") != F.col("most")) & F.col("of_rest")).select("word"), "rest-words")
+    bits = filter_bits(useful.count())
+    out = staged(passes_filter(rare, F.col("word"), key_filter(useful, F.col("word"), bits), "useful", bits).where("useful").drop("useful"), "rest-between")
+    unstage(useful)
     return out
 
 
 def word_pairs(rare: DataFrame) -> DataFrame:
     """All pairs (``a``, ``b``) of a node of the ``rest`` and a node with another label, of the nodes whose ``rare_words``
-    these are, that can have the similarity: none that has it is left out. With at most a fifth of the longer's words
-    edited, the others are common to both, so the rarest fifth of each and one word more (rare words first) hold a
-    common word; and behind the first such word both still have enough words."""
+    these are, that can have the similarity: none that has it is left out. Behind the first word pair that both hold
+    (rare ones first) both still have as many as must be common."""
     other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"))
     once = (F.col("label") != F.col("label_b")) & ((F.col("a") < F.col("b")) | ~F.col("rest_b"))
     pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once).withColumn("longer", F.greatest("n_words", "n_b"))
-    left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b")) + 1
-    pairs = pairs.where(left >= F.col("longer") - _most("longer"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
+    pairs = pairs.where(left >= F.col("longer") - 1 - 2 * _most("longer"))
+    fits = F.least("n_words", "n_b") >= F.col("longer") - _most("longer")
+    return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -348,19 +404,21 @@ def _classes(docs: DataFrame) -> DataFrame:
             ends = ends.union(near.select(F.col(c), F.lit(False)))
         ends = ends.groupBy("same").agg(F.max("rest").alias("rest")).join(labels.withColumnRenamed("node", "same"), "same", "left")
         ends = staged(ends.withColumn("label", F.coalesce("label", "same")), "rest")
-        rare = rare_words(words.join(ends, "same"))
-        # first each node with the smallest that has the word, so that large classes are whole before pairs are formed
+        rare = _between(rare_words(staged(words.join(ends, "same"), "rest-nodes")))
+        # first each node with the smallest that has the word pair, so that large classes are whole before pairs are formed
         by_word = _bucketed(rare.select(F.col("word").alias("key"), "same", "n_words")).where(fits)
         pairs = by_word.select("a", F.col("same").alias("b")).distinct()
         for c in ("a", "b"):
             pairs = pairs.join(ends.select(F.col("same").alias(c), F.col("label").alias(f"label_{c}")), c)
         pairs = pairs.where("label_a != label_b").select("a", "b")
-        for step in (lambda: pairs, lambda: word_pairs(rare)):
-            candidates = staged(step().join(tried, ["a", "b"], "left_anti"), "candidates")
+        for last in (False, True):
+            if last:
+                now = rare.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left")
+                pairs = word_pairs(_between(staged(now.withColumn("label", F.coalesce("label", "same")), "rest-rare")))
+            candidates = staged(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
             found = _aligned(candidates, words)
             links, tried = links.unionByName(found), tried.unionByName(candidates)
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
-            rare = rare.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left").withColumn("label", F.coalesce("label", "same"))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     marked = labels.join(degree, "node").select(F.col("node").alias("same"), "label", "n_links")
     named = staged(nodes.select("same", "least_id", "size").join(marked, "same", "left").withColumn("label", F.coalesce("label", "same")), "labelled")
