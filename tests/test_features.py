@@ -95,6 +95,14 @@ def test_zone_cells_equal_the_predicate(spark, zones):
         assert collections.Counter(tuple(r) for r in df.where(C.outside_ports(p)).select(*cols).collect()) == want
 
 
+@pytest.mark.parametrize("scale", [1.0, 0.05])
+def test_a_cell_holds_few_of_many_small_zones(spark, scale):
+    zones = tuple((name, *(scale * x for x in box)) for name, *box in many_zones())
+    cells = C.zone_cells(spark, DEFAULT.with_(port_zones=zones))
+    per_cell = [t.groupBy("zone_lat", "zone_lon").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first() for t in cells.values()]
+    assert max(most for most, _ in per_cell) <= 100 and sum(n for _, n in per_cell) <= 4 * len(zones)
+
+
 def test_zones_without_a_broadcast(spark, monkeypatch):
     df = raw_pings(spark, SF_SMALL)
     want = C.filter_port_zones(df).count()

@@ -20,8 +20,9 @@ from vesselflow.operators.index import HOUR, SLICE, cell_index, hour_bucket, min
 from vesselflow.operators.sequence import with_previous
 from vesselflow.params import DEFAULT, Params
 
-#: Finest grid for zones, the factor to the next coarser one, and the zones whose cells are broadcast at most.
-ZONE_CELL_DEG = 1.0
+#: Finest grid for zones (8 ** -4, exact in binary), the factor to the next coarser one, and the zones whose cells are
+#: broadcast at most.
+ZONE_CELL_DEG = 2.0**-12
 ZONE_GRID_STEP = 8.0
 ZONE_BROADCAST = 100_000
 #: Fixed-width parts of a timestamp format, in ISO order.
@@ -192,7 +193,9 @@ def outside_ports(p: Params = DEFAULT) -> Column:
 
 def zone_cells(spark: SparkSession, p: Params = DEFAULT) -> dict[float, DataFrame]:
     """The boxes by cell size, each as the cells it covers: ``zone_lat``, ``zone_lon`` and the bounds. A box is put in the
-    finest grid whose cells are as large as the box, so it covers four of them at most."""
+    finest grid whose cells are as large as the box, so it covers four of them at most, and a cell is at most
+    ``ZONE_GRID_STEP`` times as wide as its boxes (those above the finest grid): boxes that don't overlap are few in a cell,
+    however small they are."""
     by_size: dict[float, list[tuple]] = {}
     for _, la, lb, oa, ob in p.port_zones:
         size = ZONE_CELL_DEG
