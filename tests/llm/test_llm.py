@@ -414,6 +414,24 @@ def test_word_pairs_lose_no_similar_pair_of_the_rest(spark):
     assert len(want) > 40 and want <= got
 
 
+def test_only_word_pairs_that_classes_share_go_to_the_join(spark, monkeypatch):
+    rng = random.Random(12)
+    own = [[rng.randrange(10**6) for _ in range(40)] for _ in range(20)]
+    passage = [rng.randrange(10**6) for _ in range(60)]
+    node = lambda k, label: (bytes([k]), True, bytes([label]), np.array([*own[k % 20], 10**6 + k, *passage], np.uint32).tobytes())
+    columns = "same binary, rest boolean, label binary, words binary"
+    nodes = [node(k, k % 20) for k in range(60)]
+    rare = order_minhash.rare_words(spark.createDataFrame(nodes, columns))
+    # 39 pairs of the class and 2 of the text go first, so one of the passage is left among the 42 that a text needs
+    assert rare.count() == 60
+    nodes.append(node(60, 99))  # like three texts of another class
+    for slots in (order_minhash.SLOTS, 16):
+        monkeypatch.setattr(order_minhash, "SLOTS", slots)
+        monkeypatch.setattr(order_minhash, "MOST_SLOTS", slots)
+        pairs = order_minhash.word_pairs(order_minhash.rare_words(spark.createDataFrame(nodes, columns))).collect()
+        assert {(bytes([k]), bytes([60])) for k in (0, 20, 40)} <= {(r["a"], r["b"]) for r in pairs}
+
+
 def similar_pairs(found):
     """(first, second, similarity) of all pairs of the sketched texts that are similar, by brute force."""
     words = [np.frombuffer(x["words"], np.uint32) for x in found]

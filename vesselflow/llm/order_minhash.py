@@ -15,8 +15,9 @@ their bucket's smallest node (the rest) are joined exactly with all nodes of suc
 adjacent words at most, so texts this similar share one of their rarest such pairs (each takes two fifths of its own).
 Only nodes with a rare word pair in common whose lengths and remaining pairs allow the similarity are aligned, and only
 where the links so far leave them in different classes. How rare a pair is may be told in any order that is the same for
-all nodes: the order is by uses in a table of SLOTS to MOST_SLOTS counts, so whole word sequences never go through a
-shuffle for it. Before that, nodes are compared with the smallest node that has the pair, so that large classes
+all nodes: the pairs of use (to nodes of several classes, one of the rest) are counted exactly, and the order is by a
+table of SLOTS to MOST_SLOTS of those counts, so the pairs of no use never leave the task. Two nodes with several rare pairs
+in common meet once for each run of them, as where they also have the last pair in common they have met before. Before that, nodes are compared with the smallest node that has the pair, so that large classes
 are whole and form no pairs; unlike texts with the same rare pair do form pairs there, in the square of their number. Hot buckets, word pairs and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
@@ -44,7 +45,7 @@ KEPT = 2
 SIMILARITY = 0.8
 #: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
 FEW, SHORT = 14, 40
-#: Counts of word pairs' uses, by hash (a byte each): two for a pair, between these.
+#: Slots for the counts of word pairs of use, by hash (two bytes each): sixteen for a pair, between these.
 SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -261,18 +262,22 @@ def _word_pairs_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return mix64(pairs + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)), rows, n
 
 
-def _slots(words: pa.Array, slots: int) -> pa.Array:
-    """For each node the places of its word pairs in a table of ``slots`` counts."""
+def _pair_lists(words: pa.Array) -> pa.Array:
+    """For each node its word pairs."""
     pairs, _, n = _word_pairs_of(words)
     edges = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(edges), pa.array((pairs % np.uint64(slots)).astype(np.int32)))
+    out = pa.ListArray.from_arrays(pa.array(edges), pa.array(pairs.view(np.int64)))
+    release_memory()
+    return out
 
 
-def _rarest(words: pa.Array, levels: np.ndarray) -> pa.Array:
+def _rarest(words: pa.Array, levels: np.ndarray, marks: np.ndarray) -> pa.Array:
     """For each node its first word pairs by level and hash, as many as ``rare_words`` needs: how many have level 0 (of
-    no use to a join), and the others in order."""
+    no use to a join), and the others in order. A pair has its slot's level if the slot is marked as its own or as shared."""
     pairs, rows, n = _word_pairs_of(words)
-    level = levels[pairs % np.uint64(len(levels))]
+    at = (pairs % np.uint64(len(levels))).astype(np.int64)
+    level, mark = levels[at], marks[at]
+    level[(mark != 0) & (mark != (pairs >> np.uint64(56)).astype(np.uint8))] = 0
     order = np.lexsort((pairs, level, rows))
     pairs, level = pairs[order], level[order]
     first = np.concatenate(([0], np.cumsum(n)))
@@ -290,52 +295,70 @@ def _most(n: str):
     return F.floor(F.col(n) * (1 - SIMILARITY) + 1e-9)
 
 
-def _levels(words: DataFrame) -> np.ndarray:
-    """For each slot a byte that grows with the uses of its word pairs; 0 where it has one use or no node of the rest."""
-    pairs = words.agg(F.sum(F.octet_length("words") / 4)).first()[0] or 0
-    slots = SLOTS
-    while slots < MOST_SLOTS and slots < 2 * pairs:
+def _useful(rows: DataFrame) -> DataFrame:
+    """The word pairs of ``rows`` (``word``, ``label``, ``rest``) that a node of the rest and one with another label have,
+    and their ``uses``. Labels are told apart by 64 bits."""
+    mark = F.xxhash64("label")
+    seen = rows.groupBy("word").agg(F.min(mark).alias("least"), F.max(mark).alias("most"), F.max("rest").alias("of_rest"), F.count(F.lit(1)).alias("uses"))
+    return seen.where((F.col("least") != F.col("most")) & F.col("of_rest")).select("word", "uses")
+
+
+def _levels(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For each slot a byte that grows with the uses of its word pairs (the least of them), 0 where none is of use; and the
+    upper byte of its pair's hash, 0 where several pairs are there."""
+    each = F.arrow_udf(_pair_lists, "array<bigint>")("words")
+    useful = staged(_useful(words.select("label", "rest", F.explode(each).alias("word"))), "rest-useful")
+    slots, pairs = SLOTS, useful.count()
+    while slots < MOST_SLOTS and slots < 16 * pairs:
         slots *= 2
-    place = F.arrow_udf(lambda x: _slots(x, slots), "array<int>")("words")
-    used = words.select("rest", F.explode(place).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("uses"), F.max("rest").alias("of_rest"))
-    level = F.least(F.lit(127), F.floor(F.log2("uses") * 4)).cast("byte")
-    found = used.where((F.col("uses") > 1) & F.col("of_rest")).select("slot", level.alias("level")).toArrow()
-    levels = np.zeros(slots, np.uint8)
-    levels[found["slot"].to_numpy()] = found["level"].to_numpy()
-    return levels
+    # as unsigned numbers: slots are powers of two, so the lower bits tell
+    mark = F.shiftrightunsigned("word", 56)
+    level = F.least(F.lit(127), F.floor(F.log2("uses") * 4))
+    table = useful.groupBy(F.col("word").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")).agg(
+        F.max(level).cast("byte").alias("level"), F.when(F.min(mark) == F.max(mark), F.min(mark)).otherwise(0).cast("short").alias("mark")
+    )
+    found = table.toArrow()
+    unstage(useful)
+    levels, marks = np.zeros(slots, np.uint8), np.zeros(slots, np.uint8)
+    at = found["slot"].to_numpy()
+    levels[at], marks[at] = found["level"].to_numpy(), found["mark"].to_numpy()
+    return levels, marks
 
 
 def rare_words(words: DataFrame) -> DataFrame:
     """The rarest pairs of adjacent words of each of the nodes ``words`` (``same``, ``words``, ``rest``, ``label``; staged)
-    that a node of the ``rest`` may share with another: ``word``, its ``rank``, and the node's columns. Staged.
+    that a node of the ``rest`` may share with another: ``word``, its ``rank``, the ``last`` such pair before it (null for the
+    first), and the node's columns. Staged.
 
     Of texts whose longer one has n words, of which d may be edited, n - 1 - 2d word pairs at least are common. That bound
     for a longer partner is lower by one at most, so 2d + 2 of each node's own are enough to hold a common one."""
     shared = words.sparkSession.sparkContext.broadcast(_levels(words))
-    found = F.arrow_udf(lambda x: _rarest(x, shared.value), "struct<skipped: bigint, words: array<bigint>>")("words")
+    found = F.arrow_udf(lambda x: _rarest(x, *shared.value), "struct<skipped: bigint, words: array<bigint>>")("words")
     each = words.select("same", "rest", "label", (F.octet_length("words") / 4).cast("long").alias("n_words"), found.alias("found"))
-    each = each.select("same", "rest", "label", "n_words", "found.skipped", F.posexplode("found.words").alias("at", "word"))
-    return staged(each.select("word", "same", "rest", "label", "n_words", (F.col("skipped") + F.col("at") + 1).alias("rank")), "rest-rare")
+    both = F.arrays_zip(F.col("found.words").alias("word"), F.concat(F.array(F.lit(None).cast("long")), F.col("found.words")).alias("last"))
+    each = each.select("same", "rest", "label", "n_words", "found.skipped", F.posexplode(F.slice(both, F.lit(1), F.size("found.words"))).alias("at", "one"))
+    return staged(each.select("one.word", "same", "rest", "label", "n_words", (F.col("skipped") + F.col("at") + 1).alias("rank"), "one.last"), "rest-rare")
 
 
 def _between(rare: DataFrame) -> DataFrame:
     """The rows of ``rare`` (staged) whose word pair a node of the rest and one with another label have, and few others:
     a filter tells. Staged."""
-    seen = rare.groupBy("word").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("rest").alias("of_rest"))
-    useful = staged(seen.where((F.col("least") != F.col("most")) & F.col("of_rest")).select("word"), "rest-words")
+    useful = staged(_useful(rare).select("word"), "rest-words")
     bits = filter_bits(useful.count())
     out = staged(passes_filter(rare, F.col("word"), key_filter(useful, F.col("word"), bits), "useful", bits).where("useful").drop("useful"), "rest-between")
-    unstage(useful)
+    unstage(rare, useful)
     return out
 
 
 def word_pairs(rare: DataFrame) -> DataFrame:
     """All pairs (``a``, ``b``) of a node of the ``rest`` and a node with another label, of the nodes whose ``rare_words``
     these are, that can have the similarity: none that has it is left out. Behind the first word pair that both hold
-    (rare ones first) both still have as many as must be common."""
-    other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"))
+    (rare ones first) both still have as many as must be common. Where the rare pair before is the same in both nodes they
+    have met there, with more pairs behind it."""
+    other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"), F.col("last").alias("last_b"))
     once = (F.col("label") != F.col("label_b")) & ((F.col("a") < F.col("b")) | ~F.col("rest_b"))
-    pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once).withColumn("longer", F.greatest("n_words", "n_b"))
+    fresh = F.col("last").isNull() | F.col("last_b").isNull() | (F.col("last") != F.col("last_b"))
+    pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once & fresh).withColumn("longer", F.greatest("n_words", "n_b"))
     left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
     pairs = pairs.where(left >= F.col("longer") - 1 - 2 * _most("longer"))
     fits = F.least("n_words", "n_b") >= F.col("longer") - _most("longer")
@@ -398,7 +421,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     apart = _apart(pairs.select("a", F.col("same").alias("b")).distinct(), labels)
     unsettled = staged(pairs.join(apart.withColumnRenamed("b", "same"), ["a", "same"], "left_semi").select("key", "same"), "unsettled")
     if not unsettled.isEmpty():
-        near = pairs.join(unsettled.select("key").distinct(), "key", "left_semi")
+        near = staged(pairs.join(unsettled.select("key").distinct(), "key", "left_semi").select("same", "a").distinct(), "near")
         ends = unsettled.select("same", F.lit(True).alias("rest"))
         for c in ("same", "a"):
             ends = ends.union(near.select(F.col(c), F.lit(False)))
