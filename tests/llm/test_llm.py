@@ -710,5 +710,15 @@ def test_pipeline_against_its_parts(spark, small):
     assert sum(r["length"] for r in rows) == sum(len(library_ids(text[d], 1)) for d in want)
 
 
+def test_a_workers_piece_cache_is_bounded():
+    from vesselflow.llm import word_ids
+
+    assert 2 * word_ids.GENERATION * 300 <= 100 << 20
+    words, whole = word_ids.WordIds(WORD_BPE, 10), word_ids.WordIds(WORD_BPE)
+    texts = [f"w{k} v{k % 7}".encode() for k in range(100)]
+    assert [words.encode(t) for t in texts] == [whole.encode(t) for t in texts]
+    assert len(words) <= 10 and len(words.old) <= 10
+
+
 def test_tokenizer_files_are_where_the_package_says():
     assert WORD_BPE == public_tokenizers.path("word_bpe_49k.json")

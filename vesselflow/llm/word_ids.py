@@ -15,8 +15,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-#: Pieces in one generation of a worker's cache; two generations are held, about 200 bytes a piece.
-GENERATION = 320_000
+#: Pieces in one generation of a worker's cache; two generations are held, about 300 bytes a piece. Workers live on through a
+#: pipeline's other stages, beside the JVM and one for each core, so twice as many took an executor over its memory.
+GENERATION = 160_000
 #: Longer pieces are not cached.
 MAX_CACHED_BYTES = 256
 
