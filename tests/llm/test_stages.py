@@ -77,3 +77,19 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, monkeypatch):
         packed = corpus_pipeline.STAGES[-1][1](spark, now, "unused").collect()
         assert [r.doc_id for r in now.collect()] == ([3] if table is docs else [])
         assert {r.doc_id for r in packed} == {r.doc_id for r in now.collect()}
+
+
+def test_join_groups_makes_no_row_twice(spark):
+    from vesselflow.llm.stage import join_groups, staged
+
+    hot = [(1, k) for k in range(50)]
+    rows = staged(spark.createDataFrame([*hot, *((k, k) for k in range(100, 2200)), (7, 7)], "key int, row int"), "test-rows")
+    groups = staged(rows.where("key != 7").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("most")), "test-groups")
+    want = sorted((k, r, 49 if k == 1 else r) for k, r in [*hot, *((k, k) for k in range(100, 2200))])
+    for few in (0, 10_000):
+        for how, more in (("inner", []), ("left", [(7, 7, None)])):
+            found = join_groups(rows, groups, ["key"], "n", how, few)
+            assert sorted((r["key"], r["row"], r["most"]) for r in found.collect()) == sorted([*want, *more])
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("LeftOuter") == (how == "left")  # only the join that was asked for
+            assert plan.count("Join ") == (1 if few else 3)

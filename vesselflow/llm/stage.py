@@ -104,21 +104,23 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "left") -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "left", few: int = 0) -> DataFrame:
     """``rows`` with the columns of their group, whatever the size of a group.
 
-    ``groups`` has one row for each key and the number ``size`` of its rows in ``rows``. Groups above
-    1 / HOT_SHARE of all grouped rows, so HOT_SHARE rows at most, are broadcast; the others meet in a
-    shuffle join in which no key has more than that share. Keys must not be null. Both inputs are read
+    ``groups`` has one row for each key and the number ``size`` of its rows in ``rows``. At most ``few`` groups are broadcast
+    as they are. Else groups above 1 / HOT_SHARE of all grouped rows, so HOT_SHARE rows at most, are broadcast; the others
+    meet in a shuffle join in which no key has more than that share. Keys must not be null. Both inputs are read
     more than once: pass staged tables.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    limit = total // HOT_SHARE
+    n, total = groups.agg(F.count(F.lit(1)), F.sum(size)).first()
+    if n <= few:
+        return rows.join(F.broadcast(groups), keys, how)
+    limit = (total or 0) // HOT_SHARE
     hot = groups.where(F.col(size) > limit)
     rest = groups.where(F.col(size) <= limit)
-    marked = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
-    cold = marked.where(F.col("__hot").isNull()).select(*rows.columns).join(rest, keys, how)
-    return marked.where(F.col("__hot")).select(*cold.columns).unionByName(cold)
+    # two joins that take a row or not: a row leaves the one or the other, marking them all would make each row twice
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").select(*rows.columns).join(rest, keys, how)
+    return rows.join(F.broadcast(hot), keys).select(*cold.columns).unionByName(cold)
 
 
 def key_filter(keys: DataFrame, hashed: Column, bits: int = FILTER_BITS) -> DataFrame:
