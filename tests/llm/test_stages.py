@@ -93,3 +93,32 @@ def test_join_groups_makes_no_row_twice(spark):
             plan = found._jdf.queryExecution().optimizedPlan().toString()
             assert plan.count("LeftOuter") == (how == "left")  # only the join that was asked for
             assert plan.count("Join ") == (1 if few else 3)
+
+
+def test_only_words_of_met_nodes_are_written_and_small_tables_are_broadcast(spark, monkeypatch):
+    from vesselflow.llm import components
+
+    texts = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(40)]
+    near = [t.replace("w30 ", "other ") for t in texts[:4]]
+    docs = staged(spark.createDataFrame([*enumerate([*texts, *near, texts[0], texts[1].upper()])], "doc_id bigint, text string"), "words-test")
+    want = {d: d for d in range(40)} | {40: 0, 41: 1, 42: 2, 43: 3, 44: 0, 45: 1}
+    written = []
+
+    def kept(df, name):
+        out = staged(df, name)
+        written.append((name, out.columns, out.count()))
+        return out
+
+    for module in (order_minhash, components):
+        monkeypatch.setattr(module, "staged", kept)
+    counts = []
+    for few in (components.FEW, 0):
+        monkeypatch.setattr(components, "FEW", few)
+        monkeypatch.setattr(order_minhash, "FEW", few)
+        assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()} == want
+        assert [name for name, columns, _ in written if "words" in columns] == ["words"]
+        assert [n for name, _, n in written if name == "words"] == [8]
+        counts.append(len(written))
+        assert (few == 0) == any(name == "parents" for name, *_ in written)
+        written.clear()
+    assert counts[0] < 0.7 * counts[1]

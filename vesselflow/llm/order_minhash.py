@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vesselflow.llm.components import components, follow
+from vesselflow.llm.components import FEW, components, follow
 from vesselflow.llm.stage import filter_bits, join_groups, key_filter, passes_filter, ship, staged, unstage, whole_text, without
 from vesselflow.llm.textbatch import SpanHasher, chunks, mix64, release_memory, repeats, spans, windows
 
@@ -105,7 +105,7 @@ def short_keys(words: np.ndarray) -> list[int]:
     return sorted(found)
 
 
-def _sketch(texts: pa.Array) -> pa.Array:
+def _read(texts: pa.Array, with_words: bool, with_keys: bool) -> pa.Array:
     same, lengths, words_out, keys = [], [], [], []
     for lo, hi, raw, at in chunks(texts):
         n = hi - lo
@@ -114,35 +114,53 @@ def _sketch(texts: pa.Array) -> pa.Array:
         words = SpanHasher(buf)(starts, ends)
         counts = np.bincount(rows, minlength=n)
         edges = np.concatenate(([0], np.cumsum(counts)))
-        sketch: list[list[int]] = [[] for _ in range(n)]
-        sampled = counts + _limit(SHORT + 1) > SHORT  # may be similar to a text of more than SHORT words
-        have = np.flatnonzero(sampled)
-        if len(have):
-            kmer, first = windows(words, rows, WORDS)
-            kmer_rows = rows[first]
-            kmer, kmer_rows = kmer[sampled[kmer_rows]], kmer_rows[sampled[kmer_rows]]
-            _, number = repeats(kmer, kmer_rows)
-            labelled = mix64(kmer + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-            found = samples(labelled, np.searchsorted(have, kmer_rows), len(have)).view(np.int64)
-            for r, row in zip(have.tolist(), found, strict=True):
-                sketch[r] = row.tolist()
-        for r in np.flatnonzero((counts > 0) & (counts <= SHORT)).tolist():
-            sketch[r] = sketch[r] + short_keys(words[edges[r] : edges[r + 1]])
+        if with_keys:
+            keys += _keys(words, rows, counts, edges)
         small = words.astype(np.uint32)
         for r in range(n):
             a, b = edges[r], edges[r + 1]
             same.append(hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest())
-            words_out.append(small[a:b].tobytes())
+            if with_words:
+                words_out.append(small[a:b].tobytes())
         lengths.append(counts)
-        keys += sketch
     release_memory()
-    parts = [
-        pa.array(same, pa.binary()),
-        pa.array(np.concatenate(lengths) if lengths else [], pa.int64()),
-        pa.array(words_out, pa.binary()),
-        pa.array(keys, pa.list_(pa.int64())),
-    ]
-    return pa.StructArray.from_arrays(parts, names=["same", "n_words", "words", "keys"])
+    parts = {"same": pa.array(same, pa.binary()), "n_words": pa.array(np.concatenate(lengths) if lengths else [], pa.int64())}
+    if with_words:
+        parts["words"] = pa.array(words_out, pa.binary())
+    if with_keys:
+        parts["keys"] = pa.array(keys, pa.list_(pa.int64()))
+    return pa.StructArray.from_arrays(list(parts.values()), names=list(parts))
+
+
+def _keys(words: np.ndarray, rows: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> list[list[int]]:
+    """The keys of each text. ``words``: their words' hashes, of the texts ``rows``; each has ``counts`` from ``edges`` on."""
+    sketch: list[list[int]] = [[] for _ in counts]
+    sampled = counts + _limit(SHORT + 1) > SHORT  # may be similar to a text of more than SHORT words
+    have = np.flatnonzero(sampled)
+    if len(have):
+        kmer, first = windows(words, rows, WORDS)
+        kmer_rows = rows[first]
+        kmer, kmer_rows = kmer[sampled[kmer_rows]], kmer_rows[sampled[kmer_rows]]
+        _, number = repeats(kmer, kmer_rows)
+        labelled = mix64(kmer + number.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+        found = samples(labelled, np.searchsorted(have, kmer_rows), len(have)).view(np.int64)
+        for r, row in zip(have.tolist(), found, strict=True):
+            sketch[r] = row.tolist()
+    for r in np.flatnonzero((counts > 0) & (counts <= SHORT)).tolist():
+        sketch[r] = sketch[r] + short_keys(words[edges[r] : edges[r + 1]])
+    return sketch
+
+
+def _sketch(texts: pa.Array) -> pa.Array:
+    return _read(texts, True, True)
+
+
+def _keyed(texts: pa.Array) -> pa.Array:
+    return _read(texts, False, True)
+
+
+def _worded(texts: pa.Array) -> pa.Array:
+    return _read(texts, True, False)
 
 
 def edits(a: list[int], b: list[int], limit: int) -> int | None:
@@ -215,7 +233,7 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     centres = staged(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "centres")
     total = centres.agg(F.sum("n")).first()[0] or 0
     centres = centres.withColumn("salts", F.floor(F.col("n") / F.lit(max(1, total // 1000))) + 1)
-    salted = join_groups(pairs, centres, ["a"], "n", "inner").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
+    salted = join_groups(pairs, centres, ["a"], "n", "inner", FEW).select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
     with_b = salted.join(words.select(F.col("same").alias("b"), F.col("words").alias("words_b")), "b")
     of_a = words.select(F.col("same").alias("a"), F.col("words").alias("words_a")).join(centres.select("a", "salts"), "a")
     of_a = of_a.select("a", "words_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
@@ -233,7 +251,7 @@ def _bucketed(members: DataFrame) -> DataFrame:
         members.groupBy("key").agg(F.min("same").alias("a"), F.min_by("n_words", "same").alias("n_words_a"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "buckets",
     )
-    out = staged(join_groups(members, buckets, ["key"], "n", "inner").where("a != same").drop("n"), "bucket-pairs")
+    out = staged(join_groups(members, buckets, ["key"], "n", "inner", FEW).where("a != same").drop("n"), "bucket-pairs")
     unstage(shared, members, buckets)
     return out
 
@@ -244,9 +262,13 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return passes_filter(rows.select("same", "words"), hashed, key_filter(nodes, hashed, bits), "wanted", bits).where("wanted").drop("wanted")
 
 
-def _words_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """As ``_among``, each node once."""
-    return _among(rows, nodes).groupBy("same").agg(F.first("words").alias("words"))
+def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``same`` and ``words`` of at least the ``nodes`` (``text_hash``: of a text of theirs; staged), each node once. Only the
+    texts with such a hash are read into words, again, so that the words of the others lie on no disk."""
+    text, bits = whole_text(), filter_bits(nodes.count())
+    wanted = passes_filter(docs.select(text.alias("text")), F.xxhash64("text"), key_filter(nodes, F.col("text_hash"), bits), "wanted", bits).where("wanted")
+    each = F.arrow_udf(_worded, "struct<same: binary, n_words: bigint, words: binary>")
+    return wanted.select(each("text").alias("s")).select("s.same", "s.words").groupBy("same").agg(F.first("words").alias("words"))
 
 
 def _word_pairs_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -367,8 +389,11 @@ def word_pairs(rare: DataFrame) -> DataFrame:
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The ``pairs`` (``a``, ``b``) whose nodes the links so far leave in different classes."""
-    parents = labels.withColumnRenamed("label", "parent")
-    marked = staged(pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")}), "pair-labels")
+    parents, few = labels.withColumnRenamed("label", "parent"), labels.count() <= FEW
+    marked = pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
+    if few:
+        return follow(follow(marked, "of_a", parents, few), "of_b", parents, few).where("of_a != of_b").select("a", "b")
+    marked = staged(marked, "pair-labels")
     for c in ("of_a", "of_b"):
         last, marked = marked, staged(follow(marked, c, parents), "pair-labels")
         unstage(last)
@@ -392,22 +417,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> DataFrame:
     """As ``near_duplicates``, with ``text_hash``."""
     ship(docs.sparkSession)
-    sketch = F.arrow_udf(_sketch, "struct<same: binary, n_words: bigint, words: binary, keys: array<bigint>>")
+    sketch = F.arrow_udf(_keyed, "struct<same: binary, n_words: bigint, keys: array<bigint>>")
     text = whole_text()
     rows = staged(docs.select("doc_id", F.xxhash64(text).alias("text_hash"), sketch(text).alias("s")).select("doc_id", "text_hash", "s.*"), "sketches")
     nodes = staged(
-        rows.groupBy("same").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("size"), F.first("n_words").alias("n_words"), F.first("keys").alias("keys")),
+        rows.groupBy("same").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("size"), F.min("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"), F.first("keys").alias("keys")),
         "nodes",
     )
     members = nodes.select("same", "n_words", F.explode("keys").alias("key")).select("key", "same", "n_words")
     pairs = _bucketed(members)
     # from here on only the words of nodes that met another are read, and of the rows their ids
-    met = staged(pairs.select("same").union(pairs.select("a")).distinct(), "met-nodes")
-    words = staged(_words_of(rows, met), "words")
     slim = staged(rows.select("doc_id", "text_hash", "same"), "slim-rows")
-    few = staged(nodes.select("same", "least_id", "size"), "slim-nodes")
-    unstage(rows, nodes, met)
+    few = staged(nodes.select("same", "least_id", "size", "text_hash"), "slim-nodes")
+    unstage(rows, nodes)
     rows, nodes = slim, few
+    met = nodes.join(pairs.select("same").union(pairs.select("a")).distinct(), "same", "left_semi")
+    met = staged(met.select("text_hash"), "met-nodes")
+    words = staged(_words_of(docs, met), "words")
+    unstage(met)
     fits = F.least("n_words", "n_words_a") >= F.lit(SIMILARITY) * F.greatest("n_words", "n_words_a") - 1e-9
     candidates = staged(pairs.where(fits).select("a", F.col("same").alias("b")).distinct(), "candidates")
     # each node with its smallest centre first; then with the centres of other classes
