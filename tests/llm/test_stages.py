@@ -122,3 +122,27 @@ def test_only_words_of_met_nodes_are_written_and_small_tables_are_broadcast(spar
         assert (few == 0) == any(name == "parents" for name, *_ in written)
         written.clear()
     assert counts[0] < 0.7 * counts[1]
+
+
+def test_members_meet_their_bucket_by_no_anti_join(spark, monkeypatch):
+    from vesselflow.llm import components
+
+    assert order_minhash.FEW == components.FEW == 50_000
+    rows = [(1, bytes([0, k]), 9) for k in range(50)] + [(k, bytes([k % 3, k // 256, k % 256]), 9) for i in range(2) for k in range(100 + i, 2200)]
+    members = staged(spark.createDataFrame(sorted(set(rows) | {(k, b"\x09", 9) for k in range(100, 2200)}), "key bigint, same binary, n_words bigint"), "members-test")
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(order_minhash, "staged", kept)
+    monkeypatch.setattr(order_minhash, "unstage", lambda *tables: None)
+    found = []
+    for few in (components.FEW, 0):
+        monkeypatch.setattr(order_minhash, "FEW", few)
+        got = order_minhash._bucketed(members).collect()
+        found.append(sorted((r["key"], bytes(r["same"]), bytes(r["a"])) for r in got))
+        assert "LeftAnti" not in plans["bucket-pairs"]
+        assert plans["bucket-pairs"].count("Join ") == (1 if few else 2)
+    assert found[0] == found[1] and len(found[0]) == 49 + 2100

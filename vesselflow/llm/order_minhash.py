@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesselflow.llm.components import FEW, components, follow
-from vesselflow.llm.stage import filter_bits, join_groups, key_filter, passes_filter, ship, staged, unstage, whole_text, without
+from vesselflow.llm.stage import HOT_SHARE, filter_bits, join_groups, key_filter, passes_filter, ship, staged, unstage, whole_text, without
 from vesselflow.llm.textbatch import SpanHasher, chunks, mix64, release_memory, repeats, spans, windows
 
 WORDS = 5
@@ -44,7 +44,7 @@ SKETCHES = 64
 KEPT = 2
 SIMILARITY = 0.8
 #: Words of the longest texts that are keyed by subsequences (two edits at most), and by all k-mers.
-FEW, SHORT = 14, 40
+BRIEF, SHORT = 14, 40
 #: Slots for the counts of word pairs of use, by hash (two bytes each): sixteen for a pair, between these.
 SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
 
@@ -97,11 +97,11 @@ def short_keys(words: np.ndarray) -> list[int]:
     length."""
     n = len(words)
     found = set()
-    for m in {k - _limit(k) for k in range(n, FEW + 1) if _limit(k)}:
+    for m in {k - _limit(k) for k in range(n, BRIEF + 1) if _limit(k)}:
         if m <= n:
             found.update(_hashed(m, words[list(kept)]) for kept in combinations(range(n), m))
-    for size in {-(-(k - _limit(k)) // (_limit(k) + 1)) for k in range(max(n, FEW + 1), SHORT + 1) if n >= k - _limit(k)}:
-        found.update(_hashed(FEW + size, words[i : i + size]) for i in range(n - size + 1))
+    for size in {-(-(k - _limit(k)) // (_limit(k) + 1)) for k in range(max(n, BRIEF + 1), SHORT + 1) if n >= k - _limit(k)}:
+        found.update(_hashed(BRIEF + size, words[i : i + size]) for i in range(n - size + 1))
     return sorted(found)
 
 
@@ -241,6 +241,17 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return with_b.join(of_a, ["a", "salt"]).select("a", "b", score.alias("similarity")).where(F.col("similarity") > 0)
 
 
+def _with_centre(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``members`` with the columns of their bucket, those in none left out; each is joined once. The keys of hot buckets, HOT_SHARE at
+    most, tell which members take theirs by broadcast. At most FEW buckets are broadcast as they are."""
+    n, total = buckets.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if n <= FEW:
+        return members.join(F.broadcast(buckets), "key")
+    hot = F.col("key").isin([r["key"] for r in buckets.where(F.col("n") > total // HOT_SHARE).select("key").collect()])
+    cold = members.where(~hot).join(buckets.where(~hot), "key")
+    return members.where(hot).join(F.broadcast(buckets.where(hot)), "key").unionByName(cold)
+
+
 def _bucketed(members: DataFrame) -> DataFrame:
     """Each member's bucket centre: the rows of ``members`` (``key``, ``same``, ``n_words``) with ``a`` and ``n_words_a``.
     Most keys are a node's own: keys alone are counted first, and only members whose key the filter has go on."""
@@ -251,7 +262,7 @@ def _bucketed(members: DataFrame) -> DataFrame:
         members.groupBy("key").agg(F.min("same").alias("a"), F.min_by("n_words", "same").alias("n_words_a"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "buckets",
     )
-    out = staged(join_groups(members, buckets, ["key"], "n", "inner", FEW).where("a != same").drop("n"), "bucket-pairs")
+    out = staged(_with_centre(members, buckets).where("a != same").drop("n"), "bucket-pairs")
     unstage(shared, members, buckets)
     return out
 
