@@ -432,6 +432,67 @@ def test_only_word_pairs_that_classes_share_go_to_the_join(spark, monkeypatch):
         assert {(bytes([k]), bytes([60])) for k in (0, 20, 40)} <= {(r["a"], r["b"]) for r in pairs}
 
 
+def test_texts_with_a_common_passage_form_no_rows_by_pairs(spark, monkeypatch):
+    passage = [f"p{k}" for k in range(45)]
+    texts = [passage + [f"t{k}w{i}" for i in range(15)] for k in range(110)]
+    texts += [passage[:20] + t[:2] + passage[22:] + t[45:] for t in texts[:10]]
+    texts += [passage + t[45:52] + [f"u{k}w{i}" for i in range(8)] for k, t in enumerate(texts[20:30])]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    made, staged = [], order_minhash.staged
+
+    def kept(df, name):
+        out = staged(df, name)
+        if name == "candidates":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(order_minhash, "staged", kept)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs).collect()}
+    words = {w: k for k, w in enumerate({w for t in texts for w in t})}
+    each = [np.array([words[w] for w in t], np.uint32) for t in texts]
+    want = list(range(len(each)))
+    for b in range(len(each)):
+        for a in range(b):
+            if order_minhash.similarity(each[a], each[b]) > 0 and want[a] != want[b]:
+                lo, hi = sorted((want[a], want[b]))
+                want = [lo if x == hi else x for x in want]
+    assert got == dict(enumerate(want)) and len(set(want)) < len(want)
+    assert made[-1] < len(texts)  # not about half the square of the texts with the passage
+
+
+@pytest.mark.parametrize("block", (5, 512))
+def test_blocks_find_all_links(spark, monkeypatch, block):
+    monkeypatch.setattr(order_minhash, "BLOCK_NODES", block, raising=False)
+    rng = random.Random(22)
+    texts = []
+    for k in range(90):
+        base = [rng.randrange(8 + 10 * (k % 3)) for _ in range(rng.choice((10, 30, 60)))] if k % 9 == 0 else list(base)
+        for _ in range(len(base) // 8):
+            base[rng.randrange(len(base))] = rng.randrange(90)
+        texts.append(tuple(base))
+    texts = sorted(set(texts))
+    nodes = [(bytes([k]), rng.random() < 0.6, bytes([k // 3 if k % 2 else 200 + k % 3]), len(t), [k % 4, 4 + k % 2, 6], k % 4) for k, t in enumerate(texts)]
+    words = [(n[0], np.array(t, np.uint32).tobytes()) for n, t in zip(nodes, texts, strict=True)]
+    grouped = spark.createDataFrame(nodes, "same binary, rest boolean, label binary, n_words bigint, found array<bigint>, group bigint")
+    found = order_minhash.block_links(grouped, spark.createDataFrame(words, "same binary, words binary")).collect()
+    got = {(r["a"][0], r["b"][0]): r["similarity"] for r in found}
+    score = lambda a, b: order_minhash.similarity(np.array(texts[a], np.uint32), np.array(texts[b], np.uint32))
+    pairs = [(a, b) for b in range(len(nodes)) for a in range(b) if (nodes[a][1] or nodes[b][1]) and nodes[a][2] != nodes[b][2]]
+    want = {(a, b): score(a, b) for a, b in pairs if score(a, b) > 0}
+    assert len(want) > 20 and got == want and len(found) == len(got)
+
+
+def test_edits_by_columns_equal_those_by_reach():
+    rng = random.Random(23)
+    for _ in range(400):
+        a = [rng.randrange(6) for _ in range(rng.randrange(80))]
+        b = [x if rng.random() < 0.6 else rng.randrange(6) for x in a[rng.randrange(3) :]]
+        d = order_minhash._by_reach(a, b, 200)
+        for limit in range(max(0, d - 1), d + 2):
+            want = d if d <= limit else None
+            assert order_minhash._by_columns(a, b, limit) == want == order_minhash.edits(a, b, limit)
+
+
 def similar_pairs(found):
     """(first, second, similarity) of all pairs of the sketched texts that are similar, by brute force."""
     words = [np.frombuffer(x["words"], np.uint32) for x in found]

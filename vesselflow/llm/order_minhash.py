@@ -47,6 +47,12 @@ SIMILARITY = 0.8
 BRIEF, SHORT = 14, 40
 #: Slots for the counts of word pairs of use, by hash (two bytes each): sixteen for a pair, between these.
 SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
+#: Edits that are looked for by the furthest reach.
+REACH = 32
+#: Nodes that meet in a word pair's join at most; those of a pair in more are compared block by block.
+MANY = 64
+#: Nodes and words of a block, about.
+BLOCK_NODES, BLOCK_WORDS = 512, 1 << 17
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -164,8 +170,43 @@ def _worded(texts: pa.Array) -> pa.Array:
 
 
 def edits(a: list[int], b: list[int], limit: int) -> int | None:
-    """Word edits (insert, delete, replace) between ``a`` and ``b``; None if over ``limit``. Only the diagonals within
-    the band that ``limit`` allows are followed, each to its furthest reach for a number of edits."""
+    """Word edits (insert, delete, replace) between ``a`` and ``b``; None if over ``limit``. A few are found by the furthest reach,
+    whose steps grow with their square; more by columns."""
+    found = _by_reach(a, b, min(limit, REACH))
+    return _by_columns(a, b, limit) if found is None and limit > REACH else found
+
+
+def _by_columns(a: list[int], b: list[int], limit: int) -> int | None:
+    """``edits`` column by column of the table of distances (one for each of ``b``), whose steps up and down are the bits of two numbers."""
+    m, left, score = len(a), len(b), len(a)
+    if abs(m - left) > limit:
+        return None
+    if not m:
+        return left
+    places: dict[int, int] = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << i
+    mask, last = (1 << m) - 1, 1 << (m - 1)
+    up, down = mask, 0
+    for w in b:
+        equal = places.get(w, 0)
+        level = equal | down
+        same = (((equal & up) + up) ^ up) | equal
+        right, back = down | (mask & ~(same | up)), up & same
+        if right & last:
+            score += 1
+        elif back & last:
+            score -= 1
+        left -= 1
+        if score - left > limit:
+            return None
+        right = (right << 1 | 1) & mask
+        up, down = (back << 1) & mask | (mask & ~(level | right)), right & level
+    return score if score <= limit else None
+
+
+def _by_reach(a: list[int], b: list[int], limit: int) -> int | None:
+    """``edits`` by diagonals: those within the band that ``limit`` allows are followed, each to its furthest reach for a number of edits."""
     m, n = len(a), len(b)
     goal = n - m
     if abs(goal) > limit:
@@ -387,9 +428,13 @@ def word_pairs(rare: DataFrame) -> DataFrame:
     """All pairs (``a``, ``b``) of a node of the ``rest`` and a node with another label, of the nodes whose ``rare_words``
     these are, that can have the similarity: none that has it is left out. Behind the first word pair that both hold
     (rare ones first) both still have as many as must be common. Where the rare pair before is the same in both nodes they
-    have met there, with more pairs behind it."""
-    other = rare.select("word", F.col("same").alias("b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"), F.col("last").alias("last_b"))
+    have met there, with more pairs behind it. Two nodes with the same ``group`` (a column that may be missing, null: none) are left
+    to ``block_links``."""
+    if "group" not in rare.columns:
+        rare = rare.withColumn("group", F.lit(None).cast("long"))
+    other = rare.select("word", F.col("same").alias("b"), F.col("group").alias("group_b"), F.col("rest").alias("rest_b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"), F.col("rank").alias("rank_b"), F.col("last").alias("last_b"))
     once = (F.col("label") != F.col("label_b")) & ((F.col("a") < F.col("b")) | ~F.col("rest_b"))
+    once &= F.col("group").isNull() | ~F.col("group").eqNullSafe(F.col("group_b"))
     fresh = F.col("last").isNull() | F.col("last_b").isNull() | (F.col("last") != F.col("last_b"))
     pairs = rare.where("rest").withColumnRenamed("same", "a").join(other, "word").where(once & fresh).withColumn("longer", F.greatest("n_words", "n_b"))
     left = F.least(F.col("n_words") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
@@ -398,6 +443,82 @@ def word_pairs(rare: DataFrame) -> DataFrame:
     return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _split(rare: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``rare`` (staged) whose word pair at most MANY nodes have (a few of them may go with the others), and the nodes of the
+    others: ``same``, ``rest``, ``label``, ``n_words``, ``found`` (those word pairs) and ``group`` (the least of them). Both staged."""
+    many = staged(rare.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY).select("word"), "rest-many")
+    bits = filter_bits(many.count())
+    marked = staged(passes_filter(rare, F.col("word"), key_filter(many, F.col("word"), bits), "many", bits), "rest-split")
+    nodes = marked.where("many").groupBy("same", "rest", "label", "n_words").agg(F.collect_set("word").alias("found"))
+    out = staged(marked.where("NOT many").drop("many"), "rest-few"), staged(nodes.withColumn("group", F.array_min("found")), "rest-grouped")
+    unstage(rare, many, marked)
+    return out
+
+
+def _compared(block: pa.Table) -> pa.Table:
+    """The links between the nodes of two blocks (``first``: of the one, if any), or within one: of another label, one of the rest.
+    Each edit takes at most one word from the common ones: these are counted for all pairs, and only those with enough are aligned."""
+    first = block["first"].to_numpy()
+    block = block.take(np.argsort(~first, kind="stable"))
+    same, words = block["same"].to_pylist(), [np.frombuffer(x, np.uint32) for x in block["words"].to_pylist()]
+    _, label = np.unique(np.array([x.hex() for x in block["label"].to_pylist()]), return_inverse=True)
+    rest, n = block["rest"].to_numpy(), np.array([len(x) for x in words], np.int64)
+    split = int(first.sum())
+    start = split if split < len(n) else 0
+    rows = np.repeat(np.arange(len(n)), n)
+    each = np.concatenate(words).astype(np.uint64)
+    _, token = np.unique(each << np.uint64(32) | repeats(each, rows)[1].astype(np.uint64), return_inverse=True)
+    edges = np.concatenate(([0], np.cumsum(n)))
+    held = np.zeros(len(token), np.int32)
+    a, b, found = [], [], []
+    for i in range(split if start else len(n)):
+        at = np.arange(start or i + 1, len(n))
+        longer = np.maximum(n[i], n[at])
+        most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+        at = at[(label[at] != label[i]) & (rest[at] | rest[i]) & (longer - np.minimum(n[i], n[at]) <= most)]
+        if not len(at):
+            continue
+        held[token[edges[i] : edges[i + 1]]] = 1
+        lo = at[0]
+        common = np.add.reduceat(held[token[edges[lo] :]], edges[lo:-1] - edges[lo])[at - lo]
+        held[token[edges[i] : edges[i + 1]]] = 0
+        longer = np.maximum(n[i], n[at])
+        for j in at[longer - common <= ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)].tolist():
+            score = similarity(words[i], words[j])
+            if score > 0:
+                a.append(min(same[i], same[j]))
+                b.append(max(same[i], same[j]))
+                found.append(score)
+    release_memory()
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "similarity": pa.array(found, pa.float64())})
+
+
+def block_links(nodes: DataFrame, words: DataFrame) -> DataFrame:
+    """The links (``a``, ``b``, ``similarity``) of a node of the rest and one with another label among the ``nodes`` of ``_split``: of all
+    pairs with one of their frequent word pairs in common, and of others. ``words``: one row for each node at least of theirs.
+
+    Nodes of a group (most nodes with the same passage are in one) are dealt to blocks, and each two blocks whose groups have a word pair
+    in common are compared in a task: the pairs of a group are the square of its size still, but no rows. A node is copied
+    for each block that its own meets."""
+    size = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n_words") / BLOCK_WORDS)).alias("blocks")
+    groups = staged(
+        nodes.groupBy("group").agg(size, F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"), F.max("rest").alias("of_rest")),
+        "rest-groups",
+    )
+    have = staged(nodes.select("group", F.explode("found").alias("word")).distinct(), "rest-group-words")
+    meet = have.join(have.withColumnRenamed("group", "other"), "word").select("group", "other").distinct()
+    other = groups.select(F.col("group").alias("other"), F.col("blocks").alias("others"), F.col("least").alias("least_o"), F.col("most").alias("most_o"), F.col("of_rest").alias("of_rest_o"))
+    meet = meet.join(groups, "group").join(other, "other").where("(of_rest OR of_rest_o) AND (least != most OR least_o != most_o OR least != least_o)")
+    meet = staged(meet.groupBy("group", "n", "blocks").agg(F.collect_list(F.struct("other", "others")).alias("meets")), "rest-meets")
+    dealt = staged(_among(words, nodes).join(nodes.drop("found", "n_words"), "same"), "rest-dealt")
+    dealt = join_groups(dealt, meet, ["group"], "n", "inner").withColumn("block", F.pmod(F.xxhash64("same"), F.col("blocks")))
+    dealt = dealt.select("same", "rest", "label", "words", "group", "block", F.explode("meets").alias("with"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("with.others") - 1)).alias("at"))
+    own, with_ = F.struct("group", "block"), F.struct(F.col("with.other").alias("group"), F.col("at").alias("block"))
+    dealt = dealt.select("same", "rest", "label", "words", (own <= with_).alias("first"), F.least(own, with_).alias("lo"), F.greatest(own, with_).alias("hi"))
+    return dealt.groupBy("lo", "hi").applyInArrow(_compared, "a binary, b binary, similarity double")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The ``pairs`` (``a``, ``b``) whose nodes the links so far leave in different classes."""
     parents, few = labels.withColumnRenamed("label", "parent"), labels.count() <= FEW
@@ -465,19 +586,25 @@ def _classes(docs: DataFrame) -> DataFrame:
             ends = ends.union(near.select(F.col(c), F.lit(False)))
         ends = ends.groupBy("same").agg(F.max("rest").alias("rest")).join(labels.withColumnRenamed("node", "same"), "same", "left")
         ends = staged(ends.withColumn("label", F.coalesce("label", "same")), "rest")
-        rare = _between(rare_words(staged(words.join(ends, "same"), "rest-nodes")))
+        rare, grouped = _split(_between(rare_words(staged(words.join(ends, "same"), "rest-nodes"))))
         # first each node with the smallest that has the word pair, so that large classes are whole before pairs are formed
-        by_word = _bucketed(rare.select(F.col("word").alias("key"), "same", "n_words")).where(fits)
+        by_group = grouped.select(F.col("group").alias("key"), "same", "n_words")
+        by_word = _bucketed(rare.select(F.col("word").alias("key"), "same", "n_words").union(by_group)).where(fits)
         pairs = by_word.select("a", F.col("same").alias("b")).distinct()
         for c in ("a", "b"):
             pairs = pairs.join(ends.select(F.col("same").alias(c), F.col("label").alias(f"label_{c}")), c)
         pairs = pairs.where("label_a != label_b").select("a", "b")
         for last in (False, True):
             if last:
-                now = rare.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left")
+                now = labels.select(F.col("node").alias("same"), "label").join(grouped.select("same", "group"), "same", "full")
+                now = rare.drop("label").join(now, "same", "left")
                 pairs = word_pairs(_between(staged(now.withColumn("label", F.coalesce("label", "same")), "rest-rare")))
+                grouped = grouped.drop("label").join(labels.select(F.col("node").alias("same"), "label"), "same", "left")
+                grouped = staged(grouped.withColumn("label", F.coalesce("label", "same")), "rest-grouped")
             candidates = staged(pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
             found = _aligned(candidates, words)
+            if last:
+                found = staged(found.union(block_links(grouped, words)).distinct(), "verified")
             links, tried = links.unionByName(found), tried.unionByName(candidates)
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found.select("a", "b")))
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
