@@ -18,7 +18,8 @@ where the links so far leave them in different classes. How rare a pair is may b
 all nodes: the pairs of use (to nodes of several classes, one of the rest) are counted exactly, and the order is by a
 table of SLOTS to MOST_SLOTS of those counts, so the pairs of no use never leave the task. Two nodes with several rare pairs
 in common meet once for each run of them, as where they also have the last pair in common they have met before. Before that, nodes are compared with the smallest node that has the pair, so that large classes
-are whole and form no pairs; unlike texts with the same rare pair do form pairs there, in the square of their number. Hot buckets, word pairs and centres are split. Classes are the connected components of the verified links.
+are whole and form no pairs; unlike texts with the same rare pair do form pairs there: as rows where at most MANY nodes have it, else block by block within
+tasks, in the square of their number. Hot buckets, word pairs and centres are split. Classes are the connected components of the verified links.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lowered. Texts without words (null, empty) are equal
 to each other. Texts of so few words that none may be edited have no keys. Each row gets its class, repeated ones
