@@ -11,12 +11,14 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from vesselflow.llm import bond_scan, pivot_simhash, term_pointers
 from vesselflow.llm.queries import REGISTRY
 from vesselflow.llm import textbatch
+from vesselflow.llm.stage import staged
 from vesselflow.llm.textbatch import spans, utf8
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -275,6 +277,39 @@ def test_hard_negatives_of_awkward_rows(spark, monkeypatch, block):
     assert mined(spark.createDataFrame([], VECTORS), F.lit(True)) == []
 
 
+@pytest.mark.parametrize("scale", [1, 1000, 100_000])  # numbers that single and double precision hold, and others
+def test_hard_negatives_over_many_blocks(spark, monkeypatch, scale):
+    monkeypatch.setattr(bond_scan, "BLOCK", 400)
+    monkeypatch.setattr(bond_scan, "ANCHOR_BLOCK", 10)
+    monkeypatch.setattr(bond_scan, "ANCHOR_PART", 2)
+    draw = random.Random(4)
+    vectors = [[scale * draw.gauss(0.1, 0.3) for _ in range(8)] for _ in range(1000)]
+    vectors += [vectors[k % 3] for k in range(400)]
+    rows = [(k, v, draw.choice([-1, 2, 2, 3]), 1, "x", 2, 3) for k, v in enumerate(vectors)]
+    quantised = [(i, label, [int(np.floor(256.0 * float(np.float32(x)))) for x in v]) for i, v, label, *_ in rows]
+    want = brute_negatives(quantised, lambda i: i % 40 == 0)
+    assert len(want) > 200
+    assert mined(spark.createDataFrame(rows, VECTORS).repartition(2), F.col("vec_id") % 40 == 0) == want
+
+
+def test_large_scores_of_other_labels_are_refused(spark):
+    rows = [(k, [x], k, 1, "x", 2, 3) for k, x in enumerate([2.0, 1e16])]
+    with pytest.raises(PythonException, match="must fit a long"):
+        mined(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 0)
+
+
+def test_blocks_meet_without_the_driver(spark):
+    """However small Spark takes the tables for: a row of anchors goes beside each of the blocks."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    vectors = [(k, [0.1] * 12, k % 3, 1, "x", 2, 3) for k in range(60)]
+    rows = bond_scan.participants(spark.createDataFrame(vectors, VECTORS))
+    blocks, anchors = (staged(rows.mapInArrow(bond_scan._packed(n), bond_scan._BLOCK_TYPE), "test") for n in (7, 3))
+    cells = bond_scan.cells(anchors, blocks)
+    for met in (cells, bond_scan.hard_negatives(rows, F.lit(True))):
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert cells.select("a_rows", "rows").distinct().count() == cells.count() == anchors.count() * blocks.count()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(-300, 300), min_size=9, max_size=9), min_size=1, max_size=30), st.integers(0, 29), st.integers(-50_000, 200_000))
 def test_scan_keeps_the_best_and_the_windows(vectors, query, positive):
